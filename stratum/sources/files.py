@@ -11,6 +11,7 @@ import functools
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,6 +65,8 @@ def read_csv(
         spark.read.schema(_text_columns(schema))
         .options(header=True, enforceSchema=True, sep=",", quote=quote, encoding="UTF-8",
                  mode="PERMISSIVE", columnNameOfCorruptRecord=casting.CORRUPT, **_folder_options(glob))
+        # With pruning, whether a line counts as malformed depends on the columns a query reads.
+        .option("columnPruning", False)
         .csv(_paths(spark, paths, landing_root))
     )
     if positions:
@@ -111,8 +114,8 @@ def read_parquet(
 
     try:
         return pick(reader.parquet(*listed))
-    except PySparkException as error:
-        if error.getCondition() not in ("CANNOT_MERGE_SCHEMAS", "CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE"):
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE_SCHEMAS" not in str(error):
             raise
     groups: dict[str, list[str]] = {}
     for row in list_files(spark, listed, glob).select("path").toLocalIterator():

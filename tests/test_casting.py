@@ -1,0 +1,79 @@
+import datetime as dt
+import math
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from stratum import schemas
+from stratum.functions import casting
+from tests.conftest import rows
+
+
+def converted(spark, values, source, target):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)],
+                               T.StructType([T.StructField("i", T.IntegerType()), T.StructField("v", source)]))
+    out = df.select("i", casting.convert(F.col("v"), source, target).alias("o")).orderBy("i")
+    return [r.o for r in out.collect()]
+
+
+def test_text_to_whole_number(spark):
+    values = ["12", " 5 ", "3.0", "3e2", "12.7", "x", "", None, "3000000000", "9" * 25, "-7", "3.00000000001"]
+    assert converted(spark, values, schemas.TEXT, schemas.INT) == [
+        12, 5, 3, 300, None, None, None, None, None, None, -7, None]
+    assert converted(spark, ["3000000000"], schemas.TEXT, schemas.LONG) == [3000000000]
+
+
+def test_number_to_whole_number(spark):
+    assert converted(spark, [3.0, 3.5, math.nan, math.inf, 1e30, None], schemas.REAL, schemas.INT) == [
+        3, None, None, None, None, None]
+    assert converted(spark, [7, 2**40], schemas.LONG, schemas.INT) == [7, None]
+
+
+def test_text_to_real(spark):
+    assert converted(spark, ["1.5", "-2", "1e3", "1.5d", "2f", "x", None], schemas.TEXT, schemas.REAL) == [
+        1.5, -2.0, 1000.0, None, None, None, None]
+
+
+def test_text_to_date_and_flag(spark):
+    day = dt.date(2024, 3, 15)
+    assert converted(spark, ["2024-03-15", "2024-02-30", "n/a"], schemas.TEXT, schemas.DAY) == [day, None, None]
+    assert converted(spark, ["true", "FALSE", "1", "maybe"], schemas.TEXT, schemas.FLAG) == [True, False, True, None]
+
+
+def test_other_sources(spark):
+    assert converted(spark, [dt.datetime(2024, 3, 15, 23, 59)], T.TimestampType(), schemas.DAY) == [dt.date(2024, 3, 15)]
+    assert converted(spark, [bytearray(b"AB")], T.BinaryType(), schemas.TEXT) == ["4142"]
+    assert converted(spark, [5], schemas.LONG, schemas.TEXT) == ["5"]
+    assert converted(spark, [True], schemas.FLAG, schemas.INT) == [1]
+    assert converted(spark, [5], schemas.LONG, schemas.REAL) == [5.0]
+
+
+def test_null_markers(spark):
+    df = spark.createDataFrame([("NULL", "null", 1), ("", " NULL", 2), ("Null", None, 3)], "a string, b string, c int")
+    assert rows(casting.null_if(df, ["NULL", "null", ""])) == [
+        (None, None, 1), (None, " NULL", 2), ("Null", None, 3)]
+    assert rows(casting.null_if(df, ["NULL", "null", ""], ["a"]).where("c = 1")) == [(None, "null", 1)]
+
+
+def test_every_row_is_good_or_rejected(spark):
+    schema = schemas._struct(n=schemas.LONG, d=schemas.DAY, missing=schemas.TEXT)
+    df = spark.createDataFrame(
+        [("1", "2024-01-01", 1), ("x", "n/a", 2), (None, None, 3), ("2.5", "2024-01-02", 4)], "n string, d string, row int")
+    good, bad = casting.cast_or_reject(df, schema)
+    assert good.columns == ["n", "d", "missing", "row"]
+    assert sorted(r.row for r in good.collect()) == [1, 3]
+    errors = {r.row: [(e.column, e.value, e.reason) for e in r.errors] for r in bad.collect()}
+    assert errors == {
+        2: [("n", "x", "not a valid bigint"), ("d", "n/a", "not a valid date")],
+        4: [("n", "2.5", "not a valid bigint")],
+    }
+
+
+@pytest.mark.parametrize("paths", [("$.k", "$.s"), ("$.k", "$.o.x")])
+def test_json_fields(spark, paths):
+    texts = ['{"k": 69, "s": "a", "o": {"x": "a"}}', '{"k": "7"}', '{"k": 1.5, "s": null}', "{broken", None, "[]"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, j string")
+    out = casting.json_fields(df, "j", {"k": (paths[0], schemas.INT), "s": (paths[1], schemas.TEXT)})
+    got = [(r.k, r.s) for r in out.orderBy("i").collect()]
+    assert got == [(69, "a"), (7, None), (None, None), (None, None), (None, None), (None, None)]
