@@ -55,21 +55,21 @@ class ChangeFeed:
 
     def pending(self) -> DataFrame:
         """Rows not consumed yet; looking does not consume them. Only their files are opened."""
-        if not storage.exists(self.spark, self.table_path):
-            return self.spark.createDataFrame([], self.schema)
-        files = list_files(self.spark, self.table_path, "*.parquet").select("path")
-        unseen = files.join(self._seen(), "path", "left_anti")
+        unseen = self._files().select("path").join(self._seen(), "path", "left_anti")
         return self._rows([row.path for row in unseen.collect()])
 
     def offset(self) -> DataFrame:
         """One row: the last consumed epoch, files consumed, and the write time of the newest of them."""
-        files = list_files(self.spark, self.table_path, "*.parquet")
-        return self._seen().join(files, "path", "left").agg(
+        return self._seen().join(self._files(), "path", "left").agg(
             F.max("epoch").alias("epoch"),
             F.count("path").alias("files"),
             F.max("modificationTime").alias("table_timestamp"),
         )
 
+    def _files(self) -> DataFrame:
+        storage.make_dir(self.spark, self.table_path)
+        return list_files(self.spark, self.table_path, "*.parquet")
+
     def _ledger(self) -> str:
         return f"{self.arrivals.generation()}/consumed"
 
