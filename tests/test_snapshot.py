@@ -4,7 +4,7 @@ import pytest
 
 from stratum import schemas, storage
 from stratum.operators import snapshot
-from stratum.operators.snapshot import SnapshotTable, by_date
+from stratum.operators.snapshot import SnapshotTable, by_date, by_hash
 from stratum.operators.upsert import DuplicateSourceKey
 from stratum.streaming.arrivals import Delivery
 from tests.conftest import rows
@@ -141,3 +141,14 @@ def test_drop_history(table, frame, spark):
     assert content(table) == [("a", "2024-01-05", 2), ("b", "2024-02-05", 1)]
     assert json.loads(storage.read_text(spark, f"{table.path}/log/000000002.json"))["version"] == 2
     assert storage.names(spark, f"{table.path}/work") == []
+
+
+def test_hash_slices(spark, tmp_path, frame):
+    table = SnapshotTable(spark, str(tmp_path / "t"), SCHEMA, "k", by_hash("k", 8))
+    table.merge(frame(*[(f"k{i}", "2024-01-05", i) for i in range(200)], (None, None, 0)))
+    before = live(table)
+    assert len(before) == 8
+    table.merge(frame(("k3", "2024-01-05", 99)))
+    after = live(table)
+    assert sum(before[s] != after[s] for s in before) == 1
+    assert len(content(table)) == 201 and ("k3", "2024-01-05", 99) in content(table)
