@@ -10,6 +10,7 @@ broadcast a small batch nor be split where a key is hot, while these two can.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -60,7 +61,7 @@ def matched_keys(target: DataFrame, source: DataFrame, key: str, *carry: str) ->
     """
     copies = source.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
     return (
-        target.select(key, *carry).join(copies, key)
+        target.select(key, *carry).join(_own_stage(copies, key), key)
         .groupBy(key, *carry).agg(F.count(F.lit(1)).alias("rows"), F.max("copies").alias("copies"))
     )
 
@@ -68,17 +69,35 @@ def matched_keys(target: DataFrame, source: DataFrame, key: str, *carry: str) ->
 def merge_rows(target: DataFrame, source: DataFrame, key: str, matched: DataFrame) -> DataFrame:
     """All rows after the merge. ``matched`` is the result of ``matched_keys``, with single copies."""
     source = source.select(*target.columns)
-    columns = [c for c in target.columns if c != key]
     hits = matched.select(key)
-    new = source.join(hits, key, "left_semi").select(
-        F.col(key).alias("__key"), F.struct(*columns).alias("__new")
-    )
+    keyed, new_keyed = target.where(F.col(key).isNotNull()), source.where(F.col(key).isNotNull())
+    parts = [
+        _updated(keyed, new_keyed, key, hits),
+        new_keyed.join(hits, key, "left_anti"),
+        # Rows without a key match nothing. In a join they would all meet in one task.
+        target.where(F.col(key).isNull()),
+        source.where(F.col(key).isNull()),
+    ]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def _updated(target: DataFrame, source: DataFrame, key: str, hits: DataFrame) -> DataFrame:
+    columns = [c for c in target.columns if c != key]
+    # A matched key has one source row, so grouping loses nothing that is used; it does shrink a repeated
+    # new key to a row per task before the shuffle.
+    single = source.groupBy(key).agg(F.any_value(F.struct(*columns)).alias("__new"))
+    new = _own_stage(single.join(hits, key, "left_semi").withColumnRenamed(key, "__key"), "__key")
     hit = F.col("__new").isNotNull()
-    updated = target.join(new, F.col(key) == F.col("__key"), "left").select(*[
+    return target.join(new, F.col(key) == F.col("__key"), "left").select(*[
         F.col(key) if c == key else F.when(hit, F.col("__new").getField(c)).otherwise(F.col(c)).alias(c)
         for c in target.columns
     ])
-    return updated.unionByName(source.join(hits, key, "left_anti"))
+
+
+def _own_stage(df: DataFrame, key: str) -> DataFrame:
+    """Let a computed join side end in a shuffle of its own. AQE splits a hot key on the other side only
+    when both sides are finished stages. What moves here is never more than the batch."""
+    return df.repartition(F.xxhash64(key))
 
 
 def deduplicate(source: DataFrame, key: str, on_duplicate: str, order_by: Sequence[str]) -> DataFrame:
@@ -99,7 +118,8 @@ def _single_copies(matched: DataFrame, key: str) -> DataFrame:
 
 def _prepared(target, source, key, on_duplicate, order_by) -> tuple[DataFrame, DataFrame]:
     source = deduplicate(source, key, on_duplicate, order_by)
-    return source, _single_copies(matched_keys(target, source, key), key)
+    matched = _single_copies(matched_keys(target, source, key), key)
+    return source, _own_stage(matched, key)
 
 
 def upsert(
@@ -115,7 +135,8 @@ def upsert_stats(
 ) -> DataFrame:
     """One row: how many rows the merge inserts and updates."""
     source, matched = _prepared(target, source, key, on_duplicate, order_by)
-    inserts = source.join(matched.select(key), key, "left_anti")
+    keyed = source.where(F.col(key).isNotNull()).join(matched.select(key), key, "left_anti")
+    inserts = keyed.unionByName(source.where(F.col(key).isNull()))
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     parts = inserts.select(one.alias("i"), zero.alias("u")).union(matched.select(zero, F.col("rows")))
     total = {"rows_inserted": "i", "rows_updated": "u"}

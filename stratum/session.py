@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A hot key is split even where that costs one more shuffle of what is left after grouping.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Files written through the rebalance hint come out near this size.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Lets a two-way partitioned write keep both files open instead of sorting every task.
