@@ -46,6 +46,8 @@ def by_hash(key: str, slices: int) -> Callable[[], Column]:
 
 
 class SnapshotTable:
+    FOLDERS = T.StructType([T.StructField("commit", T.StringType()), T.StructField(SLICE, T.StringType())])
+
     def __init__(
         self, spark: SparkSession, path: str, schema: T.StructType, key: str,
         slice_by: Callable[[], Column] = one_slice,
@@ -66,6 +68,10 @@ class SnapshotTable:
     def read(self) -> DataFrame:
         return self._scan(self._current()["live"]).select(*self.schema.fieldNames())
 
+    def live(self) -> list[tuple[str, str]]:
+        """(commit, slice) of the folders that make up the current version."""
+        return [(commit, part) for commit, part in self._current()["live"]]
+
     def _versions(self) -> list[str]:
         return storage.names(self.spark, f"{self.path}/log")
 
@@ -74,8 +80,7 @@ class SnapshotTable:
         return json.loads(storage.read_text(self.spark, f"{self.path}/log/{self._versions()[-1]}"))
 
     def _scan(self, live: list) -> DataFrame:
-        schema = T.StructType([*self.schema.fields, T.StructField("commit", T.StringType()),
-                               T.StructField(SLICE, T.StringType())])
+        schema = T.StructType([*self.schema.fields, *self.FOLDERS.fields])
         if not live:
             return self.spark.createDataFrame([], schema).drop("commit")
         folders = [f"{self.path}/data/commit={commit}/{SLICE}={part}" for commit, part in live]

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from stratum import schemas
+from stratum import schemas, storage
 from stratum.functions import cleaning
 from stratum.layout import Layout
 from stratum.operators.snapshot import SnapshotTable, by_date, one_slice
@@ -23,6 +23,9 @@ from stratum.streaming import loads
 from stratum.streaming.changefeed import ChangeFeed
 from stratum.streaming.loads import LoadStats
 
+# Names SQL users know the marts by.
+DAILY_SALES_VIEW, AFFINITY_VIEW = "vw_daily_sales_analysis", "vw_customer_product_affinity"
+PARTITIONS_PER_STATEMENT = 500
 # What "latest" means when a feed holds a key twice.
 ARRIVAL_ORDER = ("ingestion_timestamp", "batch_id", "source_file_name", "source_file_row_number")
 
@@ -83,11 +86,11 @@ def process_customer_changes(spark: SparkSession, layout: Layout, **options) ->
     return merge(spark, layout, CUSTOMER, **options)
 
 
-def process_product_changes(spark: SparkSession, layout: Layout, **options) -> list[UpsertStats]:
+def merge_product_to_silver(spark: SparkSession, layout: Layout, **options) -> list[UpsertStats]:
     return merge(spark, layout, PRODUCT, **options)
 
 
-def process_order_changes(spark: SparkSession, layout: Layout, **options) -> list[UpsertStats]:
+def merge_order_to_silver(spark: SparkSession, layout: Layout, **options) -> list[UpsertStats]:
     return merge(spark, layout, ORDERS, **options)
 
 
@@ -100,7 +103,7 @@ def backfill(spark: SparkSession, layout: Layout, which: Conformed) -> UpsertSta
 def create_layers(spark: SparkSession, layout: Layout) -> None:
     """Namespaces and empty tables, where absent."""
     for name in ("bronze", "silver", "gold"):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{layout.root}/{name}'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{layout.root}/catalog/{name}'")
     for source in files.SOURCES:
         loads.ensure_raw(spark, source, layout)
     for which in CONFORMED:
@@ -129,16 +132,37 @@ def counts(spark: SparkSession, layout: Layout) -> DataFrame:
     )
 
 
-def register_views(spark: SparkSession, layout: Layout) -> None:
-    """Temporary views over the current raw and conformed tables and the marts, for SQL users.
+def register(spark: SparkSession, layout: Layout) -> None:
+    """Make everything known to SQL: ``bronze.raw_*`` and ``silver.*`` as external tables, the marts as
+    temporary views that are computed on each access.
 
-    Views of conformed tables show the version current now; register again after a merge.
+    Tables show what is there now; register again after a load or a merge.
     """
+    create_layers(spark, layout)
     for source in files.SOURCES:
-        loads.read_raw(spark, source, layout).createOrReplaceTempView(source.table)
-    customer, product, orders = (table(spark, layout, which).read() for which in CONFORMED)
-    customer.createOrReplaceTempView("customer")
-    product.createOrReplaceTempView("product")
-    orders.createOrReplaceTempView("orders")
-    marts.daily_sales(orders, product, customer).createOrReplaceTempView("daily_sales")
-    marts.customer_affinity(customer, orders, product).createOrReplaceTempView("customer_affinity")
+        path = layout.raw(source.table)
+        batches = [f"batch_id='{n.removeprefix('batch_id=')}'" for n in storage.names(spark, path)]
+        _external_table(spark, f"bronze.{source.table}", source.raw_schema, ["batch_id"], path, batches)
+    for which in CONFORMED:
+        stored = table(spark, layout, which)
+        slices = [f"commit='{commit}', slice='{part}'" for commit, part in stored.live()]
+        schema = T.StructType([*which.schema.fields, *stored.FOLDERS.fields])
+        _external_table(
+            spark, f"silver.{which.name}", schema, stored.FOLDERS.fieldNames(), f"{stored.path}/data", slices)
+    # Spelled out, so that the folder columns stay inside.
+    customer, product, orders = (
+        spark.table(f"silver.{which.name}").select(*which.schema.fieldNames()) for which in CONFORMED)
+    marts.daily_sales(orders, product, customer).createOrReplaceTempView(DAILY_SALES_VIEW)
+    marts.customer_affinity(customer, orders, product).createOrReplaceTempView(AFFINITY_VIEW)
+
+
+def _external_table(
+    spark: SparkSession, name: str, schema: T.StructType, folders: list[str], path: str, partitions: list[str],
+) -> None:
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+    storage.make_dir(spark, path)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({', '.join(folders)}) LOCATION '{path}'")
+    for start in range(0, len(partitions), PARTITIONS_PER_STATEMENT):
+        some = partitions[start:start + PARTITIONS_PER_STATEMENT]
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(f"PARTITION ({p})" for p in some))

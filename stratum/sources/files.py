@@ -1,8 +1,8 @@
 """Readers for the landing files.
 
 CSV and JSON are read as text columns and cast afterwards, so that one bad field costs one row. Parsing
-straight into types would lose more: a mistyped field taints every row of a JSON array file, and dropping
-malformed lines gives counts that depend on which columns a query happens to read.
+straight into types would lose more: dropping malformed lines, for one, gives counts that depend on which columns a
+query happens to read.
 """
 
 from __future__ import annotations
@@ -10,10 +10,11 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,18 +79,61 @@ def read_json_array(
     spark: SparkSession, paths: Paths, schema: T.StructType, *, landing_root: str | None = None,
     glob: str = "*.json", positions: bool = False,
 ) -> DataFrame:
-    """Files that hold one JSON array: one row per element, fields bound by name, as text.
+    """Files that hold a JSON array: one row per element, fields bound by name, as text.
 
-    The encoding is named so that a bad byte becomes U+FFFD instead of spoiling the file. A file that is
-    not valid JSON gives one row, with its text in ``_corrupt_record``.
+    Where every line of a file holds whole elements (an array written line by line, or objects without an
+    array around them), the file is read by lines and so by many tasks. Any other file is read as one text;
+    if its elements are not valid JSON, it gives one row with the text in ``_corrupt_record``. The brackets
+    around the elements may be missing. Bytes that are not UTF-8 become U+FFFD.
     """
-    df = (
-        spark.read.schema(_text_columns(schema))
-        .options(multiLine=True, encoding="UTF-8", mode="PERMISSIVE",
-                 columnNameOfCorruptRecord=casting.CORRUPT, **_folder_options(glob))
-        .json(_paths(spark, paths, landing_root))
+    def scan(files: list[str], whole: bool) -> DataFrame:
+        return spark.read.options(**_folder_options(glob)).text(files, wholetext=whole)
+
+    listed = _paths(spark, paths, landing_root)
+    by_file = (
+        scan(listed, whole=False)
+        .groupBy(F.col("_metadata.file_path").alias("file"))
+        .agg(F.bool_and(_element_count(F.col("value")).isNotNull()).alias("by_line"))
+        .collect()  # one row per file
+    )
+    broken_up = [literal(unquote(row.file)) for row in by_file if not row.by_line]
+    if not broken_up:
+        return _elements(scan(listed, whole=False), schema, positions)
+    parts = [_elements(scan(broken_up, whole=True), schema, positions)]
+    if len(broken_up) < len(by_file):
+        by_line = [literal(unquote(row.file)) for row in by_file if row.by_line]
+        parts.append(_elements(scan(by_line, whole=False), schema, positions))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def _inside_array(text: Column) -> Column:
+    """Part of a JSON array, made an array itself: an outer bracket or separator at either end goes."""
+    inner = F.regexp_replace(text, r"\A\x{FEFF}?\s*+[\[,]?", "")
+    inner = F.regexp_replace(inner, r"[\],]?\s*+\z", "")
+    return F.concat(F.lit("["), inner, F.lit("]"))
+
+
+def _element_count(text: Column) -> Column:
+    """Elements in a piece of text, NULL if it does not hold whole ones."""
+    return F.json_array_length(_inside_array(text))
+
+
+def _elements(texts: DataFrame, schema: T.StructType, positions: bool) -> DataFrame:
+    """One row per element of each text; a text that is not JSON is one row, marked corrupt."""
+    kind = _text_columns(schema)
+    parsed = F.from_json(_inside_array(F.col("value")), T.ArrayType(kind))
+    # The parser leaves out what it cannot fit into rows; then the text counts as corrupt as a whole.
+    complete = F.coalesce(F.size(parsed) == _element_count(F.col("value")), F.lit(False))
+    corrupt = F.struct(*[
+        (F.col("value") if f.name == casting.CORRUPT else F.lit(None).cast("string")).alias(f.name) for f in kind
+    ])
+    file_and_split, running = lineage.split_position()[:2], lineage.split_position()[2]
+    rows = texts.select(
+        *(file_and_split if positions else []),
+        F.explode(F.when(complete, parsed).otherwise(F.array(corrupt))).alias("element"),
     )
-    return df.select("*", *lineage.split_position()) if positions else df
+    rest = [c for c in rows.columns if c != "element"]
+    return rows.select("element.*", *rest, *([running] if positions else []))
 
 
 def read_parquet(

@@ -3,8 +3,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures
 from checks.scenarios import Landing
-from stratum import schemas
-from stratum.plans import runs
+from stratum.plans import marts, runs
 from stratum.sources import files
 from stratum.streaming import loads
 from tests.conftest import SF, rows, shape
@@ -53,13 +52,21 @@ def test_two_runs_equal_the_expected_state(spark, landing, layout, deliver):
     assert {r[0] for r in customer.select("customer_type").distinct().collect()} <= {"Regular", "Premium", "Unknown"}
     assert silver(spark, layout, runs.PRODUCT).where("price < 0 OR stock_quantity < 0 OR rating NOT BETWEEN 0 AND 5").count() == 0
 
-    runs.register_views(spark, layout)
-    assert spark.sql("SELECT count(*) FROM daily_sales").first()[0] >= 0
-    assert {t.name for t in spark.catalog.listTables()} >= {"raw_customer", "customer", "daily_sales", "customer_affinity"}
+    for _ in range(2):  # again after a change
+        runs.register(spark, layout)
+    for which in runs.CONFORMED:
+        known = spark.table(f"silver.{which.name}").select(*which.schema.fieldNames())
+        assert rows(known) == rows(runs.table(spark, layout, which).read())
+        raw = loads.read_raw(spark, which.source, layout)
+        assert spark.sql(f"SELECT count(*) FROM bronze.{which.source.table}").first()[0] == raw.count()
+        assert shape(spark.table(f"bronze.{which.source.table}").schema) == shape(which.source.raw_schema)
+    orders, product, customer = (runs.table(spark, layout, w).read() for w in (runs.ORDERS, runs.PRODUCT, runs.CUSTOMER))
+    assert rows(spark.sql("SELECT * FROM vw_daily_sales_analysis")) == rows(marts.daily_sales(orders, product, customer))
+    assert spark.table("vw_customer_product_affinity").count() == marts.customer_affinity(customer, orders, product).count()
+    assert {t.name for t in spark.catalog.listTables("silver")} >= {"customer", "product", "orders"}
     assert {d.name for d in spark.catalog.listDatabases()} >= {"bronze", "silver", "gold"}
-    assert shape(spark.table("customer").schema) == shape(schemas.SILVER_CUSTOMER)
-    for name in ("raw_customer", "raw_product", "raw_order", "customer", "product", "orders"):
-        spark.catalog.dropTempView(name)
+    for name in ("bronze", "silver", "gold"):
+        spark.sql(f"DROP DATABASE {name} CASCADE")
 
 
 def test_procedures_one_by_one(spark, landing, layout, deliver):
@@ -67,7 +74,7 @@ def test_procedures_one_by_one(spark, landing, layout, deliver):
     loads.load_customers(spark, str(landing), layout)
     loads.load_products(spark, str(landing), layout)
     loads.load_orders(spark, str(landing), layout)
-    for process in (runs.process_customer_changes, runs.process_product_changes, runs.process_order_changes):
+    for process in (runs.process_customer_changes, runs.merge_product_to_silver, runs.merge_order_to_silver):
         (stats,) = process(spark, layout)
         assert stats.inserted > 0 and stats.updated == 0 and "processed" in stats.message
         assert process(spark, layout) == []
@@ -80,10 +87,10 @@ def test_crash_between_snapshot_and_checkpoint(spark, landing, layout, deliver,
 
     monkeypatch.setattr(ChangeFeed, "_ledger", lambda self: 1 / 0)
     with pytest.raises(Exception, match="division by zero"):
-        runs.process_product_changes(spark, layout)
+        runs.merge_product_to_silver(spark, layout)
     monkeypatch.undo()
     before = rows(silver(spark, layout, runs.PRODUCT))
-    (replay,) = runs.process_product_changes(spark, layout)
+    (replay,) = runs.merge_product_to_silver(spark, layout)
     assert replay.replayed
     assert rows(silver(spark, layout, runs.PRODUCT)) == before
     assert runs.feed(spark, layout, runs.PRODUCT).pending().count() == 0
@@ -93,7 +100,7 @@ def test_null_product_ids_are_inserted_by_every_batch(spark, landing, layout):
     for name in ("a", "b"):
         (landing / f"Product/{name}.json").write_text('[{"name": "nil", "price": 1.0}]')
         loads.load_products(spark, str(landing), layout)
-        runs.process_product_changes(spark, layout)
+        runs.merge_product_to_silver(spark, layout)
     assert silver(spark, layout, runs.PRODUCT).where("product_id IS NULL").count() == 2
 
 
@@ -104,11 +111,11 @@ def test_duplicate_keys_in_one_feed(spark, landing, layout):
         loads.load_products(spark, str(landing), layout)
 
     drop("a", 1.0)
-    runs.process_product_changes(spark, layout)
+    runs.merge_product_to_silver(spark, layout)
     drop("b", 2.0, 3.0)
     with pytest.raises(Exception, match="several|2 incoming rows"):
-        runs.process_product_changes(spark, layout)
-    runs.process_product_changes(spark, layout, on_duplicate="latest")
+        runs.merge_product_to_silver(spark, layout)
+    runs.merge_product_to_silver(spark, layout, on_duplicate="latest")
     assert [r.price for r in silver(spark, layout, runs.PRODUCT).collect()] == [3.0]
 
 

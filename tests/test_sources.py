@@ -85,6 +85,64 @@ def test_json_array(spark, landing):
     assert errors == [("*", '[{"product_id":7},{"product_id":}]'), ("product_id", "x")]
 
 
+ITEMS = [
+    {"product_id": 1, "name": "a } , ] \" \\ { [", "price": 1.25, "stock_quantity": 2, "rating": -1.50, "is_active": True},
+    {"product_id": 2, "name": None, "extra": {"deep": [1, {"x": "}"}]}},
+    {"product_id": 3, "name": "\u00e9\n", "price": "7"},
+    {},
+]
+EXPECTED = [
+    (1, 'a } , ] " \\ { [', 1.25, 2, -1.5, True), (2, None, None, None, None, None),
+    (3, "\u00e9\n", 7.0, None, None, None), (None,) * 6,
+]
+
+
+@pytest.mark.parametrize("text", [
+    json.dumps(ITEMS),  # all in one line
+    json.dumps(ITEMS, indent=2),  # spread over lines
+    "[" + ",\n".join(map(json.dumps, ITEMS)) + "]",
+    "[\n" + "\n, ".join(map(json.dumps, ITEMS)) + "\n]\n",
+    "\n\n".join(map(json.dumps, ITEMS)),  # no array around the objects
+    "[" + ",\n".join(map(json.dumps, ITEMS)),  # the end of the array is lost, the elements are not
+    "\ufeff" + json.dumps(ITEMS[:2])[:-1] + ",\r\n" + json.dumps(ITEMS[2:])[1:],
+])
+def test_json_layouts(spark, landing, text):
+    (landing / "Product/a[1] b.json").write_text(text, newline="")
+    df = files.read_json_array(spark, str(landing / "Product"), schemas.PRODUCT)
+    good, bad = casting.cast_or_reject(df, schemas.PRODUCT)
+    fields = ["product_id", "name", "price", "stock_quantity", "rating", "is_active"]
+    assert rows(good.select(fields)) == sorted(EXPECTED, key=lambda r: [(v is not None, str(v)) for v in r])
+    assert bad.count() == 0
+    assert df.count() == 4
+
+
+@pytest.mark.parametrize("text", [
+    '[{"product_id": 1}, {"product_id": 2', '{"product_id": 1\n}\n{"product_id": 2\n}', "[1, {", "junk", '{"product_id": 1}}',
+])
+def test_json_that_is_not_valid_is_rejected_not_cut(spark, landing, text):
+    (landing / "Product/bad.json").write_text(text)
+    (landing / "Product/good.json").write_text('[{"product_id": 9}]')
+    (landing / "Product/empty.json").write_text("")
+    df = files.read_json_array(spark, str(landing / "Product"), schemas.PRODUCT)
+    good, bad = casting.cast_or_reject(df, schemas.PRODUCT)
+    assert [r.product_id for r in good.collect()] == [9]
+    assert [r.value for r in bad.select(F.inline("errors")).collect()] == [text]
+
+
+def test_large_json_file_is_read_by_many_tasks(spark, landing):
+    with open(landing / "Product/big.json", "w") as f:
+        f.write("[" + ",\n".join(json.dumps({"product_id": i}) for i in range(20_000)) + "]")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1000")
+    try:
+        df = files.read_json_array(spark, str(landing / "Product"), schemas.PRODUCT)
+        assert df.rdd.getNumPartitions() > 5
+        assert df.select(F.sum(F.col("product_id").cast("long")), F.count("*")).first()[:] == (19_999 * 10_000, 20_000)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def order_table(**changes):
     columns = {
         "payment_method": ["Card", " Pay "], "quantity": ["1", "2"], "transaction_id": ["T1", "T2"],
