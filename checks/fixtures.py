@@ -7,6 +7,7 @@ tables is used.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 GIVEN = ("customer", "part", "orders", "lineitem", "events")
 
@@ -86,8 +87,15 @@ NUMBER = {
 }
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. Its footer is read once per process, not by a job of its own in every query."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -109,29 +109,29 @@ def _big(column: str) -> str:
 REPORTS = {
     "top_products": f"""SELECT product_name, product_category, {_money('total_sales')} AS total_revenue,
   {_big('total_quantity')} AS total_units_sold, {_big('num_transactions')} AS total_transactions
-FROM daily_mart GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 10""",
+FROM daily_mart GROUP BY 1, 2 ORDER BY 3 DESC NULLS FIRST, 1, 2 LIMIT 10""",
     "revenue_by_segment": f"""SELECT customer_type, {_money('total_sales')} AS total_revenue,
   {_big('num_transactions')} AS total_transactions, {_mean('avg_transaction_value')} AS avg_basket_size
-FROM daily_mart GROUP BY 1 ORDER BY 2 DESC""",
+FROM daily_mart GROUP BY 1 ORDER BY 2 DESC NULLS FIRST""",
     "daily_trend": f"""SELECT transaction_date, {_money('total_sales')} AS daily_revenue,
   {_big('total_quantity')} AS daily_units_sold, {_big('num_transactions')} AS daily_transactions
-FROM daily_mart GROUP BY 1 ORDER BY 1 DESC LIMIT 30""",
+FROM daily_mart GROUP BY 1 ORDER BY 1 DESC NULLS FIRST LIMIT 30""",
     "top_customers": f"""SELECT customer_id, customer_type, count(DISTINCT product_id) AS distinct_products_bought,
   {_big('purchase_count')} AS total_orders, {_money('total_spent')} AS lifetime_spend,
   {_mean('avg_purchase_amount')} AS avg_order_value
-FROM affinity_mart GROUP BY 1, 2 ORDER BY 5 DESC, 1, 2 LIMIT 10""",
+FROM affinity_mart GROUP BY 1, 2 ORDER BY 5 DESC NULLS FIRST, 1, 2 LIMIT 10""",
     "category_by_segment": f"""SELECT customer_type, product_category, {_big('purchase_count')} AS total_orders,
   {_big('total_quantity')} AS total_units, {_money('total_spent')} AS total_revenue
-FROM affinity_mart GROUP BY 1, 2 ORDER BY 1, 5 DESC, 2""",
+FROM affinity_mart GROUP BY 1, 2 ORDER BY 1, 5 DESC NULLS FIRST, 2""",
     "repeat_buyers": """SELECT customer_id, product_name, product_category, purchase_month, purchase_count,
   total_spent, days_between_first_last_purchase
 FROM affinity_mart WHERE purchase_count > 1
-ORDER BY purchase_count DESC, total_spent DESC, customer_id, purchase_month, product_name, product_category,
+ORDER BY purchase_count DESC NULLS FIRST, total_spent DESC NULLS FIRST, customer_id, purchase_month, product_name, product_category,
   days_between_first_last_purchase LIMIT 20""",
     "monthly_trend": f"""SELECT purchase_month, count(DISTINCT customer_id) AS active_customers,
   count(DISTINCT product_id) AS products_purchased, {_money('total_spent')} AS monthly_revenue,
   {_mean('avg_purchase_amount')} AS avg_order_value
-FROM affinity_mart GROUP BY 1 ORDER BY 1 DESC""",
+FROM affinity_mart GROUP BY 1 ORDER BY 1 DESC NULLS FIRST""",
 }
 
 

@@ -1,6 +1,7 @@
 """Reports over the marts. Averages here are plain means over mart rows, as the marts' users expect.
 
-Where the result is cut, the sort ends in columns that make it total, so the cut is repeatable.
+NULL sorts as the largest value: last when ascending, first when descending. Where the result is cut, the
+sort ends in columns that make it total, so the cut is repeatable.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ def top_products(daily: DataFrame, n: int = TOP_PRODUCTS, money_type: str | None
         F.sum("total_quantity").alias("total_units_sold"),
         F.sum("num_transactions").alias("total_transactions"),
     ).orderBy(
-        F.desc_nulls_last("total_revenue"), F.asc_nulls_last("product_name"), F.asc_nulls_last("product_category")
+        F.desc_nulls_first("total_revenue"), F.asc_nulls_last("product_name"), F.asc_nulls_last("product_category")
     ).limit(n)
 
 
@@ -33,16 +34,23 @@ def revenue_by_segment(daily: DataFrame, money_type: str | None = None) -> DataF
         _money("total_sales", money_type).alias("total_revenue"),
         F.sum("num_transactions").alias("total_transactions"),
         F.avg("avg_transaction_value").alias("avg_basket_size"),
-    ).orderBy(F.desc_nulls_last("total_revenue"), F.asc_nulls_last("customer_type"))
+    ).orderBy(F.desc_nulls_first("total_revenue"), F.asc_nulls_last("customer_type"))
 
 
 def daily_trend(daily: DataFrame, days: int = TREND_DAYS, money_type: str | None = None) -> DataFrame:
-    """The most recent days that have sales."""
-    return daily.groupBy("transaction_date").agg(
+    """The most recent days that have sales.
+
+    Finds those days first, from the keys alone. Their lower bound then reaches the scan of the orders, so
+    sums and distinct counts are made for these days and not for the whole history.
+    """
+    day = F.col("transaction_date")
+    newest = F.desc_nulls_first("transaction_date")
+    oldest_shown = daily.select(day).distinct().orderBy(newest).limit(days).agg(F.min(day)).scalar()
+    return daily.where((day >= oldest_shown) | day.isNull()).groupBy("transaction_date").agg(
         _money("total_sales", money_type).alias("daily_revenue"),
         F.sum("total_quantity").alias("daily_units_sold"),
         F.sum("num_transactions").alias("daily_transactions"),
-    ).orderBy(F.desc_nulls_last("transaction_date")).limit(days)
+    ).orderBy(newest).limit(days)
 
 
 def top_customers(affinity: DataFrame, n: int = TOP_CUSTOMERS, money_type: str | None = None) -> DataFrame:
@@ -52,7 +60,7 @@ def top_customers(affinity: DataFrame, n: int = TOP_CUSTOMERS, money_type: str |
         _money("total_spent", money_type).alias("lifetime_spend"),
         F.avg("avg_purchase_amount").alias("avg_order_value"),
     ).orderBy(
-        F.desc_nulls_last("lifetime_spend"), F.asc_nulls_last("customer_id"), F.asc_nulls_last("customer_type")
+        F.desc_nulls_first("lifetime_spend"), F.asc_nulls_last("customer_id"), F.asc_nulls_last("customer_type")
     ).limit(n)
 
 
@@ -62,7 +70,7 @@ def category_by_segment(affinity: DataFrame, money_type: str | None = None) -> D
         F.sum("total_quantity").alias("total_units"),
         _money("total_spent", money_type).alias("total_revenue"),
     ).orderBy(
-        F.asc_nulls_last("customer_type"), F.desc_nulls_last("total_revenue"), F.asc_nulls_last("product_category")
+        F.asc_nulls_last("customer_type"), F.desc_nulls_first("total_revenue"), F.asc_nulls_last("product_category")
     )
 
 
@@ -73,7 +81,7 @@ def repeat_buyers(affinity: DataFrame, n: int = REPEAT_BUYERS) -> DataFrame:
         "days_between_first_last_purchase",
     ]
     return affinity.where(F.col("purchase_count") > 1).orderBy(
-        F.desc("purchase_count"), F.desc_nulls_last("total_spent"),
+        F.desc_nulls_first("purchase_count"), F.desc_nulls_first("total_spent"),
         F.asc_nulls_last("customer_id"), F.asc_nulls_last("purchase_month"), F.asc_nulls_last("product_name"),
         F.asc_nulls_last("product_category"), F.asc_nulls_last("days_between_first_last_purchase"),
     ).limit(n).select(*shown)
@@ -85,4 +93,4 @@ def monthly_trend(affinity: DataFrame, money_type: str | None = None) -> DataFra
         F.countDistinct("product_id").alias("products_purchased"),
         _money("total_spent", money_type).alias("monthly_revenue"),
         F.avg("avg_purchase_amount").alias("avg_order_value"),
-    ).orderBy(F.desc_nulls_last("purchase_month"))
+    ).orderBy(F.desc_nulls_first("purchase_month"))

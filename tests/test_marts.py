@@ -2,6 +2,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from stratum import schemas
 from stratum.plans import marts, quality, reports
@@ -139,6 +140,34 @@ def test_reports_are_cut_and_sorted(small):
     assert reports.revenue_by_segment(daily).count() == 4
 
 
+@pytest.mark.parametrize("days", [1, 3, 30, 500])
+def test_daily_trend_equals_a_cut_of_all_days(spark, small, days):
+    """With a day missing in some orders: no day sorts first and takes one of the places."""
+    orders, product, customer = small
+    undated = orders.limit(40).withColumn("transaction_date", F.lit(None).cast("date"))
+    for extra in (orders, orders.unionByName(undated), undated):
+        daily = marts.daily_sales(extra, product, customer)
+        totals = {}
+        for r in daily.collect():
+            t = totals.setdefault(r.transaction_date, [0.0, None, 0])
+            t[0] += r.total_sales
+            t[1] = t[1] if r.total_quantity is None else (t[1] or 0) + r.total_quantity
+            t[2] += r.num_transactions
+        newest = sorted(totals, key=lambda d: (d is None, d or DAY), reverse=True)[:days]
+        got = [(r[0], *r[1:]) for r in reports.daily_trend(daily, days).collect()]
+        assert got == [(d, *totals[d]) for d in newest]
+
+
+def test_daily_trend_scans_recent_orders_only(spark, small, tmp_path):
+    orders, product, customer = small
+    for month, part in enumerate(orders.randomSplit([0.5, 0.5], 1)):
+        part.sort("transaction_date").coalesce(1).write.mode("append").parquet(str(tmp_path / "o"))
+    stored = spark.read.parquet(str(tmp_path / "o"))
+    text = plan(reports.daily_trend(marts.daily_sales(stored, product, customer), 3))
+    scan = next(line for line in text.splitlines() if "FileScan" in line and "transaction_id" in line)
+    assert "transaction_date" in scan.split("DataFilters")[1] and "Subquery" in scan
+
+
 def test_counters_are_null_when_nothing_is_bad(spark):
     orders = spark.createDataFrame([("a", 1, 1, 1, "Online", 2.0, DAY, "Card"), ("b", 1, 1, 1, "Online", 3.0, DAY, "Card")], schemas.ORDER)
     assert tuple(quality.profile_orders(orders).first()) == (2, None, None, 2.0, 3.0, DAY, DAY, 1, 1)
