@@ -51,7 +51,7 @@ def null_markers(spark: SparkSession, sf: str) -> DataFrame:
     return casting.null_if(fixtures.derived(spark, sf, "raw_text"), files.NULL_MARKERS, ["name_txt"])
 
 
-_TEXT_SCHEMA = schemas._struct(id_txt=schemas.LONG, date_txt=schemas.DAY)
+_TEXT_SCHEMA = schemas.struct(id_txt=schemas.LONG, date_txt=schemas.DAY)
 
 
 def cast_good(spark: SparkSession, sf: str) -> DataFrame:
@@ -66,7 +66,7 @@ def cast_bad(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def parquet_typed_scan(spark: SparkSession, sf: str) -> DataFrame:
-    target = schemas._struct(
+    target = schemas.struct(
         o_orderdate=schemas.DAY, o_orderkey=schemas.TEXT, o_custkey=schemas.INT, o_totalprice=schemas.REAL,
         o_orderstatus=schemas.TEXT,
     )
@@ -126,17 +126,17 @@ def _all_raw(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 def feed_incremental_upsert(spark: SparkSession, sf: str) -> DataFrame:
     rows = {"orders": fixtures.derived(spark, sf, "raw_order_unique")}
-    bench = scenarios.two_deliveries(spark, rows)
-    return runs.table(spark, bench.layout, runs.ORDERS).read().drop("last_updated_timestamp")
+    space = scenarios.two_deliveries(spark, rows)
+    return runs.table(spark, space.layout, runs.ORDERS).read().drop("last_updated_timestamp")
 
 
 def end_to_end_layer_counts(spark: SparkSession, sf: str) -> DataFrame:
-    bench, result = scenarios.Bench(spark), None
+    space, result = scenarios.Workspace(spark), None
     sources = {which.name: which.source for which in runs.CONFORMED}
     for cut in (fixtures.first_delivery, fixtures.second_delivery):
         for which, rows in _all_raw(spark, sf).items():
-            bench.landing.write(sources[which], cut(rows, which))
-        result = runs.run_end_to_end(spark, bench.layout, bench.landing.root)
+            space.landing.write(sources[which], cut(rows, which))
+        result = runs.run_end_to_end(spark, space.layout, space.landing.root)
     return result
 
 

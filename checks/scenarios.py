@@ -48,7 +48,7 @@ class Landing:
         ).write.partitionBy("chunk").text(path)
 
 
-class Bench:
+class Workspace:
     """A fresh warehouse and landing folder below the working folder."""
 
     def __init__(self, spark: SparkSession):
@@ -66,47 +66,47 @@ class Bench:
 
 def round_trip(spark: SparkSession, rows: DataFrame, which: runs.Conformed) -> DataFrame:
     """Write the rows as landing files in two parts, load after each, return the raw table."""
-    bench, source = Bench(spark), which.source
+    space, source = Workspace(spark), which.source
     odd = F.pmod(F.xxhash64(*rows.columns), F.lit(2)) == 1
     for part in (rows.where(odd), rows.where(~odd)):
-        bench.landing.write(source, part)
-        bench.load(source)
-        bench.load(source)  # nothing new: must add nothing
-    return bench.raw(source).select(*source.schema.fieldNames())
+        space.landing.write(source, part)
+        space.load(source)
+        space.load(source)  # nothing new: must add nothing
+    return space.raw(source).select(*source.schema.fieldNames())
 
 
 def row_numbers(spark: SparkSession, rows: DataFrame, which: runs.Conformed) -> DataFrame:
     """Per file of the raw table, whether its row numbers are exactly 1..n; then rows in all."""
-    bench, source = Bench(spark), which.source
-    bench.landing.write(source, rows)
-    bench.load(source)
+    space, source = Workspace(spark), which.source
+    space.landing.write(source, rows)
+    space.load(source)
     number = F.col("source_file_row_number")
-    per_file = bench.raw(source).groupBy("source_file_name").agg(
+    per_file = space.raw(source).groupBy("source_file_name").agg(
         F.count(number).alias("n"), F.countDistinct(number).alias("d"), F.min(number).alias("lo"), F.max(number).alias("hi")
     )
     good = (F.col("n") == F.col("d")) & (F.col("lo") == 1) & (F.col("hi") == F.col("n"))
     return per_file.agg(F.sum("n").alias("row_count"), F.bool_and(good).alias("numbered_from_one"))
 
 
-def two_deliveries(spark: SparkSession, raw: dict[str, DataFrame], consume_last: bool = True) -> Bench:
+def two_deliveries(spark: SparkSession, raw: dict[str, DataFrame], consume_last: bool = True) -> Workspace:
     """Load and merge the first delivery of each table, then the second."""
-    bench = Bench(spark)
+    space = Workspace(spark)
     by_name = {which.name: which for which in runs.CONFORMED}
     for number, cut in enumerate((fixtures.first_delivery, fixtures.second_delivery)):
         for name, rows in raw.items():
             which = by_name[name]
-            bench.landing.write(which.source, cut(rows, name))
-            bench.load(which.source)
+            space.landing.write(which.source, cut(rows, name))
+            space.load(which.source)
             if number == 0 or consume_last:
-                runs.merge(spark, bench.layout, which)
-    return bench
+                runs.merge(spark, space.layout, which)
+    return space
 
 
 def pending(spark: SparkSession, raw: dict[str, DataFrame]) -> DataFrame:
     """Rows of the second delivery, not merged yet, as each change feed counts them."""
-    bench = two_deliveries(spark, raw, consume_last=False)
+    space = two_deliveries(spark, raw, consume_last=False)
     counts = [
-        runs.feed(spark, bench.layout, which).pending()
+        runs.feed(spark, space.layout, which).pending()
         .agg(F.count(F.lit(1)).alias("pending_rows")).select(F.lit(which.source.table).alias("table_name"), "pending_rows")
         for which in runs.CONFORMED if which.name in raw
     ]
@@ -117,9 +117,9 @@ def pending(spark: SparkSession, raw: dict[str, DataFrame]) -> DataFrame:
 
 
 def backfilled_twice(spark: SparkSession, raw: DataFrame, which: runs.Conformed) -> DataFrame:
-    bench = Bench(spark)
-    bench.landing.write(which.source, raw)
-    bench.load(which.source)
-    runs.backfill(spark, bench.layout, which)
-    runs.backfill(spark, bench.layout, which)
-    return runs.table(spark, bench.layout, which).read().drop("last_updated_timestamp")
+    space = Workspace(spark)
+    space.landing.write(which.source, raw)
+    space.load(which.source)
+    runs.backfill(spark, space.layout, which)
+    runs.backfill(spark, space.layout, which)
+    return runs.table(spark, space.layout, which).read().drop("last_updated_timestamp")

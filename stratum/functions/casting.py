@@ -39,6 +39,8 @@ def convert(value: Column, source: T.DataType, target: T.DataType) -> Column:
     if isinstance(target, T.FractionalType) and isinstance(source, T.StringType):
         # The JVM reads "1.5d" and "1.5f" as numbers; a data file does not mean that.
         return F.when(~value.rlike(r"[0-9.][dDfF]\s*$"), value.try_cast(target))
+    if isinstance(target, T.DateType) and isinstance(source, T.NumericType):
+        return F.lit(None).cast(target)  # a bare number is no date
     direct = isinstance(source, T.StringType) or (
         isinstance(target, (T.FractionalType, T.BooleanType)) and isinstance(source, T.NumericType)
     ) or (isinstance(target, T.DateType) and isinstance(source, (T.TimestampType, T.TimestampNTZType)))

@@ -47,6 +47,7 @@ def test_other_sources(spark):
     assert converted(spark, [5], schemas.LONG, schemas.TEXT) == ["5"]
     assert converted(spark, [True], schemas.FLAG, schemas.INT) == [1]
     assert converted(spark, [5], schemas.LONG, schemas.REAL) == [5.0]
+    assert converted(spark, [19000, None], schemas.INT, schemas.DAY) == [None, None]
 
 
 def test_null_markers(spark):
@@ -57,7 +58,7 @@ def test_null_markers(spark):
 
 
 def test_every_row_is_good_or_rejected(spark):
-    schema = schemas._struct(n=schemas.LONG, d=schemas.DAY, missing=schemas.TEXT)
+    schema = schemas.struct(n=schemas.LONG, d=schemas.DAY, missing=schemas.TEXT)
     df = spark.createDataFrame(
         [("1", "2024-01-01", 1), ("x", "n/a", 2), (None, None, 3), ("2.5", "2024-01-02", 4)], "n string, d string, row int")
     good, bad = casting.cast_or_reject(df, schema)

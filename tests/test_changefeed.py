@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from stratum import schemas
 from stratum.streaming.changefeed import ChangeFeed
 
-SCHEMA = schemas._struct(id=schemas.LONG, batch_id=schemas.TEXT)
+SCHEMA = schemas.struct(id=schemas.LONG, batch_id=schemas.TEXT)
 
 
 @pytest.fixture

@@ -9,7 +9,7 @@ from stratum.operators.upsert import DuplicateSourceKey
 from stratum.streaming.arrivals import Delivery
 from tests.conftest import rows
 
-SCHEMA = schemas._struct(k=schemas.TEXT, day=schemas.DAY, v=schemas.INT)
+SCHEMA = schemas.struct(k=schemas.TEXT, day=schemas.DAY, v=schemas.INT)
 
 
 @pytest.fixture
