@@ -133,11 +133,15 @@ class SnapshotTable:
         storage.remove(self.spark, work)
         return UpsertStats(self.name, inserted, sum(row.rows for row in totals), version)
 
+    def _slice(self) -> Column:
+        """The slice of a row, in characters that a folder name holds as they are."""
+        return F.coalesce(F.regexp_replace(self.slice_by(), "[^A-Za-z0-9._-]", "_"), F.lit("none"))
+
     def _write(self, rows: DataFrame, state: dict) -> tuple[str, int]:
         commit = f"{state['version'] + 1:09d}-{uuid.uuid4().hex[:8]}"
         path = f"{self.path}/data/commit={commit}"
         (
-            rows.select(*self.schema.fieldNames(), self.slice_by().alias(SLICE))
+            rows.select(*self.schema.fieldNames(), self._slice().alias(SLICE))
             # Few files per slice, and several tasks for a slice that is large.
             .hint("rebalance", SLICE)
             .write.partitionBy(SLICE).parquet(path)

@@ -121,19 +121,22 @@ def _element_count(text: Column) -> Column:
 def _elements(texts: DataFrame, schema: T.StructType, positions: bool) -> DataFrame:
     """One row per element of each text; a text that is not JSON is one row, marked corrupt."""
     kind = _text_columns(schema)
-    parsed = F.from_json(_inside_array(F.col("value")), T.ArrayType(kind))
+    *where, running = lineage.split_position()
+    # Step by step, so that each text is parsed once however often the result is used.
+    pieces = texts.select("value", _inside_array(F.col("value")).alias("piece"), *(where if positions else []))
+    kept = [c for c in pieces.columns if c not in ("value", "piece")]
+    parsed = pieces.select(
+        "value", F.json_array_length("piece").alias("count"),
+        F.from_json("piece", T.ArrayType(kind)).alias("parsed"), *kept,
+    )
     # The parser leaves out what it cannot fit into rows; then the text counts as corrupt as a whole.
-    complete = F.coalesce(F.size(parsed) == _element_count(F.col("value")), F.lit(False))
+    complete = F.coalesce(F.size("parsed") == F.col("count"), F.lit(False))
     corrupt = F.struct(*[
         (F.col("value") if f.name == casting.CORRUPT else F.lit(None).cast("string")).alias(f.name) for f in kind
     ])
-    file_and_split, running = lineage.split_position()[:2], lineage.split_position()[2]
-    rows = texts.select(
-        *(file_and_split if positions else []),
-        F.explode(F.when(complete, parsed).otherwise(F.array(corrupt))).alias("element"),
-    )
-    rest = [c for c in rows.columns if c != "element"]
-    return rows.select("element.*", *rest, *([running] if positions else []))
+    elements = F.when(complete, F.col("parsed")).otherwise(F.array(corrupt))
+    rows = parsed.select(F.explode(elements).alias("element"), *kept)
+    return rows.select("element.*", *kept, *([running] if positions else []))
 
 
 def read_parquet(

@@ -152,3 +152,11 @@ def test_hash_slices(spark, tmp_path, frame):
     after = live(table)
     assert sum(before[s] != after[s] for s in before) == 1
     assert len(content(table)) == 201 and ("k3", "2024-01-05", 99) in content(table)
+
+
+def test_slice_names_are_safe_folder_names(spark, tmp_path, frame):
+    table = SnapshotTable(spark, str(tmp_path / "t"), SCHEMA, "k", by_date("day", "yyyy/MM 'a:b='"))
+    table.merge(frame(("a", "2024-01-05", 1), ("b", None, 2)))
+    table.merge(frame(("a", "2024-01-05", 3)))
+    assert content(table) == [("a", "2024-01-05", 3), ("b", None, 2)]
+    assert set(live(table)) == {"2024_01_a_b_", "undated"}
