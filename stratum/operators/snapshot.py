@@ -109,9 +109,10 @@ class SnapshotTable:
         source = merging.deduplicate(source, self.key, on_duplicate, order_by)
         source = source.select(*self.schema.fieldNames())
 
+        stored = self._scan(state["live"])
         work = f"{self.path}/work/{uuid.uuid4().hex}"
         # Stored: it is used several times below, and its true size lets Spark broadcast it when small.
-        found = merging.matched_keys(self._scan(state["live"]), source, self.key, SLICE)
+        found = merging.matched_keys(stored, source, self.key, SLICE)
         found.write.parquet(work)
         matched = self.spark.read.schema(found.schema).parquet(work)
         totals = matched.groupBy(SLICE).agg(
@@ -125,7 +126,8 @@ class SnapshotTable:
         rewrite = {row[SLICE] for row in totals}
         rewrite |= {part for part, n in Counter(part for _, part in state["live"]).items()
                     if n >= FOLDERS_PER_SLICE}
-        touched = self._scan([entry for entry in state["live"] if entry[1] in rewrite]).drop(SLICE)
+        # The same scan, its files listed once; only the folders of these slices are read.
+        touched = stored.where(F.col(SLICE).isin(*rewrite) if rewrite else F.lit(False)).drop(SLICE)
         commit, written = self._write(merging.merge_rows(touched, source, self.key, matched), state)
         # Row counts come from Parquet footers; they stay exact when tasks are retried.
         inserted = written - touched.count()
