@@ -1,0 +1,67 @@
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from stratum.llm import words as W
+from stratum.llm.xxh64 import xxh64
+from tests.llm.helpers import letters_digits, lower, spaced
+
+TEXT = st.one_of(st.none(), st.text(max_size=40), st.text(alphabet="aB1 \t\n\x0b\x1f.é世😀", max_size=60))
+
+
+def split(words, d):
+    data = words.data.tobytes()
+    return [data[words.starts[i] : words.ends[i]].decode() for i in range(words.first[d], words.first[d + 1])]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(TEXT, max_size=6))
+def test_words_are_those_of_the_pattern(texts):
+    texts = [t.encode("utf-8", "ignore").decode() if t is not None else None for t in texts]
+    data, bounds = W.text_bytes(pa.array(texts, pa.string()))
+    plain, folded = W.Words(data, bounds), W.Words(data, bounds, W.SPACED, lower=True)
+    letters = W.Words(data, bounds, W.LETTERS_DIGITS, lower=True)
+    for d, text in enumerate(texts):
+        assert split(plain, d) == spaced(text)
+        assert split(folded, d) == spaced(lower(text))
+        assert split(letters, d) == letters_digits(text)
+    joined, starts, ends = plain.joined()
+    assert [joined[s:e].decode() for s, e in zip(starts, ends)] == [w for t in texts for w in spaced(t)]
+    assert joined.decode() == "".join(w + " " for t in texts for w in spaced(t))
+
+
+def test_equal_words_and_only_those_have_equal_hashes():
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choice("abc") for _ in range(rng.randint(1, 6))) for _ in range(300)) for _ in range(5)]
+    data, bounds = W.text_bytes(pa.array(texts))
+    words = W.Words(data, bounds)
+    spelled = [w for t in texts for w in spaced(t)]
+    hashes = words.hashes().tolist()
+    assert len(set(zip(spelled, hashes))) == len(set(spelled)) == len(set(hashes))
+    parts = np.arange(len(words) - 2)
+    three = W.stretch_hashes(words.hashes(), parts, parts + 3).tolist()
+    runs = list(zip(spelled, spelled[1:], spelled[2:]))
+    assert len(set(zip(runs, three))) == len(set(runs)) == len(set(three))
+
+
+@pytest.mark.parametrize("seed", [0, 42])
+def test_xxh64_is_that_of_the_library(seed):
+    rng = np.random.default_rng(1)
+    data = rng.integers(0, 256, 20_000, dtype=np.uint8).tobytes()
+    sizes = np.concatenate([np.arange(140), [500, 1023, 1024, 1025, 5000]])
+    starts = rng.integers(0, len(data) - sizes + 1)
+    got = xxh64(data, starts, starts + sizes, seed, chunk=50)
+    assert got.tolist() == [xxhash.xxh64_intdigest(data[a : a + n], seed) for a, n in zip(starts, sizes)]
+
+
+def test_slices_keep_every_row():
+    texts = ["x" * n for n in (5, 0, 700, 3, 3, 900, 1)] + [None]
+    batch = pa.RecordBatch.from_pydict({"n": list(range(8)), "text": pa.array(texts, pa.string())})
+    parts = list(W.slices(batch, size=600))
+    assert [n for p in parts for n in p.column("n").to_pylist()] == list(range(8)) and len(parts) > 2
+    assert list(W.slices(batch.slice(0, 0))) == []
