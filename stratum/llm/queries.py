@@ -3,14 +3,88 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stratum.llm import simhash
-from stratum.llm.tables import given
+from stratum.llm import decontaminate, langid, packing, simhash, substring
+from stratum.llm.tables import crc_of_id, given
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(given(spark, sf_dir, "documents"), with_ids=False)
+
+
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(given(spark, sf_dir, "documents"), given(spark, sf_dir, "benchmark"))
+    ids = F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",")
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"), "n_words", "n_hit", "n_items", F.sha2(ids, 256).alias("items_sha256"),
+        "contaminated")
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.dedup_substrings(given(spark, sf_dir, "documents").select("doc_id", "text"), joined=True)
+    return found.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+LANGUAGE_FOLD, LANGUAGE_FOLDS = 2, 4
+
+
+def learned_languages(docs: DataFrame) -> langid.Model | None:
+    """Models of the languages of all documents that are not held out."""
+    return langid.train(docs.where(crc_of_id() % LANGUAGE_FOLDS != LANGUAGE_FOLD))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = given(spark, sf_dir, "documents")
+    held_out = (crc_of_id() % LANGUAGE_FOLDS == LANGUAGE_FOLD).alias("held_out")
+    found = langid.predictions(docs.select("doc_id", "text"), learned_languages(docs))
+    return found.select("row.*", "lang_pred", "score", "bits", "rejected").select(
+        "doc_id", held_out, "lang_pred", "score", "bits", "rejected")
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(given(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op10_simhash_near_dedup,)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op3_best_fit_packing, op4_benchmark_decontamination, op5_substring_dedup, op8_language_id, op10_simhash_near_dedup,
+)}
+
+# op4: every window of an item, every run of as many words of a document. Words are numbered, so that a document word
+# is hit if it lies in a run that equals a window.
+_OP4 = r"""
+WITH tokens AS (
+  SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL
+  SELECT 'b', item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS run, least(13, len(w)) AS size
+  FROM (SELECT id AS item_id, w, unnest(range(1, greatest(2, len(w) - 11))) AS i FROM tokens WHERE kind = 'b' AND len(w) > 0)),
+runs AS (
+  SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS run
+  FROM (SELECT id AS doc_id, w, size, unnest(range(1, greatest(1, len(w) - size + 2))) AS i
+        FROM tokens, (SELECT DISTINCT size FROM windows) WHERE kind = 'd')),
+found AS (SELECT doc_id, item_id, i, r.size FROM runs r JOIN windows USING (size, run)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM found) GROUP BY 1),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY 1)
+SELECT id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM tokens LEFT JOIN words ON id = words.doc_id LEFT JOIN items ON id = items.doc_id WHERE kind = 'd'
+"""
+
+_OP5 = r"""
+WITH tokens AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 33))) AS i FROM tokens),
+windows AS (SELECT doc_id, i, md5_number(array_to_string(w[i:i + 34], ' ')) AS run FROM starts),
+twice AS (SELECT run FROM windows GROUP BY run HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM windows SEMI JOIN twice USING (run)),
+lost AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
+  sha256(array_to_string(CASE WHEN ps IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(ps, i)) END, ' ')) AS kept_sha256
+FROM tokens LEFT JOIN lost USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op4_benchmark_decontamination": _OP4, "op5_substring_dedup": _OP5}

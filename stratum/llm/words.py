@@ -72,21 +72,25 @@ def stretch_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) ->
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def runs(inside: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of True within each text, and the first run of each text (one more at the end)."""
+    padded = np.zeros(len(inside) + 2, bool)
+    padded[1:-1] = inside
+    starts = inside & ~padded[:-2]
+    ends = inside & ~padded[2:]
+    cut = bounds[(bounds > 0) & (bounds < len(inside))]
+    starts[cut] |= inside[cut]
+    ends[cut - 1] |= inside[cut - 1]
+    starts = np.flatnonzero(starts)
+    return starts, np.flatnonzero(ends) + 1, np.searchsorted(starts, bounds)
+
+
 class Words:
     """The words of some texts. ``first[d]:first[d + 1]`` are the words of text ``d``."""
 
     def __init__(self, data: np.ndarray, bounds: np.ndarray, rule: np.ndarray = SPACED, lower: bool = False):
         self.data = LOWER[data] if lower else data
-        inside = np.zeros(len(data) + 2, bool)
-        inside[1:-1] = rule[self.data]
-        starts = inside[1:-1] & ~inside[:-2]
-        ends = inside[1:-1] & ~inside[2:]
-        cut = bounds[(bounds > 0) & (bounds < len(data))]
-        starts[cut] |= inside[1:-1][cut]
-        ends[cut - 1] |= inside[1:-1][cut - 1]
-        self.starts = np.flatnonzero(starts)
-        self.ends = np.flatnonzero(ends) + 1
-        self.first = np.searchsorted(self.starts, bounds)
+        self.starts, self.ends, self.first = runs(rule[self.data], bounds)
 
     def __len__(self) -> int:
         return len(self.starts)
