@@ -191,6 +191,7 @@ def _reference_rows(length: int, shards: int):
             for part in slices(batch):
                 words = Words(*text_bytes(part.column("text")))
                 found = segments_of(words, length)
+                hashes = words.hashes()
                 joined, starts, ends = words.joined()
                 wanted = [{w["seg"]: w for w in row} for row in part.column("wanted").to_pylist()]
                 out = {name: [] for name in ("shard", "anchor", "seg", "offset", "n", "text")}
@@ -201,8 +202,7 @@ def _reference_rows(length: int, shards: int):
                     pieces = [(0, windows, anchor)]
                     if want["hot"]:
                         each = first + np.arange(windows)
-                        own = signed(stretch_hashes(words.hashes()[first : first + windows + length - 1],
-                                                    each - first, each - first + length))
+                        own = signed(stretch_hashes(hashes[first : first + windows + length - 1], each - first, each - first + length))
                         pieces = [(i, 1, int(h)) for i, h in enumerate(own)]
                     for offset, count, home in pieces:
                         a = first + offset
