@@ -4,10 +4,14 @@ A document longer than a sequence is cut into full pieces, the first one shorter
 bounded size, as the rule places one piece after another, and each shard is packed in one task: a piece goes where the
 sum, over all residual gaps, of the squared number of open sequences with that gap becomes smallest. The rule needs
 only how many sequences are open per gap, so a step costs one look at the gaps.
+
+The rule keeps sequences of all gaps open for pieces to come. When the last piece is placed nothing comes any more: the
+sequences of the shard that are still open are emptied and their pieces placed anew by best fit, the largest first.
 """
 
 from __future__ import annotations
 
+import bisect
 import functools
 from collections.abc import Iterable, Iterator
 
@@ -126,8 +130,50 @@ class SumOfSquares:
         return number, length - gap
 
 
+def best_fit(sizes: list[int], length: int, number: int) -> Iterator[tuple[int, int]]:
+    """Sequence (from ``number`` on) and place of each piece: the smallest gap that holds it, else a new sequence."""
+    gaps: list[tuple[int, int]] = []
+    for size in sizes:
+        at = bisect.bisect_left(gaps, (size, -1))
+        if at < len(gaps):
+            gap, sequence = gaps.pop(at)
+        else:
+            gap, sequence, number = length, number, number + 1
+        if gap > size:
+            bisect.insort(gaps, (gap - size, sequence))
+        yield sequence, length - gap
+
+
+def pack_pieces(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sequence and place of each piece. Long pieces go first and leave short ones for the gaps."""
+    order = np.argsort(-sizes, kind="stable")
+    rule = SumOfSquares(length)
+    number, offset = np.empty(len(sizes), np.int64), np.empty(len(sizes), np.int64)
+    for row in order.tolist():
+        number[row], offset[row] = rule.place(int(sizes[row]))
+    left = np.bincount(number, weights=sizes)[number] < length if len(sizes) else np.zeros(0, bool)
+    again = order[left[order]]
+    places = list(best_fit(sizes[again].tolist(), length, rule.sequences))
+    if len({sequence for sequence, _ in places}) <= len(set(number[again].tolist())):
+        for row, place in zip(again.tolist(), places):
+            number[row], offset[row] = place
+    return number, offset
+
+
 def _pack_shard(length: int):
     def pack(table: pa.Table) -> pa.Table:
+        order = np.argsort(table.column("order").to_numpy(), kind="stable")  # the result must not depend on arrival
+        table = table.take(pa.array(order))
+        number, offset = pack_pieces(table.column("length").to_numpy(), length)
+        shard = table.column("shard").to_numpy()
+        names = [c for c in table.schema.names if c not in ("shard", "order")]
+        return table.select(names).append_column("sequence_id", pa.array(shard << 32 | number)).append_column(
+            "offset", pa.array(offset))
+
+    return pack
+
+
+def pack(table: pa.Table) -> pa.Table:
         sizes = table.column("length").to_numpy()
         order = np.lexsort((table.column("order").to_numpy(), -sizes))  # long pieces first leave short ones for the gaps
         rule = SumOfSquares(length)
@@ -143,7 +189,7 @@ def _pack_shard(length: int):
 
 
 def pack(pieces: DataFrame, shards: int, length: int = LENGTH) -> DataFrame:
-    """The pieces, of 1 to ``length`` tokens, with ``sequence_id`` and ``offset``, in as few sequences as the rule needs.
+    """The pieces, of 1 to ``length`` tokens, with ``sequence_id`` and ``offset``.
 
     Numbers of sequences are unique but not dense. Offsets have no gaps from 0. Repeated rows are pieces of their own.
     """

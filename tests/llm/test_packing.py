@@ -46,7 +46,7 @@ def test_given_tables(spark, tokenizer):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
     used, least = check(rows, packing.packed(docs, with_ids=False).collect(), tokenizer)
-    assert used <= least * 1.01 + 1
+    assert used <= least + 2
 
 
 def test_odd_documents(spark, tokenizer):
@@ -90,9 +90,21 @@ def test_rule_takes_the_smallest_sum_of_squares():
         gaps[number] = 12 - offset - size
 
 
+def test_no_piece_gets_lost_in_the_second_round():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 7, 300):
+        sizes = rng.integers(1, 65, n)
+        number, offset = packing.pack_pieces(sizes, 64)
+        assert len(set(zip(number.tolist(), offset.tolist()))) == n
+        for sequence in set(number.tolist()):
+            rows = np.flatnonzero(number == sequence)
+            rows = rows[np.argsort(offset[rows])]
+            assert offset[rows].tolist() == [0, *np.cumsum(sizes[rows])[:-1]] and sizes[rows].sum() <= 64
+
+
 def test_many_shards_waste_little(spark):
     rng = random.Random(3)
     rows = [(i, 0, 0, rng.choice([rng.randint(1, 400), rng.randint(1, 2048)])) for i in range(20_000)]
     pieces = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long")
     found = packing.pack(pieces, 4).collect()
-    assert len({r.sequence_id for r in found}) <= 1.005 * sum(r[3] for r in rows) / 2048
+    assert len({r.sequence_id for r in found}) <= sum(r[3] for r in rows) / 2048 + 8
