@@ -173,21 +173,6 @@ def _pack_shard(length: int):
     return pack
 
 
-def pack(table: pa.Table) -> pa.Table:
-        sizes = table.column("length").to_numpy()
-        order = np.lexsort((table.column("order").to_numpy(), -sizes))  # long pieces first leave short ones for the gaps
-        rule = SumOfSquares(length)
-        number, offset = np.empty(len(sizes), np.int64), np.empty(len(sizes), np.int64)
-        for row in order.tolist():
-            number[row], offset[row] = rule.place(int(sizes[row]))
-        shard = table.column("shard").to_numpy()
-        names = [c for c in table.schema.names if c not in ("shard", "order")]
-        return table.select(names).append_column("sequence_id", pa.array(shard << 32 | number)).append_column(
-            "offset", pa.array(offset))
-
-    return pack
-
-
 def pack(pieces: DataFrame, shards: int, length: int = LENGTH) -> DataFrame:
     """The pieces, of 1 to ``length`` tokens, with ``sequence_id`` and ``offset``.
 
