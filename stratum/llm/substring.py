@@ -282,7 +282,8 @@ def _cutter(length: int, joined: bool):
 def repeated_windows(keyed: DataFrame, length: int, n_documents: int, hot_segments: int = HOT_SEGMENTS) -> DataFrame:
     """For ``keyed(key, text, ...)`` the ``marks`` of each key that has any: segments and which windows of them recur."""
     rows = keyed.select("key", "text").mapInArrow(_segment_rows(length), "key long, anchor long, seg long")
-    twice = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    # A stored side, or one with a shuffle of its own, lets Spark split the other side where a key is hot.
+    twice = stored(rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"))
     rows = stored(rows.join(twice, "anchor"))
     kinds = stored(rows.groupBy("anchor", "seg").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("key")))
     hot = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where(F.col("kinds") > hot_segments)
@@ -293,7 +294,7 @@ def repeated_windows(keyed: DataFrame, length: int, n_documents: int, hot_segmen
     schema = "shard long, anchor long, seg long, offset int, n long, text string"
     reference = keyed.join(wanted, "key").mapInArrow(_reference_rows(length, shards), schema)
     marks = reference.groupBy("shard").applyInArrow(_shard_marks(length), "seg long, mask long")
-    marks = marks.groupBy("seg").agg(F.bit_or("mask").alias("mask"))
+    marks = marks.groupBy("seg").agg(F.bit_or("mask").alias("mask")).repartition(F.xxhash64("seg"))
     return rows.join(marks, "seg").groupBy("key").agg(F.collect_set(F.struct("seg", "mask")).alias("marks"))
 
 

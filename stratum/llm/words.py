@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _rng = np.random.Generator(np.random.PCG64(20240501))
 _BYTE_VALUES = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -56,7 +56,7 @@ class _Powers:
     @classmethod
     def reach(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(cls.up) < n:
-            size = max(n, min(2 * n, 1 << 20))
+            size = max(n, 1 << 16)
             for name, factor in (("up", _BASE), ("down", _INVERSE)):
                 steps = np.full(size, factor, np.uint64)
                 steps[0] = 1
