@@ -5,10 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import decontaminate, langid, packing, simhash, substring
+from stratum.llm import brown, chat, decontaminate, forest, langid, licenses, packing, simhash, substring, warc
 from stratum.llm.tables import crc_of_id, given
 
 
+HELD_OUT_FOLD, HELD_OUT_FOLDS = 1, 5
+
+
+def op1_brown_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = given(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("held_out", crc_of_id() % HELD_OUT_FOLDS == HELD_OUT_FOLD)
+    model, counts = brown.train(docs.where(~F.col("held_out")))
+    return brown.scores(docs, model, counts)
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(given(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(given(spark, sf_dir, "documents"), with_ids=False)
 
@@ -26,6 +40,17 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = given(spark, sf_dir, "pages")
+    archive = warc.write_archive(pages)
+    keys = pages.select(warc.url_key(F.col("url")).alias("url_key"), "page_id")
+    return warc.read_records(archive, warc.lookup(spark, archive, keys)).drop("payload")
+
+
+def op7_random_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.search(given(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 LANGUAGE_FOLD, LANGUAGE_FOLDS = 2, 4
 
 
@@ -42,14 +67,40 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out, "lang_pred", "score", "bits", "rejected")
 
 
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_conversations(given(spark, sf_dir, "conversations"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(given(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_best_fit_packing, op4_benchmark_decontamination, op5_substring_dedup, op8_language_id, op10_simhash_near_dedup,
+    op1_brown_lm_scoring, op2_license_scan, op3_best_fit_packing, op4_benchmark_decontamination, op5_substring_dedup,
+    op6_warc_index, op7_random_projection_forest, op8_language_id, op9_chat_formatting, op10_simhash_near_dedup,
 )}
 
+# op2: all windows of the grid against all templates, by shared shingles. MinHash misses a match of the least allowed
+# similarity once in a million times.
+_OP2 = r"""
+WITH templates(license, text) AS (VALUES {templates}),
+tokens AS (SELECT doc_id, text, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS w FROM documents),
+shingles AS (SELECT doc_id, text, i - 1 AS at, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, text, w, unnest(range(1, greatest(1, len(w) - 3))) AS i FROM tokens)),
+wanted AS (SELECT DISTINCT license, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT license, w, unnest(range(1, greatest(1, len(w) - 3))) AS i
+        FROM (SELECT license, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS w FROM templates))),
+sized AS (SELECT license, count(*) AS n, CAST(pow(2, ceil(log2(count(*)))) AS BIGINT) AS top FROM wanted GROUP BY 1),
+classes AS (SELECT license, n, greatest(1, top // 4) AS stride, top + greatest(1, top // 4) - 1 AS length FROM sized),
+hits AS (SELECT doc_id, text, license, s, at, n, stride, length FROM shingles JOIN wanted USING (s) JOIN classes USING (license)),
+windows AS (SELECT doc_id, text, license, n, length, stride * unnest(range(
+    CASE WHEN at >= length THEN (at - length + stride) // stride ELSE 0 END,
+    at // stride + 1)) AS a, s FROM hits),
+shared AS (SELECT doc_id, text, license, n, length, a, count(DISTINCT s) AS k FROM windows GROUP BY ALL)
+SELECT doc_id, license, max(k) / n AS containment, arg_max(a, k * 10000000000 - a) AS first_word, CAST(length + 4 AS INTEGER) AS n_words
+FROM shared WHERE k / n >= 0.8 GROUP BY doc_id, text, license, n, length
+"""
+
 # op4: every window of an item, every run of as many words of a document. Words are numbered, so that a document word
 # is hit if it lies in a run that equals a window.
 _OP4 = r"""
@@ -87,4 +138,38 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS B
 FROM tokens LEFT JOIN lost USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_benchmark_decontamination": _OP4, "op5_substring_dedup": _OP5}
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + {' + '.join(f'{16 >> k} * CAST(substr(bits, {5 * i + k + 1}, 1) AS INTEGER)' for k in range(5))}, 1)"
+    for i in range(32))
+
+_OP6 = f"""
+WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, CAST(CAST(unhex(sha1(coalesce(html, ''))) AS BIT) AS VARCHAR) AS bits
+  FROM pages),
+latest AS (SELECT bits, max(page_id) AS original FROM payloads GROUP BY bits)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> original THEN original END AS refers_to
+FROM payloads JOIN latest USING (bits)
+"""
+
+# op9: a conversation as a list of turns; it goes if the list is the beginning of a longer one.
+_OP9 = """
+WITH turns AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+logs AS (SELECT conv_id, list({'r': role, 't': text} ORDER BY turn NULLS LAST, role, text) AS log FROM turns GROUP BY conv_id),
+copies AS (SELECT min(conv_id) AS conv_id, log FROM logs GROUP BY log),
+parts AS (SELECT DISTINCT log[1:k] AS log FROM (SELECT log, unnest(range(1, len(log))) AS k FROM logs))
+SELECT conv_id, CAST(0 AS BIGINT) AS part, CAST(len(log) AS BIGINT) AS n_turns, array_to_string(list_transform(log, lambda x:
+  '<|im_start|>' || replace(x.r, '<|', '< |') || chr(10) || replace(x.t, '<|', '< |') || '<|im_end|>' || chr(10)), '') AS text
+FROM copies ANTI JOIN parts USING (log)
+"""
+
+
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_license_scan": _OP2.format(templates=", ".join(f"({_sql_text(k)}, {_sql_text(v)})" for k, v in licenses.TEMPLATES.items())),
+    "op6_warc_index": _OP6, "op9_chat_formatting": _OP9,
+    "op4_benchmark_decontamination": _OP4, "op5_substring_dedup": _OP5}

@@ -1,0 +1,135 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from stratum.llm import brown, queries
+from tests.llm.helpers import DOCS, documents, lower, spaced
+
+
+def rows_of(spark, rows, held):
+    return documents(spark, rows, n=F.lit(1), h=F.lit("h"), part=F.lit(2)).withColumn("held_out", F.coalesce(F.col("doc_id").isin(held), F.lit(False)))
+
+
+def corpus(seed, n=60):
+    """Articles before nouns, nouns before verbs: word order tells more than frequency."""
+    rng = random.Random(seed)
+    a, b, c = ([f"{x}{i}" for i in range(12)] for x in ("art", "noun", "verb"))
+    rows = []
+    for i in range(n):
+        words = [w for _ in range(rng.randint(0, 40)) for w in (rng.choice(a), rng.choice(b), rng.choice(c))]
+        words += [f"rare{rng.randrange(400)}"] * rng.choice([0, 1])
+        rows.append((i, rng.choice([" ", "\n\t"]).join(words).upper()))
+    return rows
+
+
+def plain_base(rows, held):
+    split = {i: [*spaced(lower(t)), None] for i, t in rows}
+    count = {}
+    for i, t in rows:
+        if i not in held:
+            for w in split[i]:
+                count[w] = count.get(w, 0) + 1
+    n, v = sum(count.values()), len(count)
+    return {i: (len(w), sum(x in count for x in w), n, sum(math.log10((count.get(x, 0) + 0.5) / (n + 0.5 * (v + 1))) for x in w)) for i, w in split.items()}
+
+
+@pytest.mark.parametrize("min_count", [1, 5, 1000])
+def test_counts_and_base_scores(spark, min_count):
+    rows = corpus(1) + [(100, None), (101, ""), (102, "never seen words"), (103, "art1 " * 30_000), (104, " \n")]
+    held = {3, 7, 102, 104}
+    docs = rows_of(spark, rows, held)
+    model, counts = brown.train(docs.where(~F.col("held_out")), classes=4, rounds=2, min_count=min_count)
+    expected = plain_base(rows, held)
+    for r in brown.scores(docs, model, counts).collect():
+        n, known, total, base = expected[r.doc_id]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (r.doc_id in held, n, known, total)
+        assert r.base_score == pytest.approx(base, rel=1e-9)
+        assert r.perplexity == pytest.approx(10 ** (-r.score / n))
+
+
+def test_scores_are_those_of_the_classes(spark):
+    rows = corpus(2)
+    docs = rows_of(spark, rows, {1, 2})
+    model, counts = brown.train(docs.where(~F.col("held_out")), classes=3, rounds=4, min_count=3)
+    names = {int(h): k for k, h in enumerate(model.vocabulary.hashes)}
+    data = {w for _, t in rows for w in spaced(lower(t))}
+    from stratum.llm.words import Words, signed, text_bytes
+    import pyarrow as pa
+
+    spelled = sorted(data)
+    hashes = dict(zip(spelled, signed(Words(*text_bytes(pa.array([" ".join(spelled)]))).hashes()).tolist()))
+    count = {r.h: r.n for r in counts.collect()}
+    for r in brown.scores(docs, model, counts).collect():
+        before, total = 0, 0.0
+        for w in [*spaced(lower(dict(rows)[r.doc_id])), None]:
+            if w is None:
+                symbol, own = 0, 0.0
+            elif hashes[w] in names:
+                symbol, own = names[hashes[w]] + 2, model.emissions[names[hashes[w]] + 2]
+            else:
+                symbol, own = 1, math.log10((count.get(hashes[w], 0) + 0.5) / model.rare_total)
+            total += model.transitions[before, model.classes[symbol]] + own
+            before = model.classes[symbol]
+        assert r.score == pytest.approx(total, rel=1e-9)
+    assert np.allclose((10**model.transitions).sum(axis=1), 1)
+    for c in set(model.classes[2:].tolist()):
+        assert (10 ** model.emissions[2:])[model.classes[2:] == c].sum() == pytest.approx(1)
+
+
+def test_exchange_finds_the_parts_of_speech(spark):
+    docs = documents(spark, corpus(3, 200))
+    model, _ = brown.train(docs, classes=3, rounds=8)
+    from stratum.llm.words import Words, signed, text_bytes
+    import pyarrow as pa
+
+    kinds = [f"{x}{i}" for x in ("art", "noun", "verb") for i in range(12)]
+    found = model.classes[model.vocabulary.symbols(signed(Words(*text_bytes(pa.array([" ".join(kinds)]))).hashes()))].reshape(3, 12)
+    assert [len(set(f.tolist())) for f in found] == [1, 1, 1] and len(set(found.ravel().tolist())) == 3
+
+
+def test_gain_of_a_move():
+    """The best class is the one that raises the likelihood most, up to the cells that a word shares with itself."""
+    rng = np.random.default_rng(0)
+    symbols = np.concatenate([[0], rng.integers(2, 14, 4000), [0]])
+    classes = np.concatenate([[0, 1], 2 + rng.integers(0, 3, 12)])
+
+    def table(c):
+        t = np.zeros((5, 5), np.int64)
+        np.add.at(t, (c[symbols[:-1]], c[symbols[1:]]), 1)
+        return t
+
+    word = 5
+    right, left = np.zeros((1, 5)), np.zeros((1, 5))
+    np.add.at(right[0], classes[symbols[1:][symbols[:-1] == word]], 1)
+    np.add.at(left[0], classes[symbols[:-1][symbols[1:] == word]], 1)
+    best = brown.best_classes(classes[[word]], right, left, table(classes))[0]
+    scores = {}
+    for c in (2, 3, 4):
+        moved = classes.copy()
+        moved[word] = c
+        scores[c] = brown.likelihood(table(moved))
+    assert scores[best] >= max(scores.values()) - 5
+
+
+def test_better_than_frequencies_on_held_out_documents(spark):
+    found = queries.op1_brown_lm_scoring(spark, "/root/testdata/sf0.01").collect()
+    assert len(found) == 1000
+    held = [r for r in found if r.held_out]
+    assert 100 < len(held) < 300
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_repeated_rows_and_empty_tables(spark):
+    rows = [(1, "a b a"), (1, "a b a"), (1, "a c"), (None, "a"), (None, "a"), (2, None)]
+    docs = rows_of(spark, rows, set())
+    model, counts = brown.train(docs, classes=2, rounds=1, min_count=1)
+    found = brown.scores(docs, model, counts).collect()
+    assert sorted((str(r.doc_id), r.n_tokens) for r in found) == [("1", 3), ("1", 4), ("1", 4), ("2", 1), ("None", 2), ("None", 2)]
+    assert all(r.train_tokens == 16 and r.n_known == r.n_tokens for r in found)
+    nothing = docs.limit(0)
+    model, counts = brown.train(nothing)
+    assert brown.scores(nothing, model, counts).collect() == []
+    assert {r.n_known for r in brown.scores(docs, model, counts).collect()} == {0}
