@@ -88,10 +88,27 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), 0)
 
 
-def shingles(w: Column) -> Column:
-    """The hash of every five words in a row; none for fewer words."""
-    at = F.transform(F.sequence(F.lit(1), F.size(w) - SHINGLE + 1), lambda i: F.xxhash64(*[F.element_at(w, i + k) for k in range(SHINGLE)]))
-    return F.when(F.size(w) >= SHINGLE, at).otherwise(F.array().cast("array<long>"))
+def shingles(hashed: Column) -> Column:
+    """The hash of every five in a row of an array of words' hashes; none for fewer."""
+    n = F.size(hashed) - SHINGLE + 1
+    tail = lambda k: F.slice(hashed, k + 1, n)
+    out = tail(0)
+    for k in range(1, SHINGLE):
+        out = F.zip_with(out, tail(k), lambda a, b: F.xxhash64(a, b))
+    return F.when(n > 0, out).otherwise(F.array().cast("array<long>"))
+
+
+def _worked_out(rows: DataFrame, **columns: Column) -> DataFrame:
+    """The rows with more columns, each worked out once.
+
+    As a generator of one row these expressions cannot be moved into the filters and lambda functions that use them,
+    where Spark would work them out again for every element.
+    """
+    return rows.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
+def hashed_words(text: Column) -> Column:
+    return F.transform(words(F.coalesce(text, F.lit(""))), lambda w: F.xxhash64(w))
 
 
 def _first_of(hashes: Column, constant: Column) -> Column:
@@ -105,8 +122,8 @@ def default_templates(spark: SparkSession) -> DataFrame:
 
 def _template_bands(templates: DataFrame, min_containment: float) -> tuple[DataFrame, int]:
     """One row per template and band: its first shingle, and the windows to look at. Also the length of the longest window."""
-    sized = templates.select("license", words(F.coalesce("text", F.lit(""))).alias("w")).select(
-        "license", F.array_distinct(shingles(F.col("w"))).alias("template")).withColumn("size", F.size("template"))
+    hashed = _worked_out(templates.select("license", "text"), hashed=hashed_words(F.col("text")))
+    sized = hashed.select("license", F.array_distinct(shingles(F.col("hashed"))).alias("template")).withColumn("size", F.size("template"))
     row = sized.agg(F.count(F.lit(1)), F.coalesce(F.min("size"), F.lit(1)), F.coalesce(F.max("size"), F.lit(1))).first()
     if row[0] > MAX_TEMPLATES or row[1] < 1 or row[2] > MAX_SHINGLES:
         raise ValueError(f"templates are at most {MAX_TEMPLATES}, of {SHINGLE} words to {MAX_SHINGLES} shingles")
@@ -134,16 +151,16 @@ def scan(docs: DataFrame, templates: DataFrame | None = None, min_containment: f
     templates = default_templates(docs.sparkSession) if templates is None else templates
     keys, reach = _template_bands(templates.select("license", "text"), min_containment)
     found = [r[0] for r in keys.select("first").distinct().collect()]
-    split = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), words(F.col("text")).alias("w")).where(
-        F.size("w") >= SHINGLE)
-    hashed = split.select("doc_id", "key", shingles(F.col("w")).alias("hashes"))
-    hits = F.filter(F.sequence(F.lit(1), F.size("hashes")), lambda i: F.element_at(F.col("hashes"), i).isin(found))
-    hit = hashed.withColumn("hits", hits).where(F.size("hits") > 0)
-    start = lambda at: F.greatest(F.lit(1), at - reach + 1)
-    near = F.transform("hits", lambda at: F.struct(
-        (at - 1).alias("at"), (start(at) - 1).alias("start"), F.element_at(F.col("hashes"), at).alias("first"),
-        F.slice(F.col("hashes"), start(at), at - start(at) + reach).alias("around")))
-    near = hit.select("doc_id", "key", F.inline(near))
+    texts = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
+    split = _worked_out(texts, words=hashed_words(F.col("text"))).select("doc_id", "key", "words")
+    hashed = _worked_out(split, hashes=shingles(F.col("words"))).select("doc_id", "key", "hashes")
+    numbered = F.transform("hashes", lambda h, i: F.struct(i.alias("at"), h.alias("first")))
+    hits = F.filter(numbered, lambda hit: hit["first"].isin(found))
+    start = lambda hit: F.greatest(F.lit(0), hit["at"] - reach + 1)
+    near = F.transform(hits, lambda hit: F.struct(
+        hit["at"].alias("at"), start(hit).alias("start"), hit["first"].alias("first"),
+        F.slice(F.col("hashes"), start(hit) + 1, hit["at"] - start(hit) + reach).alias("around")))
+    near = hashed.select("doc_id", "key", F.inline(near))
     # All windows on the grid of the template's class that hold the hit.
     at = near.join(F.broadcast(keys), "first")
     low = F.greatest(F.lit(0), F.ceil((F.col("at") - F.col("length") + 1) / F.col("stride")).cast("int"))
