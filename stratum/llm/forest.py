@@ -26,7 +26,7 @@ TREES = 12
 LEAF = 64
 SAMPLE = 20_000
 #: Leaves are opened until they hold as many vectors as this share of the sample, vectors counted once per tree.
-SHARE = 1.0
+SHARE = 1.6
 VECTORS_PER_TASK = 50_000
 QUERIES_PER_TASK = 50_000
 SEED = 7

@@ -85,17 +85,17 @@ QUERIES = {f.__name__: f for f in (
 _OP2 = r"""
 WITH templates(license, text) AS (VALUES {templates}),
 tokens AS (SELECT doc_id, text, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS w FROM documents),
-shingles AS (SELECT doc_id, text, i - 1 AS at, array_to_string(w[i:i + 4], ' ') AS s
+shingles AS (SELECT doc_id, text, i - 1 AS pos, array_to_string(w[i:i + 4], ' ') AS s
   FROM (SELECT doc_id, text, w, unnest(range(1, greatest(1, len(w) - 3))) AS i FROM tokens)),
 wanted AS (SELECT DISTINCT license, array_to_string(w[i:i + 4], ' ') AS s
   FROM (SELECT license, w, unnest(range(1, greatest(1, len(w) - 3))) AS i
         FROM (SELECT license, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS w FROM templates))),
 sized AS (SELECT license, count(*) AS n, CAST(pow(2, ceil(log2(count(*)))) AS BIGINT) AS top FROM wanted GROUP BY 1),
 classes AS (SELECT license, n, greatest(1, top // 4) AS stride, top + greatest(1, top // 4) - 1 AS length FROM sized),
-hits AS (SELECT doc_id, text, license, s, at, n, stride, length FROM shingles JOIN wanted USING (s) JOIN classes USING (license)),
+hits AS (SELECT doc_id, text, license, s, pos, n, stride, length FROM shingles JOIN wanted USING (s) JOIN classes USING (license)),
 windows AS (SELECT doc_id, text, license, n, length, stride * unnest(range(
-    CASE WHEN at >= length THEN (at - length + stride) // stride ELSE 0 END,
-    at // stride + 1)) AS a, s FROM hits),
+    CASE WHEN pos >= length THEN (pos - length + stride) // stride ELSE 0 END,
+    pos // stride + 1)) AS a, s FROM hits),
 shared AS (SELECT doc_id, text, license, n, length, a, count(DISTINCT s) AS k FROM windows GROUP BY ALL)
 SELECT doc_id, license, max(k) / n AS containment, arg_max(a, k * 10000000000 - a) AS first_word, CAST(length + 4 AS INTEGER) AS n_words
 FROM shared WHERE k / n >= 0.8 GROUP BY doc_id, text, license, n, length
