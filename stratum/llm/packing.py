@@ -26,6 +26,8 @@ from stratum.llm.words import slices
 LENGTH = 2048
 END = 0
 PIECES_PER_SHARD = 16_384
+#: With their ids, of 4 bytes each, shards are smaller.
+PIECES_WITH_IDS = 4_096
 BYTES_PER_TOKEN = 4
 
 
@@ -198,4 +200,5 @@ def packed(docs: DataFrame, load=None, length: int = LENGTH, end: int = END, wit
     Extra columns are not looked at.
     """
     pieces = tokenized(docs, load, length, end).withColumn("ids_crc32", F.crc32("ids"))
-    return pack(pieces if with_ids else pieces.drop("ids"), shards_for(docs, length), length)
+    shards = shards_for(docs, length, PIECES_WITH_IDS if with_ids else PIECES_PER_SHARD)
+    return pack(pieces if with_ids else pieces.drop("ids"), shards, length)
