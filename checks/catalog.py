@@ -32,16 +32,77 @@ def silver(spark: SparkSession, sf: str, which: str) -> DataFrame:
     return CLEAN[which](raw(spark, sf, which))
 
 
-def daily(spark: SparkSession, sf: str) -> DataFrame:
-    orders, product, customer = (silver(spark, sf, n) for n in ("orders", "product", "customer"))
+def _dimensions(spark: SparkSession, sf: str, folded: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    orders = cleaning.clean_orders(fixtures.derived(spark, sf, "raw_order_folded" if folded else "raw_order"))
+    return orders, silver(spark, sf, "product"), silver(spark, sf, "customer")
+
+
+def daily(spark: SparkSession, sf: str, folded: bool = False) -> DataFrame:
+    orders, product, customer = _dimensions(spark, sf, folded)
     return marts.daily_sales(orders, product, customer, MONEY)
 
 
-def affinity(spark: SparkSession, sf: str) -> DataFrame:
-    orders, product, customer = (silver(spark, sf, n) for n in ("orders", "product", "customer"))
+def affinity(spark: SparkSession, sf: str, folded: bool = False) -> DataFrame:
+    orders, product, customer = _dimensions(spark, sf, folded)
     return marts.customer_affinity(customer, orders, product, MONEY)
 
 
+def _mart_queries(folded: bool) -> dict[str, Query]:
+    """The marts and the reports over them, on real keys or on folded ones."""
+    day = functools.partial(daily, folded=folded)
+    pair = functools.partial(affinity, folded=folded)
+    found: dict[str, Query] = {
+        "daily_sales": day,
+        "customer_affinity": pair,
+        "top_products": lambda s, sf: reports.top_products(day(s, sf), money_type=MONEY),
+        "revenue_by_segment": lambda s, sf: _rounded(
+            reports.revenue_by_segment(day(s, sf), money_type=MONEY), "avg_basket_size"),
+        "daily_trend": lambda s, sf: reports.daily_trend(day(s, sf), money_type=MONEY),
+        "top_customers": lambda s, sf: _rounded(
+            reports.top_customers(pair(s, sf), money_type=MONEY), "avg_order_value"),
+        "category_by_segment": lambda s, sf: reports.category_by_segment(pair(s, sf), money_type=MONEY),
+        "repeat_buyers": lambda s, sf: reports.repeat_buyers(pair(s, sf)),
+        "monthly_trend": lambda s, sf: _rounded(
+            reports.monthly_trend(pair(s, sf), money_type=MONEY), "avg_order_value"),
+    }
+    return {f"{name}_folded" if folded else name: query for name, query in found.items()}
+
+
+def cast_int_and_date(spark: SparkSession, sf: str) -> DataFrame:
+    target = schemas.struct(int_txt=schemas.INT, date_txt=schemas.DAY)
+    return casting.cast_with_errors(fixtures.derived(spark, sf, "raw_spelled"), target).drop(casting.ERRORS)
+
+
+def json_bad_elements(spark: SparkSession, sf: str) -> DataFrame:
+    space = scenarios.json_with_broken_elements(spark, raw(spark, sf, "product"))
+    return space.raw(runs.PRODUCT.source).select(*runs.PRODUCT.source.schema.fieldNames())
+
+
+def json_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    space = scenarios.json_with_broken_elements(spark, raw(spark, sf, "product"))
+    return scenarios.rejects(space, runs.PRODUCT.source).agg(F.count(F.lit(1)).alias("rejected"))
+
+
+def fed(which: runs.Conformed, name: str) -> Query:
+    """The stored table after both deliveries went through load, feed and merge."""
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        space = scenarios.two_deliveries(spark, {which.name: fixtures.derived(spark, sf, name)})
+        return runs.table(spark, space.layout, which).read().drop("last_updated_timestamp")
+
+    return query
+
+
+def through_view(view: str, money: str, means: tuple[str, ...]) -> Query:
+    """What SQL users see after two loads and merges. The views add doubles, so sums are cut to cents here."""
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        scenarios.live_views(spark, _all_raw(spark, sf))
+        shown = spark.table(f"gold.{view}")
+        shown = shown.withColumn(money, F.col(money).cast(MONEY).cast("double"))
+        return functools.reduce(_rounded, means, shown)
+
+    return query
+
+
 def _rounded(df: DataFrame, column: str) -> DataFrame:
     # The small shift keeps means of ratios off rounding ties, where engines may differ.
     return df.withColumn(column, F.round(F.col(column) + 3e-7, 4))
@@ -164,24 +225,25 @@ QUERIES: dict[str, Query] = {
     "ingest_row_numbers": lambda s, sf: scenarios.row_numbers(s, raw(s, sf, "customer"), runs.CUSTOMER),
     "pending_rows": lambda s, sf: scenarios.pending(s, _all_raw(s, sf)),
     "feed_incremental_upsert": feed_incremental_upsert,
+    "ingest_json_bad_elements": json_bad_elements,
+    "ingest_json_rejects": json_rejects,
+    "ingest_csv_ragged": lambda s, sf: scenarios.ragged_csv(s, raw(s, sf, "customer")),
+    "cast_int_and_date": cast_int_and_date,
+    "feed_customer": fed(runs.CUSTOMER, "raw_customer"),
+    "feed_product": fed(runs.PRODUCT, "raw_product_nulls"),
+    "backfill_customer_twice": lambda s, sf: scenarios.backfilled_twice(s, raw(s, sf, "customer"), runs.CUSTOMER),
+    "backfill_product_twice": lambda s, sf: scenarios.backfilled_twice(s, raw(s, sf, "product"), runs.PRODUCT),
+    "sql_daily_sales": through_view(
+        runs.DAILY_SALES_VIEW, "total_sales", ("avg_price_per_unit", "avg_transaction_value")),
+    "sql_affinity": through_view(runs.AFFINITY_VIEW, "total_spent", ("avg_purchase_amount",)),
     "upsert_customer": upsert("customer"),
     "upsert_product": upsert_product,
     "upsert_orders": upsert("orders"),
     "upsert_latest": upsert_latest,
     "upsert_stats": upsert_stats,
     "backfill_orders_twice": lambda s, sf: scenarios.backfilled_twice(s, raw(s, sf, "orders"), runs.ORDERS),
-    "daily_sales": daily,
-    "customer_affinity": affinity,
-    "top_products": lambda s, sf: reports.top_products(daily(s, sf), money_type=MONEY),
-    "revenue_by_segment": lambda s, sf: _rounded(
-        reports.revenue_by_segment(daily(s, sf), money_type=MONEY), "avg_basket_size"),
-    "daily_trend": lambda s, sf: reports.daily_trend(daily(s, sf), money_type=MONEY),
-    "top_customers": lambda s, sf: _rounded(
-        reports.top_customers(affinity(s, sf), money_type=MONEY), "avg_order_value"),
-    "category_by_segment": lambda s, sf: reports.category_by_segment(affinity(s, sf), money_type=MONEY),
-    "repeat_buyers": lambda s, sf: reports.repeat_buyers(affinity(s, sf)),
-    "monthly_trend": lambda s, sf: _rounded(
-        reports.monthly_trend(affinity(s, sf), money_type=MONEY), "avg_order_value"),
+    **_mart_queries(folded=False),
+    **_mart_queries(folded=True),
     "profile_customer": lambda s, sf: quality.profile_customer(silver(s, sf, "customer")),
     "profile_product": lambda s, sf: quality.profile_product(silver(s, sf, "product")),
     "profile_orders": lambda s, sf: quality.profile_orders(silver(s, sf, "orders")),

@@ -32,12 +32,11 @@ SELECT p_partkey AS product_id, p_name AS name, p_type AS category, p_brand AS b
   p_partkey % 5 <> 0 AS is_active
 FROM {part}"""
 
-# Ids are folded to 25 customers and 10 products, so that the marts have groups of many orders.
-RAW_ORDER = """
+_ORDER = """
 SELECT CASE WHEN l_orderkey % 101 = 0 AND l_linenumber = 1 THEN NULL
     ELSE concat('T', l_orderkey, '-', l_linenumber) END AS transaction_id,
-  o_custkey % 25 AS customer_id,
-  CASE WHEN l_suppkey % 37 = 5 THEN 999999999 ELSE l_partkey % 10 END AS product_id,
+  <customer> AS customer_id,
+  CASE WHEN l_suppkey % 37 = 5 THEN 999999999 ELSE <product> END AS product_id,
   CASE WHEN l_partkey % 23 = 0 THEN 0 ELSE CAST(l_quantity AS INT) END AS quantity,
   CASE l_linenumber % 3 WHEN 0 THEN 'Online' WHEN 1 THEN 'In-Store' ELSE 'Mobile App' END AS store_type,
   CASE WHEN l_suppkey % 29 = 0 THEN -l_extendedprice WHEN l_suppkey % 29 = 1 THEN CAST(0 AS DOUBLE)
@@ -45,6 +44,21 @@ SELECT CASE WHEN l_orderkey % 101 = 0 AND l_linenumber = 1 THEN NULL
   CAST(o_orderdate AS DATE) AS transaction_date,
   CASE l_linenumber % 4 WHEN 0 THEN 'Credit Card' WHEN 1 THEN 'PayPal' ELSE 'Bank Transfer' END AS payment_method
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey"""
+RAW_ORDER = _ORDER.replace("<customer>", "o_custkey").replace("<product>", "l_partkey")
+# Beside the real keys: folded to 25 customers and 10 products, so that the marts have groups of many orders.
+RAW_ORDER_FOLDED = _ORDER.replace("<customer>", "o_custkey % 25").replace("<product>", "l_partkey % 10")
+
+# Products without an id among the others.
+RAW_PRODUCT_NULLS = RAW_PRODUCT.replace("p_partkey AS product_id", "CASE WHEN p_partkey % 50 <> 1 THEN p_partkey END AS product_id")
+
+# Numbers with fractions, halves among them, and dates in several spellings.
+RAW_SPELLED = """
+SELECT c_custkey AS row_id,
+  CASE c_custkey % 6 WHEN 0 THEN concat(c_custkey, '.5') WHEN 1 THEN concat('-', c_custkey, '.5') WHEN 2 THEN concat(c_custkey, '.49')
+    WHEN 3 THEN concat('-', c_custkey, '.51') WHEN 4 THEN CAST(c_custkey AS STRING) ELSE '1.2.3' END AS int_txt,
+  CASE c_custkey % 7 WHEN 0 THEN '2024-02-29' WHEN 1 THEN '02/29/2024' WHEN 2 THEN '29-FEB-2024' WHEN 3 THEN '2024'
+    WHEN 4 THEN '2024-02' WHEN 5 THEN '02/30/2024' ELSE '2024-02-29 23:59:59' END AS date_txt
+FROM {customer}"""
 
 # One row per order: transaction ids are unique, as a merge needs them.
 RAW_ORDER_UNIQUE = """
@@ -68,7 +82,8 @@ FROM {customer}"""
 
 DERIVED = {
     "raw_customer": RAW_CUSTOMER, "raw_product": RAW_PRODUCT, "raw_order": RAW_ORDER,
-    "raw_order_unique": RAW_ORDER_UNIQUE, "raw_text": RAW_TEXT,
+    "raw_order_unique": RAW_ORDER_UNIQUE, "raw_text": RAW_TEXT, "raw_order_folded": RAW_ORDER_FOLDED,
+    "raw_product_nulls": RAW_PRODUCT_NULLS, "raw_spelled": RAW_SPELLED,
 }
 
 # Two deliveries per table. Two thirds of the keys come first, a third comes later; with the later ones come

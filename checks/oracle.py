@@ -43,12 +43,19 @@ def _clean(which: str, rows: str) -> str:
     return _CLEAN[which].replace("{rows}", rows)
 
 
+def _folded(text: str) -> str:
+    """The same on orders with folded keys."""
+    return re.sub(r"\b(sold|silver_orders|daily_mart|affinity_mart)\b", r"\1_folded", text)
+
+
 def with_tables(query: str) -> str:
     """Put the definitions a query uses in front of it."""
     known = {name: _duck(text) for name, text in fixtures.DERIVED.items()}
     known |= {f"silver_{which}": _clean(which, raw) for which, raw in RAW.items()}
     known |= {"silver_orders_unique": _clean("orders", "raw_order_unique")}
+    known |= {"silver_orders_folded": _clean("orders", "raw_order_folded")}
     known |= MARTS
+    known |= {_folded(name): _folded(text) for name, text in MARTS.items()}
     parts: dict[str, str] = {}
 
     def need(text: str) -> None:
@@ -244,6 +251,24 @@ _END_TO_END = "WITH " + ",\n".join(
     + [f"SELECT 'Silver', '{which}', count(DISTINCT {KEYS[which]}) FROM cleaned_{which}" for which, *_ in _STATS_PARTS]
 )
 
+# What the views show after both deliveries of all three tables: the marts over the merged tables.
+_MERGED_ALL = "WITH " + ",\n".join(
+    f"{_deliveries(which, raw)},\nold_{which} AS ({_clean(which, 'first_' + which)}),\n"
+    f"new_{which} AS ({_clean(which, 'second_' + which)}),\nall_{which} AS ({_merged(which, 'old_' + which, 'new_' + which)})"
+    for which, raw, *_ in _STATS_PARTS
+)
+
+
+def _over_merged(mart: str, *means: str) -> str:
+    names = {"sold": "sold_all", "silver_orders": "all_orders", "silver_product": "all_product", "silver_customer": "all_customer"}
+    swap = lambda text: re.sub(r"\b(" + "|".join(names) + r")\b", lambda m: names[m[0]], text)
+    rounded = ", ".join(f"round({mean} + 0.0000003, 4) AS {mean}" for mean in means)
+    return f"{_MERGED_ALL},\nsold_all AS ({swap(MARTS['sold'])})\nSELECT * REPLACE ({rounded}) FROM ({swap(MARTS[mart])})"
+
+
+_SQL_DAILY = _over_merged("daily_mart", "avg_price_per_unit", "avg_transaction_value")
+_SQL_AFFINITY = _over_merged("affinity_mart", "avg_purchase_amount")
+
 _TEXT_GOOD = "(id_txt IS NULL OR try_cast(id_txt AS BIGINT) IS NOT NULL) AND (date_txt IS NULL OR try_cast(date_txt AS DATE) IS NOT NULL)"
 
 QUERIES = {
@@ -265,6 +290,17 @@ FROM raw_customer""",
     "ingest_parquet_roundtrip": "SELECT * FROM raw_order",
     "ingest_row_numbers": "SELECT count(*) AS row_count, true AS numbered_from_one FROM raw_customer",
     "pending_rows": _PENDING,
+    "ingest_json_bad_elements": "SELECT * FROM raw_product WHERE product_id % 10 <> 0",
+    "ingest_json_rejects": "SELECT count(*) AS rejected FROM raw_product WHERE product_id % 10 = 0",
+    "ingest_csv_ragged": """SELECT customer_id, name, email, country, nullif(customer_type, '') AS customer_type,
+  if(customer_id % 4 = 1, NULL, registration_date) AS registration_date, if(customer_id % 4 = 1, NULL, age) AS age,
+  if(customer_id % 4 = 1, NULL, nullif(gender, '')) AS gender, if(customer_id % 4 = 1, NULL, total_purchases) AS total_purchases
+FROM raw_customer""",
+    "cast_int_and_date": """SELECT row_id, CASE WHEN row_id % 6 <> 5 THEN CAST(sign(CAST(int_txt AS DECIMAL(18, 2)))
+    * floor(abs(CAST(int_txt AS DECIMAL(18, 2))) + 0.5) AS INTEGER) END AS int_txt,
+  CASE WHEN row_id % 7 IN (0, 1, 2, 6) THEN DATE '2024-02-29' END AS date_txt FROM raw_spelled""",
+    "feed_customer": _two_deliveries("customer", "raw_customer", "SELECT * FROM merged"),
+    "feed_product": _two_deliveries("product", "raw_product_nulls", "SELECT * FROM merged"),
     "feed_incremental_upsert": _two_deliveries("orders", "raw_order_unique", "SELECT * FROM merged"),
     "upsert_customer": _two_deliveries("customer", "raw_customer", "SELECT * FROM merged"),
     "upsert_product": _UPSERT_PRODUCT,
@@ -272,10 +308,13 @@ FROM raw_customer""",
     "upsert_latest": _LATEST,
     "upsert_stats": _UPSERT_STATS,
     **{f"backfill_{which}_twice": f"SELECT * FROM silver_{which} UNION ALL SELECT * FROM silver_{which}"
-       for which in ("orders",)},
+       for which in ("orders", "customer", "product")},
     "daily_sales": "SELECT * FROM daily_mart",
     "customer_affinity": "SELECT * FROM affinity_mart",
     **REPORTS,
+    **{f"{name}_folded": _folded(text) for name, text in
+       {"daily_sales": "SELECT * FROM daily_mart", "customer_affinity": "SELECT * FROM affinity_mart", **REPORTS}.items()},
+    "sql_daily_sales": _SQL_DAILY, "sql_affinity": _SQL_AFFINITY,
     "profile_customer": _profile_customer("silver_customer"),
     "profile_product": _profile_product("silver_product"),
     "profile_orders": _profile_orders("silver_orders"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import fixtures
@@ -33,20 +33,45 @@ class Landing:
         else:
             rows.write.parquet(draft)
         extension = source.glob.removeprefix("*")
-        found = files.list_files(self.spark, draft).select("path").toLocalIterator()
-        for number, row in enumerate(sorted(r.path for r in found)):
-            storage.rename(self.spark, row, f"{folder}/drop{self.drops:03d}-{number:05d}{extension}")
+        self._move(draft, folder, extension)
+
+    def _json_arrays(self, rows: DataFrame, path: str, broken: Column | None = None) -> None:
+        """One array of a bounded number of objects per file; those that are ``broken`` lack their end."""
+        text = F.to_json(F.struct(*rows.columns))
+        if broken is not None:
+            text = F.when(broken, F.substring(text, 1, 15)).otherwise(text)
+        self._in_files(rows, text, path, "[", ",\n", "]")
 
     @staticmethod
-    def _json_arrays(rows: DataFrame, path: str) -> None:
-        """One array of a bounded number of objects per file."""
+    def _in_files(rows: DataFrame, text: Column, path: str, before: str, between: str, behind: str) -> None:
         chunks = rows.count() // ELEMENTS_PER_FILE + 1
         chunk = F.pmod(F.xxhash64(*rows.columns), F.lit(chunks)).alias("chunk")
-        objects = rows.select(F.to_json(F.struct(*rows.columns)).alias("object"), chunk)
-        objects.groupBy("chunk").agg(
-            F.concat(F.lit("["), F.concat_ws(",\n", F.collect_list("object")), F.lit("]")).alias("value")
+        rows.select(text.alias("one"), chunk).groupBy("chunk").agg(
+            F.concat(F.lit(before), F.concat_ws(between, F.collect_list("one")), F.lit(behind)).alias("value")
         ).write.partitionBy("chunk").text(path)
 
+    def _move(self, draft: str, folder: str, extension: str) -> None:
+        found = files.list_files(self.spark, draft).select("path").toLocalIterator()
+        for number, row in enumerate(sorted(r.path for r in found)):
+            storage.rename(self.spark, row, f"{folder}/drop{self.drops:03d}-{number:05d}{extension}")
+
+    def write_broken_json(self, rows: DataFrame, broken: Column) -> None:
+        """Products, one object per line, some lines cut off."""
+        self.drops += 1
+        draft = f"{self.root}/drafts/{self.drops:03d}"
+        self._json_arrays(rows, draft, broken)
+        self._move(draft, files.PRODUCTS.location(self.root), ".json")
+
+    def write_ragged_csv(self, rows: DataFrame) -> None:
+        """Customers; some lines end after five fields, some have two more than they should."""
+        self.drops += 1
+        draft = f"{self.root}/drafts/{self.drops:03d}"
+        fields = [F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in rows.columns]
+        kind = F.coalesce(F.col("customer_id") % 4, F.lit(0))
+        line = F.when(kind == 1, F.concat_ws(",", *fields[:5])).when(kind == 2, F.concat_ws(",", *fields, F.lit("x"), F.lit("y")))
+        self._in_files(rows, line.otherwise(F.concat_ws(",", *fields)), draft, ",".join(rows.columns) + "\n", "\n", "")
+        self._move(draft, files.CUSTOMERS.location(self.root), ".csv")
+
 
 class Workspace:
     """A fresh warehouse and landing folder below the working folder."""
@@ -123,3 +148,34 @@ def backfilled_twice(spark: SparkSession, raw: DataFrame, which: runs.Conformed)
     runs.backfill(spark, space.layout, which)
     runs.backfill(spark, space.layout, which)
     return runs.table(spark, space.layout, which).read().drop("last_updated_timestamp")
+
+
+def json_with_broken_elements(spark: SparkSession, rows: DataFrame) -> Workspace:
+    space = Workspace(spark)
+    space.landing.write_broken_json(rows, F.col("product_id") % 10 == 0)
+    space.load(files.PRODUCTS)
+    return space
+
+
+def rejects(space: Workspace, source: files.Source) -> DataFrame:
+    return loads.read_rejects(space.spark, source, space.layout)
+
+
+def ragged_csv(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    space, source = Workspace(spark), files.CUSTOMERS
+    space.landing.write_ragged_csv(rows)
+    space.load(source)
+    return space.raw(source).select(*source.schema.fieldNames())
+
+
+def live_views(spark: SparkSession, raw: dict[str, DataFrame]) -> Workspace:
+    """Registered before the first load; both deliveries are loaded and merged afterwards."""
+    space = Workspace(spark)
+    runs.register(spark, space.layout)
+    by_name = {which.name: which for which in runs.CONFORMED}
+    for cut in (fixtures.first_delivery, fixtures.second_delivery):
+        for name, rows in raw.items():
+            space.landing.write(by_name[name].source, cut(rows, name))
+        runs.run_loads(spark, space.layout, space.landing.root)
+        runs.run_merges(spark, space.layout)
+    return space

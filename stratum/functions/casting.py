@@ -12,6 +12,14 @@ from pyspark.sql import types as T
 CORRUPT = "_corrupt_record"
 ERRORS = "errors"
 
+_TIME = r"(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z|[+-]\d{2}:?\d{2})?)?\s*$"
+# Spellings of a date, and how to read what the pattern finds.
+DATE_FORMATS = (
+    (r"^\s*(\d{4}-\d{1,2}-\d{1,2})" + _TIME, "y-M-d"),
+    (r"^\s*(\d{1,2}/\d{1,2}/\d{4})" + _TIME, "M/d/y"),
+    (r"^\s*(?i)(\d{1,2}-(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)-\d{4})" + _TIME, "d-MMM-y"),
+)
+
 
 def null_if(df: DataFrame, markers: Iterable[str], columns: Sequence[str] | None = None) -> DataFrame:
     """Replace marker texts by NULL; by default in every string column."""
@@ -23,7 +31,8 @@ def null_if(df: DataFrame, markers: Iterable[str], columns: Sequence[str] | None
 def convert(value: Column, source: T.DataType, target: T.DataType) -> Column:
     """``value`` as ``target``, or NULL where it has no such value.
 
-    Whole numbers accept any exact spelling (``3``, ``3.0``, ``3e0``) and nothing fractional.
+    A fraction becomes the nearest whole number, halves away from zero. A date is a full date in one of
+    ``DATE_FORMATS``, a time behind it is cut off; a bare number or a year alone is none.
     """
     if source == target:
         return value
@@ -32,15 +41,19 @@ def convert(value: Column, source: T.DataType, target: T.DataType) -> Column:
     if isinstance(target, T.IntegralType):
         if isinstance(source, T.IntegralType):
             return value.try_cast(target)
-        exact = value.try_cast("decimal(38,18)")
-        whole = F.when(exact % 1 == 0, exact.try_cast(target))
+        whole = F.round(value.try_cast("decimal(38,18)"), 0).try_cast(target)
         # Plain digits, the usual case, never reach the decimal path.
         return F.coalesce(value.try_cast(target), whole) if isinstance(source, T.StringType) else whole
     if isinstance(target, T.FractionalType) and isinstance(source, T.StringType):
         # The JVM reads "1.5d" and "1.5f" as numbers; a data file does not mean that.
         return F.when(~value.rlike(r"[0-9.][dDfF]\s*$"), value.try_cast(target))
     if isinstance(target, T.DateType) and isinstance(source, T.NumericType):
-        return F.lit(None).cast(target)  # a bare number is no date
+        return F.lit(None).cast(target)
+    if isinstance(target, T.DateType) and isinstance(source, T.StringType):
+        return F.coalesce(*[
+            F.when(value.rlike(pattern), F.try_to_date(F.regexp_extract(value, pattern, 1), form))
+            for pattern, form in DATE_FORMATS
+        ])
     direct = isinstance(source, T.StringType) or (
         isinstance(target, (T.FractionalType, T.BooleanType)) and isinstance(source, T.NumericType)
     ) or (isinstance(target, T.DateType) and isinstance(source, (T.TimestampType, T.TimestampNTZType)))

@@ -3,7 +3,8 @@
 Rows lie in ``data/commit=<id>/slice=<s>/``; a small JSON file per version lists the folders that are live.
 A merge looks for the slices that hold matching keys (reading only the key column), rewrites those, and
 adds new rows beside the others. Files in use are never overwritten, so readers and retries are safe.
-One writer per table is assumed; a second one fails at the commit, it does not corrupt.
+One writer per table is assumed. Of two that commit the same version one fails at the commit, and nothing of
+it is seen.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ from stratum.operators.upsert import DuplicateSourceKey, UpsertStats
 from stratum.streaming.arrivals import Delivery
 
 SLICE = "slice"
-# A slice in more folders than this is rewritten as one when the next merge commits.
-FOLDERS_PER_SLICE = 24
+# A commit that is not finished after so long will not be.
+ABANDONED_AFTER = 86_400
 
 
 def one_slice() -> Column:
@@ -111,30 +112,43 @@ class SnapshotTable:
 
         stored = self._scan(state["live"])
         work = f"{self.path}/work/{uuid.uuid4().hex}"
-        # Stored: it is used several times below, and its true size lets Spark broadcast it when small.
-        found = merging.matched_keys(stored, source, self.key, SLICE)
-        found.write.parquet(work)
-        matched = self.spark.read.schema(found.schema).parquet(work)
-        totals = matched.groupBy(SLICE).agg(
-            F.sum("rows").alias("rows"), F.max_by(self.key, "copies").alias("key"), F.max("copies").alias("copies")
-        ).collect()  # one row per slice
-        for row in totals:
-            if row.copies > 1:
-                storage.remove(self.spark, work)
-                raise DuplicateSourceKey(f"{self.name}: {row.copies} incoming rows match key {row.key}")
-
-        rewrite = {row[SLICE] for row in totals}
-        rewrite |= {part for part, n in Counter(part for _, part in state["live"]).items()
-                    if n >= FOLDERS_PER_SLICE}
-        # The same scan, its files listed once; only the folders of these slices are read.
-        touched = stored.where(F.col(SLICE).isin(*rewrite) if rewrite else F.lit(False)).drop(SLICE)
-        commit, written = self._write(merging.merge_rows(touched, source, self.key, matched), state)
-        # Row counts come from Parquet footers; they stay exact when tasks are retried.
-        inserted = written - touched.count()
-        version = self._commit(state, commit, rewrite, delivery)
-        storage.remove(self.spark, work)
+        try:
+            # Stored: it is used several times below, and its true size lets Spark broadcast it when small.
+            found = merging.matched_keys(stored, source, self.key, SLICE)
+            found.write.parquet(work)
+            matched = self.spark.read.schema(found.schema).parquet(work)
+            totals = matched.groupBy(SLICE).agg(
+                F.sum("rows").alias("rows"), F.max_by(self.key, "copies").alias("key"), F.max("copies").alias("copies")
+            ).collect()  # one row per slice
+            for row in totals:
+                if row.copies > 1:
+                    raise DuplicateSourceKey(f"{self.name}: {row.copies} incoming rows match key {row.key}")
+            rewrite = {row[SLICE] for row in totals}
+            # The same scan, its files listed once; only the folders of these slices are read.
+            touched = stored.where(F.col(SLICE).isin(*rewrite) if rewrite else F.lit(False)).drop(SLICE)
+            commit, written = self._write(merging.merge_rows(touched, source, self.key, matched), state)
+            # Row counts come from Parquet footers; they stay exact when tasks are retried.
+            inserted = written - touched.count()
+            version = self._commit(state, commit, rewrite, delivery)
+        finally:
+            storage.remove(self.spark, work)
         return UpsertStats(self.name, inserted, sum(row.rows for row in totals), version)
 
+    def compact(self, folders: int = 24) -> int:
+        """Rewrite the slices that lie in at least so many folders as one each; return how many there were.
+
+        Merges that only add rows to a slice leave one more folder each. When to compact is up to an outside
+        scheduler, like everything else; the rows do not change.
+        """
+        state = self._current()
+        held = Counter(part for _, part in state["live"])
+        rewrite = {part for part, n in held.items() if n >= folders and n > 1}
+        if rewrite:
+            rows = self._scan(state["live"]).where(F.col(SLICE).isin(*rewrite)).drop(SLICE)
+            commit, _ = self._write(rows, state)
+            self._commit(state, commit, rewrite, delivery=None)
+        return len(rewrite)
+
     def _slice(self) -> Column:
         """The slice of a row, in characters that a folder name holds as they are."""
         return F.coalesce(F.regexp_replace(self.slice_by(), "[^A-Za-z0-9._-]", "_"), F.lit("none"))
@@ -161,18 +175,26 @@ class SnapshotTable:
         return state["version"] + 1
 
     def _publish(self, state: dict) -> None:
-        path = f"{self.path}/log/{state['version']:09d}.json"
-        if storage.exists(self.spark, path):
-            raise RuntimeError(f"{self.name}: version {state['version']} was committed by another writer")
-        storage.write_text(self.spark, path, json.dumps(state))
-
-    def drop_history(self) -> int:
-        """Delete folders that the current version does not use; return how many."""
-        live = {f"commit={commit}/{SLICE}={part}" for commit, part in self._current()["live"]}
+        try:
+            storage.write_text(self.spark, f"{self.path}/log/{state['version']:09d}.json", json.dumps(state))
+        except FileExistsError:
+            raise RuntimeError(f"{self.name}: version {state['version']} was committed by another writer") from None
+
+    def drop_history(self, older_than: float = 0) -> int:
+        """Delete what the current version does not use and is at least ``older_than`` seconds old; return how
+        many folders. Commits and merges that may still be at work are left alone."""
+        state = self._current()
+        live = {f"commit={commit}/{SLICE}={part}" for commit, part in state["live"]}
         dropped = 0
         for commit in storage.names(self.spark, f"{self.path}/data"):
+            done = int(commit.removeprefix("commit=").split("-")[0]) <= state["version"]
+            least = older_than if done else max(older_than, ABANDONED_AFTER)
             for part in storage.names(self.spark, f"{self.path}/data/{commit}"):
-                if f"{commit}/{part}" not in live:
-                    storage.remove(self.spark, f"{self.path}/data/{commit}/{part}")
+                folder = f"{self.path}/data/{commit}/{part}"
+                if f"{commit}/{part}" not in live and storage.age(self.spark, folder) >= least:
+                    storage.remove(self.spark, folder)
                     dropped += 1
+        for name in storage.names(self.spark, f"{self.path}/work"):
+            if storage.age(self.spark, f"{self.path}/work/{name}") >= max(older_than, ABANDONED_AFTER):
+                storage.remove(self.spark, f"{self.path}/work/{name}")
         return dropped

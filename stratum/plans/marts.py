@@ -87,3 +87,37 @@ def customer_affinity(
         F.try_divide(F.col("amount").cast("double"), "amounts").alias("avg_purchase_amount"),
         F.datediff("last_day", "first_day").cast("long").alias("days_between_first_last_purchase"),
     )
+
+
+# The marts for SQL, of the same shape as above. The names SQL users know them by.
+_DIMENSIONS = """
+  products AS (SELECT product_id, name AS product_name, category AS product_category, count(*) AS product_copies
+    FROM silver.product WHERE product_id IS NOT NULL GROUP BY product_id, name, category),
+  customers AS (SELECT customer_id, customer_type, count(*) AS customer_copies
+    FROM silver.customer WHERE customer_id IS NOT NULL GROUP BY customer_id, customer_type)"""
+VIEWS = {
+    "vw_daily_sales_analysis": f"""
+WITH facts AS (
+    SELECT transaction_date, product_id, customer_id, sum(quantity) AS units, sum(total_amount) AS amount,
+      count(DISTINCT transaction_id) AS num_transactions
+    FROM silver.orders GROUP BY transaction_date, product_id, customer_id),{_DIMENSIONS},
+  joined AS (
+    SELECT *, CAST(units * product_copies * customer_copies AS BIGINT) AS total_quantity,
+      amount * (product_copies * customer_copies) AS total_sales
+    FROM facts JOIN products USING (product_id) JOIN customers USING (customer_id))
+SELECT transaction_date, product_id, product_name, product_category, customer_id, customer_type, total_quantity, total_sales,
+  num_transactions, try_divide(total_sales, total_quantity) AS avg_price_per_unit,
+  try_divide(total_sales, num_transactions) AS avg_transaction_value
+FROM joined""",
+    "vw_customer_product_affinity": f"""
+WITH facts AS (
+    SELECT customer_id, product_id, trunc(transaction_date, 'month') AS purchase_month,
+      count(DISTINCT transaction_id) AS purchase_count, sum(quantity) AS units, sum(total_amount) AS amount,
+      count(total_amount) AS amounts, min(transaction_date) AS first_day, max(transaction_date) AS last_day
+    FROM silver.orders GROUP BY customer_id, product_id, trunc(transaction_date, 'month')),{_DIMENSIONS}
+SELECT customer_id, customer_type, product_id, product_name, product_category, purchase_month, purchase_count,
+  CAST(units * product_copies * customer_copies AS BIGINT) AS total_quantity,
+  amount * (product_copies * customer_copies) AS total_spent, try_divide(amount, amounts) AS avg_purchase_amount,
+  CAST(datediff(last_day, first_day) AS BIGINT) AS days_between_first_last_purchase
+FROM facts JOIN products USING (product_id) JOIN customers USING (customer_id)""",
+}

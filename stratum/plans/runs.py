@@ -5,10 +5,11 @@ Each function does one run and returns; an outside scheduler decides when.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratum import schemas, storage
@@ -23,8 +24,7 @@ from stratum.streaming import loads
 from stratum.streaming.changefeed import ChangeFeed
 from stratum.streaming.loads import LoadStats
 
-# Names SQL users know the marts by.
-DAILY_SALES_VIEW, AFFINITY_VIEW = "vw_daily_sales_analysis", "vw_customer_product_affinity"
+DAILY_SALES_VIEW, AFFINITY_VIEW = marts.VIEWS
 PARTITIONS_PER_STATEMENT = 500
 # What "latest" means when a feed holds a key twice.
 ARRIVAL_ORDER = ("ingestion_timestamp", "batch_id", "source_file_name", "source_file_row_number")
@@ -73,15 +73,18 @@ def merge(
     """Clean and merge all pending rows of one table. An empty feed changes nothing."""
     target, results = table(spark, layout, which), []
     target.ensure()
+    loads.ensure_raw(spark, which.source, layout)
 
     def apply(rows: DataFrame, delivery) -> None:
         cleaned = cleaning.stamp(which.clean(rows, keep=ARRIVAL_ORDER))
         results.append(target.merge(cleaned, delivery, on_duplicate, ARRIVAL_ORDER))
 
     feed(spark, layout, which, start_from=start_from).consume(apply)
+    refresh(spark, layout)
     return results
 
 
+# The names of these three are fixed: callers know the merges by them.
 def process_customer_changes(spark: SparkSession, layout: Layout, **options) -> list[UpsertStats]:
     return merge(spark, layout, CUSTOMER, **options)
 
@@ -97,7 +100,9 @@ def merge_order_to_silver(spark: SparkSession, layout: Layout, **options) -> lis
 def backfill(spark: SparkSession, layout: Layout, which: Conformed) -> UpsertStats:
     """Insert all raw rows, cleaned, without looking at keys or at the feed. Running it twice inserts twice."""
     raw = loads.read_raw(spark, which.source, layout)
-    return table(spark, layout, which).append(cleaning.stamp(which.clean(raw)))
+    result = table(spark, layout, which).append(cleaning.stamp(which.clean(raw)))
+    refresh(spark, layout)
+    return result
 
 
 def create_layers(spark: SparkSession, layout: Layout) -> None:
@@ -111,7 +116,9 @@ def create_layers(spark: SparkSession, layout: Layout) -> None:
 
 
 def run_loads(spark: SparkSession, layout: Layout, landing_root: str, **options) -> list[LoadStats]:
-    return [loads.load(spark, source, landing_root, layout, **options) for source in files.SOURCES]
+    results = [loads.load(spark, source, landing_root, layout, **options) for source in files.SOURCES]
+    refresh(spark, layout)
+    return results
 
 
 def run_merges(spark: SparkSession, layout: Layout, **options) -> list[UpsertStats]:
@@ -133,36 +140,56 @@ def counts(spark: SparkSession, layout: Layout) -> DataFrame:
 
 
 def register(spark: SparkSession, layout: Layout) -> None:
-    """Make everything known to SQL: ``bronze.raw_*`` and ``silver.*`` as external tables, the marts as
-    temporary views that are computed on each access.
+    """Make everything known to SQL: ``bronze.raw_*`` and ``silver.*`` as external tables, ``gold.vw_*`` as views
+    that are computed on each access.
 
-    Tables show what is there now; register again after a load or a merge.
+    Once is enough: every load, merge and backfill of this module brings what is registered up to date.
     """
     create_layers(spark, layout)
+    for name, schema, folders, path, _ in _external(spark, layout):
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+        storage.make_dir(spark, path)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({', '.join(folders)}) "
+                  f"LOCATION '{path}' TBLPROPERTIES ('{_ROOT}' = '{layout.root}')")
+    refresh(spark, layout)
+    for view, text in marts.VIEWS.items():
+        spark.sql(f"CREATE OR REPLACE VIEW gold.{view} AS {text}")
+
+
+# Says which layout a registered table belongs to.
+_ROOT = "stratum.root"
+
+
+def _external(spark: SparkSession, layout: Layout) -> Iterator[tuple[str, T.StructType, list[str], str, set[str]]]:
+    """Of each table for SQL: name, schema, folder columns, path, and the folders that hold its rows now."""
     for source in files.SOURCES:
-        path = layout.raw(source.table)
-        batches = [f"batch_id='{n.removeprefix('batch_id=')}'" for n in storage.names(spark, path)]
-        _external_table(spark, f"bronze.{source.table}", source.raw_schema, ["batch_id"], path, batches)
+        path, feed_name = layout.raw(source.table), loads.feed_name(spark, source, layout)
+        batches = {n for n in storage.names(spark, path) if n.startswith(f"batch_id={feed_name}-")}
+        yield f"bronze.{source.table}", source.raw_schema, ["batch_id"], path, batches
     for which in CONFORMED:
         stored = table(spark, layout, which)
-        slices = [f"commit='{commit}', slice='{part}'" for commit, part in stored.live()]
         schema = T.StructType([*which.schema.fields, *stored.FOLDERS.fields])
-        _external_table(
-            spark, f"silver.{which.name}", schema, stored.FOLDERS.fieldNames(), f"{stored.path}/data", slices)
-    # Spelled out, so that the folder columns stay inside.
-    customer, product, orders = (
-        spark.table(f"silver.{which.name}").select(*which.schema.fieldNames()) for which in CONFORMED)
-    marts.daily_sales(orders, product, customer).createOrReplaceTempView(DAILY_SALES_VIEW)
-    marts.customer_affinity(customer, orders, product).createOrReplaceTempView(AFFINITY_VIEW)
-
-
-def _external_table(
-    spark: SparkSession, name: str, schema: T.StructType, folders: list[str], path: str, partitions: list[str],
-) -> None:
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
-    storage.make_dir(spark, path)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({', '.join(folders)}) LOCATION '{path}'")
-    for start in range(0, len(partitions), PARTITIONS_PER_STATEMENT):
-        some = partitions[start:start + PARTITIONS_PER_STATEMENT]
-        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(f"PARTITION ({p})" for p in some))
+        slices = {f"commit={commit}/slice={part}" for commit, part in stored.live()}
+        yield f"silver.{which.name}", schema, stored.FOLDERS.fieldNames(), f"{stored.path}/data", slices
+
+
+def refresh(spark: SparkSession, layout: Layout) -> None:
+    """Bring the tables that ``register`` made for this layout up to date, by the folders that changed."""
+    for name, _, _, _, wanted in _external(spark, layout):
+        if not spark.catalog.tableExists(name) or spark.sql(f"SHOW TBLPROPERTIES {name}").where(
+                (F.col("key") == _ROOT) & (F.col("value") == layout.root)).isEmpty():
+            continue
+        known = {row.partition for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+        # Old folders go first: a reader in between misses rows for a moment, but sees none twice.
+        _alter(spark, f"ALTER TABLE {name} DROP IF EXISTS", known - wanted, ", ")
+        _alter(spark, f"ALTER TABLE {name} ADD IF NOT EXISTS", wanted - known, " ")
+        spark.catalog.refreshTable(name)
+
+
+def _alter(spark: SparkSession, statement: str, folders: set[str], between: str) -> None:
+    ordered = sorted(folders)
+    for start in range(0, len(ordered), PARTITIONS_PER_STATEMENT):
+        specs = (", ".join(f"{k}='{v}'" for k, v in (part.split("=", 1) for part in folder.split("/")))
+                 for folder in ordered[start:start + PARTITIONS_PER_STATEMENT])
+        spark.sql(f"{statement} " + between.join(f"PARTITION ({spec})" for spec in specs))

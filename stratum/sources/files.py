@@ -26,6 +26,9 @@ from stratum.storage import literal, qualified
 NULL_MARKERS = ("NULL", "null", "")
 FILE_INFO = "path string, modificationTime timestamp, length long, content binary"
 
+# Characters of a broken piece of text that a reject keeps.
+EXCERPT = 1_000
+
 Paths = str | Sequence[str]
 
 
@@ -56,14 +59,16 @@ def _text_columns(schema: T.StructType) -> T.StructType:
 def read_csv(
     spark: SparkSession, paths: Paths, schema: T.StructType, *, landing_root: str | None = None,
     quote: str = "", glob: str = "*.csv", null_markers: Sequence[str] = NULL_MARKERS, positions: bool = False,
+    exact_width: bool = False,
 ) -> DataFrame:
     """Comma-separated text with one header line; columns are bound by position, whatever the header says.
 
-    Quoting is off unless ``quote`` is given. Lines with too few or too many fields carry the line in
+    Quoting is off unless ``quote`` is given. In a line with too few fields the others are NULL; in one with
+    too many the last ones are not looked at. With ``exact_width`` such lines carry the line in
     ``_corrupt_record``.
     """
     df = (
-        spark.read.schema(_text_columns(schema))
+        spark.read.schema(_text_columns(schema) if exact_width else schemas.as_text(schema))
         .options(header=True, enforceSchema=True, sep=",", quote=quote, encoding="UTF-8",
                  mode="PERMISSIVE", columnNameOfCorruptRecord=casting.CORRUPT, **_folder_options(glob))
         # With pruning, whether a line counts as malformed depends on the columns a query reads.
@@ -81,29 +86,29 @@ def read_json_array(
 ) -> DataFrame:
     """Files that hold a JSON array: one row per element, fields bound by name, as text.
 
-    Where every line of a file holds whole elements (an array written line by line, or objects without an
-    array around them), the file is read by lines and so by many tasks. Any other file is read as one text;
-    if its elements are not valid JSON, it gives one row with the text in ``_corrupt_record``. The brackets
-    around the elements may be missing. Bytes that are not UTF-8 become U+FFFD.
+    A file in which most lines hold whole objects (an array written line by line, or objects without an array
+    around them) is read by lines and so by many tasks; a line that is broken is one row with the line in
+    ``_corrupt_record``. Any other file is read as one text; if that is not valid JSON, it is one row whose
+    ``_corrupt_record`` has the beginning of the text. The brackets around the elements may be missing. Bytes
+    that are not UTF-8 become U+FFFD.
     """
     def scan(files: list[str], whole: bool) -> DataFrame:
         return spark.read.options(**_folder_options(glob)).text(files, wholetext=whole)
 
     listed = _paths(spark, paths, landing_root)
-    by_file = (
-        scan(listed, whole=False)
-        .groupBy(F.col("_metadata.file_path").alias("file"))
-        .agg(F.bool_and(_element_count(F.col("value")).isNotNull()).alias("by_line"))
-        .collect()  # one row per file
-    )
-    broken_up = [literal(unquote(row.file)) for row in by_file if not row.by_line]
-    if not broken_up:
-        return _elements(scan(listed, whole=False), schema, positions)
-    parts = [_elements(scan(broken_up, whole=True), schema, positions)]
-    if len(broken_up) < len(by_file):
-        by_line = [literal(unquote(row.file)) for row in by_file if row.by_line]
-        parts.append(_elements(scan(by_line, whole=False), schema, positions))
-    return functools.reduce(DataFrame.unionByName, parts)
+    file, inner = F.col("_metadata.file_path"), _inside_array(F.col("value"))
+    # Brackets alone say nothing; an object over several lines is whole in none of them.
+    says = ~inner.rlike(r"^\[\s*\]$")
+    whole = says & inner.rlike(r"^\[\s*\{") & F.json_array_length(inner).isNotNull()
+    by_file = scan(listed, whole=False).groupBy(file.alias("file")).agg(
+        F.count_if(whole).alias("whole"), F.count_if(says & ~whole).alias("broken"))
+    other = by_file.where((F.col("whole") == 0) | (F.col("whole") < F.col("broken"))).select("file")
+    in_one_piece = [row.file for row in other.collect()]  # of the files of one batch
+    by_line = scan(listed, whole=False)
+    if not in_one_piece:
+        return _elements(by_line, schema, positions)
+    rest = _elements(by_line.where(~file.isin(in_one_piece)), schema, positions)
+    return _elements(scan([literal(unquote(f)) for f in in_one_piece], whole=True), schema, positions).unionByName(rest)
 
 
 def _inside_array(text: Column) -> Column:
@@ -113,11 +118,6 @@ def _inside_array(text: Column) -> Column:
     return F.concat(F.lit("["), inner, F.lit("]"))
 
 
-def _element_count(text: Column) -> Column:
-    """Elements in a piece of text, NULL if it does not hold whole ones."""
-    return F.json_array_length(_inside_array(text))
-
-
 def _elements(texts: DataFrame, schema: T.StructType, positions: bool) -> DataFrame:
     """One row per element of each text; a text that is not JSON is one row, marked corrupt."""
     kind = _text_columns(schema)
@@ -132,7 +132,8 @@ def _elements(texts: DataFrame, schema: T.StructType, positions: bool) -> DataFr
     # The parser leaves out what it cannot fit into rows; then the text counts as corrupt as a whole.
     complete = F.coalesce(F.size("parsed") == F.col("count"), F.lit(False))
     corrupt = F.struct(*[
-        (F.col("value") if f.name == casting.CORRUPT else F.lit(None).cast("string")).alias(f.name) for f in kind
+        (F.left("value", F.lit(EXCERPT)) if f.name == casting.CORRUPT else F.lit(None).cast("string")).alias(f.name)
+        for f in kind
     ])
     elements = F.when(complete, F.col("parsed")).otherwise(F.array(corrupt))
     rows = parsed.select(F.explode(elements).alias("element"), *kept)
@@ -145,8 +146,8 @@ def read_parquet(
 ) -> DataFrame:
     """Columns of ``schema`` that the files have, by name, in the files' own types.
 
-    Footers are merged by a Spark job. Files that disagree on a type are read per distinct footer schema
-    and brought together as text.
+    Footers are merged by a Spark job. If files disagree on a type, their list is halved until the files of
+    each part agree, and the parts are brought together as text.
     """
     reader = spark.read.options(mergeSchema=True, **_folder_options(glob))
     listed = _paths(spark, paths, landing_root)
@@ -159,19 +160,34 @@ def read_parquet(
         ]
         return df.select(*columns, *(lineage.indexed_position() if positions else []))
 
+    def agreeing(files: list[str]) -> list[DataFrame]:
+        try:
+            return [reader.parquet(*files)]
+        except (PySparkException, Py4JJavaError) as error:
+            if len(files) == 1 or not _cannot_merge(error):
+                raise
+        return agreeing(files[: len(files) // 2]) + agreeing(files[len(files) // 2 :])
+
     try:
         return pick(reader.parquet(*listed))
     except (PySparkException, Py4JJavaError) as error:
-        if "CANNOT_MERGE_SCHEMAS" not in str(error):
+        if not _cannot_merge(error):
             raise
-    groups: dict[str, list[str]] = {}
-    for row in list_files(spark, listed, glob).select("path").toLocalIterator():
-        path = literal(row.path)
-        groups.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
-    parts = [pick(spark.read.parquet(*files), as_text=True) for files in groups.values()]
+    files = sorted(literal(row.path) for row in list_files(spark, listed, glob).select("path").collect())
+    parts = [pick(part, as_text=True) for part in agreeing(files)]
     return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def _cannot_merge(error: Exception) -> bool:
+    """Whether the files' footers disagree, by the name of the error's condition."""
+    condition = error.getCondition() if isinstance(error, PySparkException) else None
+    cause = getattr(error, "java_exception", None)
+    while condition is None and cause is not None:
+        condition = cause.getCondition() if hasattr(cause, "getCondition") else None
+        cause = cause.getCause()
+    return "CANNOT_MERGE_SCHEMAS" in (condition or "")
+
+
 def read_parquet_cast(
     spark: SparkSession, paths: Paths, schema: T.StructType, *, landing_root: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
@@ -223,7 +239,10 @@ ORDERS = Source("raw_order", "Order", "*.parquet", schemas.ORDER, read_parquet,
 SOURCES = (CUSTOMERS, PRODUCTS, ORDERS)
 
 
-def preview(spark: SparkSession, source: Source, landing_root: str, n: int = 10) -> DataFrame:
-    """First rows of the landing files, uncast."""
-    rows = source.read(spark, source.location(landing_root), source.schema, landing_root=landing_root)
-    return rows.limit(n)
+def preview(spark: SparkSession, source: Source, landing_root: str, n: int = 10, files: int = 10) -> DataFrame:
+    """First rows of some landing files, uncast. Only these files are opened."""
+    location = source.location(landing_root)
+    some = [row.path for row in list_files(spark, location, source.glob).select("path").orderBy("path").limit(files).collect()]
+    if not some:
+        return spark.createDataFrame([], schemas.as_text(source.schema))
+    return source.read(spark, some, source.schema, landing_root=landing_root).limit(n)

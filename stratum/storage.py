@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
+import time
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -31,6 +34,12 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in found if not n.startswith((".", "_")))
 
 
+def age(spark: SparkSession, path: str) -> float:
+    """Seconds since the file or folder was last changed."""
+    fs, target = _open(spark, path)
+    return time.time() - fs.getFileStatus(target).getModificationTime() / 1000
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     fs, src = _open(spark, source)
     _, dst = _open(spark, target)
@@ -54,15 +63,36 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Publish a small file in one step: readers see all of it or nothing."""
-    draft = re.sub(r"([^/]+)$", r"_\1.draft", path)
-    fs, target = _open(spark, draft)
-    stream = fs.create(target, True)
+    """Publish a small file in one step: readers see all of it or nothing. Of several writers of one path
+    exactly one succeeds; the others get ``FileExistsError``."""
+    draft = re.sub(r"([^/]+)$", rf"_\1.{uuid.uuid4().hex}", path)
+    fs, source = _open(spark, draft)
+    _, target = _open(spark, path)
+    stream = fs.create(source, False)
     try:
         stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
-    rename(spark, draft, path)
+    try:
+        _publish(spark, fs, source, target)
+    finally:
+        if fs.exists(source):
+            fs.delete(source, False)
+
+
+def _publish(spark: SparkSession, fs, source, target) -> None:
+    """Give the file its final name unless that is taken, as one step of the file system."""
+    if fs.getScheme() == "file":
+        # A local rename would replace what is there; a second name for the file cannot.
+        local = [spark._jvm.java.nio.file.Paths.get(fs.makeQualified(p).toUri()) for p in (source, target)]
+        try:
+            spark._jvm.java.nio.file.Files.createLink(local[1], local[0])
+        except Py4JJavaError as error:
+            if error.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+                raise
+            raise FileExistsError(f"{target} is there already") from None
+    elif fs.exists(target) or not fs.rename(source, target):
+        raise FileExistsError(f"{target} is there already")
 
 
 def qualified(spark: SparkSession, path: str) -> str:

@@ -24,13 +24,16 @@ class Delivery:
 
     feed: str
     epoch: int
-    paths: list[str]
     names: DataFrame
 
     @property
     def batch_id(self) -> str:
         return f"{self.feed}-{self.epoch:09d}"
 
+    def paths(self) -> list[str]:
+        """File names, on the driver: for deliveries whose size is bounded by ``files_per_batch``."""
+        return [row.path for row in self.names.collect()]
+
 
 class Arrivals:
     """The position of one reader in one folder, kept in ``state``."""
@@ -39,13 +42,20 @@ class Arrivals:
         self.spark, self.folder, self.glob, self.state = spark, folder, glob, state
 
     def generation(self) -> str:
-        """Folder of the current position. A reset opens a new one."""
-        found = storage.names(self.spark, self.state)
-        return f"{self.state}/{found[-1]}" if found else self.reset()
+        """Folder of the current position. A reset opens a new one, which counts once its feed is named."""
+        for name in reversed(storage.names(self.spark, self.state)):
+            if storage.exists(self.spark, f"{self.state}/{name}/feed"):
+                return f"{self.state}/{name}"
+        return self.reset()
+
+    def feed(self) -> str:
+        """The name that this position gives to its deliveries."""
+        return storage.read_text(self.spark, f"{self.generation()}/feed")
 
     def reset(self) -> str:
-        """Forget the position: the next run starts over."""
-        number = len(storage.names(self.spark, self.state)) + 1
+        """Forget the position, in one step: the next run starts over."""
+        found = storage.names(self.spark, self.state)
+        number = int(found[-1].removeprefix("g")) + 1 if found else 1
         path = f"{self.state}/g{number:06d}"
         # A random name, so that epochs of different generations never look alike downstream.
         storage.write_text(self.spark, f"{path}/feed", uuid.uuid4().hex[:16])
@@ -63,10 +73,8 @@ class Arrivals:
 
         def deliver(names: DataFrame, epoch: int) -> None:
             nonlocal done
-            # File names only: bounded by files_per_batch, and already held by the stream's own log.
-            paths = [row.path for row in names.collect()]
-            if paths:
-                handle(Delivery(feed, epoch, paths, names))
+            if not names.isEmpty():
+                handle(Delivery(feed, epoch, names))
                 done += 1
 
         reader = (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,8 @@ from stratum import storage
 from stratum.sources.files import list_files
 from stratum.streaming.arrivals import Arrivals, Delivery
 
+# The folder of rows that were appended together.
+BATCH = "batch_id"
 SEEN = T.StructType([T.StructField("path", T.StringType()), T.StructField("epoch", T.LongType())])
 
 
@@ -42,7 +45,7 @@ class ChangeFeed:
         return self.arrivals.run(lambda d: self._deliver(d, apply), files_per_batch)
 
     def _deliver(self, delivery: Delivery, apply: Callable[[DataFrame, Delivery], None]) -> None:
-        apply(self._rows(delivery.paths), delivery)
+        apply(self._rows(delivery.names), delivery)
         # After the sink's commit, before the checkpoint's: a crash in between only repeats this line.
         delivery.names.write.mode("overwrite").parquet(f"{self._ledger()}/epoch={delivery.epoch}")
 
@@ -55,8 +58,7 @@ class ChangeFeed:
 
     def pending(self) -> DataFrame:
         """Rows not consumed yet; looking does not consume them. Only their files are opened."""
-        unseen = self._files().select("path").join(self._seen(), "path", "left_anti")
-        return self._rows([row.path for row in unseen.collect()])
+        return self._rows(self._files().select("path").join(self._seen(), "path", "left_anti"))
 
     def offset(self) -> DataFrame:
         """One row: the last consumed epoch, files consumed, and the write time of the newest of them."""
@@ -79,7 +81,23 @@ class ChangeFeed:
             return self.spark.createDataFrame([], SEEN)
         return self.spark.read.schema(SEEN).parquet(path)
 
-    def _rows(self, paths: list[str]) -> DataFrame:
-        if not paths:
+    def _rows(self, names: DataFrame) -> DataFrame:
+        """The rows of these files.
+
+        The driver sees the folders only, one per batch that was appended; Spark lists and prunes by them.
+        A batch is appended in one step, so as a rule all files of a folder are pending, or none. Where some
+        are not (a consumer with ``files_per_batch``), the rows of the others are taken out by a join.
+        """
+        folder = F.regexp_extract("path", f"{re.escape(BATCH)}=([^/]*)/", 1)
+        wanted = names.select("path", folder.alias("folder"))
+        folders = [row.folder for row in wanted.select("folder").distinct().collect()]
+        if not folders:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).option("basePath", self.table_path).parquet(*paths)
+        held = self._files().select("path", folder.alias("folder")).where(F.col("folder").isin(folders))
+        rows = self.spark.read.schema(self.schema).parquet(self.table_path).where(
+            F.coalesce(BATCH, F.lit("")).isin(folders) if BATCH in self.schema.names else F.lit(True))
+        if held.count() == wanted.count():
+            return rows
+        tail = r"([^/]*/[^/]*)$"  # folder and file, whatever the spelling of the rest
+        return rows.select("*", F.regexp_extract("_metadata.file_path", tail, 1).alias("__file")).join(
+            wanted.select(F.regexp_extract("path", tail, 1).alias("__file")), "__file", "left_semi").drop("__file")

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratum import storage
 from stratum.functions import casting, lineage
@@ -28,21 +29,39 @@ class LoadStats:
 
 
 def ensure_raw(spark: SparkSession, source: Source, layout: Layout, recreate: bool = False) -> None:
-    """Create the raw table if it is absent. ``recreate`` drops its rows and starts the load over."""
+    """Create the raw table if it is absent. ``recreate`` drops its rows and starts the load over.
+
+    Every batch folder bears the name of the load's feed, and a new feed is published in one step: from then
+    on the batches of the old one are no part of the table. Deleting them comes last and is made up for by
+    the next call after a crash.
+    """
+    arrivals = _arrivals(spark, source, layout, "")
     if recreate:
-        for path in (layout.raw(source.table), layout.rejects(source.table)):
-            storage.remove(spark, path)
-        _arrivals(spark, source, layout, "").reset()
+        arrivals.reset()
+    feed = arrivals.feed()
     for path in (layout.raw(source.table), layout.rejects(source.table)):
         storage.make_dir(spark, path)
+        for batch in storage.names(spark, path):
+            if not batch.startswith(f"batch_id={feed}-"):
+                storage.remove(spark, f"{path}/{batch}")
+
+
+def feed_name(spark: SparkSession, source: Source, layout: Layout) -> str:
+    """The name that the batches of the table begin with."""
+    return _arrivals(spark, source, layout, "").feed()
+
+
+def _read(spark: SparkSession, source: Source, layout: Layout, schema: T.StructType, path: str) -> DataFrame:
+    batches = F.col("batch_id").startswith(f"{feed_name(spark, source, layout)}-")
+    return spark.read.schema(schema).parquet(path).where(batches)
 
 
 def read_raw(spark: SparkSession, source: Source, layout: Layout) -> DataFrame:
-    return spark.read.schema(source.raw_schema).parquet(layout.raw(source.table))
+    return _read(spark, source, layout, source.raw_schema, layout.raw(source.table))
 
 
 def read_rejects(spark: SparkSession, source: Source, layout: Layout) -> DataFrame:
-    return spark.read.schema(source.reject_schema).parquet(layout.rejects(source.table))
+    return _read(spark, source, layout, source.reject_schema, layout.rejects(source.table))
 
 
 def _arrivals(spark: SparkSession, source: Source, layout: Layout, landing_root: str) -> Arrivals:
@@ -62,7 +81,7 @@ def load(
 
     def append(delivery: Delivery) -> None:
         stats.batches += 1
-        stats.files += len(delivery.paths)
+        stats.files += delivery.names.count()
         loaded, rejected = _append(spark, source, landing_root, layout, delivery, reader_options)
         stats.loaded += loaded
         stats.rejected += rejected
@@ -78,7 +97,7 @@ def _append(spark, source, landing_root, layout, delivery, reader_options) -> tu
         stage = f"{layout.staging(source.table)}/{delivery.batch_id}"
         storage.remove(spark, stage)
         rows = source.read(
-            spark, delivery.paths, source.schema, landing_root=landing_root, positions=True, **reader_options
+            spark, delivery.paths(), source.schema, landing_root=landing_root, positions=True, **reader_options
         )
         rows = casting.cast_with_errors(rows, source.schema)
         if not source.row_index:

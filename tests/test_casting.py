@@ -20,13 +20,14 @@ def converted(spark, values, source, target):
 def test_text_to_whole_number(spark):
     values = ["12", " 5 ", "3.0", "3e2", "12.7", "x", "", None, "3000000000", "9" * 25, "-7", "3.00000000001"]
     assert converted(spark, values, schemas.TEXT, schemas.INT) == [
-        12, 5, 3, 300, None, None, None, None, None, None, -7, None]
+        12, 5, 3, 300, 13, None, None, None, None, None, -7, 3]
+    assert converted(spark, ["0.5", "-0.5", "2.49", "-2.5", "1.2.3"], schemas.TEXT, schemas.INT) == [1, -1, 2, -3, None]
     assert converted(spark, ["3000000000"], schemas.TEXT, schemas.LONG) == [3000000000]
 
 
 def test_number_to_whole_number(spark):
     assert converted(spark, [3.0, 3.5, math.nan, math.inf, 1e30, None], schemas.REAL, schemas.INT) == [
-        3, None, None, None, None, None]
+        3, 4, None, None, None, None]
     assert converted(spark, [7, 2**40], schemas.LONG, schemas.INT) == [7, None]
 
 
@@ -38,6 +39,10 @@ def test_text_to_real(spark):
 def test_text_to_date_and_flag(spark):
     day = dt.date(2024, 3, 15)
     assert converted(spark, ["2024-03-15", "2024-02-30", "n/a"], schemas.TEXT, schemas.DAY) == [day, None, None]
+    spelled = ["03/15/2024", "3/15/2024", "15-Mar-2024", "15-MAR-2024", " 2024-3-15 ", "2024-03-15T10:11:12Z", "2024-03-15 10:11"]
+    assert converted(spark, spelled, schemas.TEXT, schemas.DAY) == [day] * len(spelled)
+    unfit = ["2024", "2024-03", "20240315", "15/03/2024", "02/30/2024", "31-Feb-2024", "2024-03-15x", "", None]
+    assert converted(spark, unfit, schemas.TEXT, schemas.DAY) == [None] * len(unfit)
     assert converted(spark, ["true", "FALSE", "1", "maybe"], schemas.TEXT, schemas.FLAG) == [True, False, True, None]
 
 
@@ -60,14 +65,14 @@ def test_null_markers(spark):
 def test_every_row_is_good_or_rejected(spark):
     schema = schemas.struct(n=schemas.LONG, d=schemas.DAY, missing=schemas.TEXT)
     df = spark.createDataFrame(
-        [("1", "2024-01-01", 1), ("x", "n/a", 2), (None, None, 3), ("2.5", "2024-01-02", 4)], "n string, d string, row int")
+        [("1", "2024-01-01", 1), ("x", "n/a", 2), (None, None, 3), ("2.5x", "2024-01-02", 4), ("2.5", "2024-01-02", 5)], "n string, d string, row int")
     good, bad = casting.cast_or_reject(df, schema)
     assert good.columns == ["n", "d", "missing", "row"]
-    assert sorted(r.row for r in good.collect()) == [1, 3]
+    assert sorted((r.row, r.n) for r in good.collect()) == [(1, 1), (3, None), (5, 3)]
     errors = {r.row: [(e.column, e.value, e.reason) for e in r.errors] for r in bad.collect()}
     assert errors == {
         2: [("n", "x", "not a valid bigint"), ("d", "n/a", "not a valid date")],
-        4: [("n", "2.5", "not a valid bigint")],
+        4: [("n", "2.5x", "not a valid bigint")],
     }
 
 
@@ -77,4 +82,4 @@ def test_json_fields(spark, paths):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, j string")
     out = casting.json_fields(df, "j", {"k": (paths[0], schemas.INT), "s": (paths[1], schemas.TEXT)})
     got = [(r.k, r.s) for r in out.orderBy("i").collect()]
-    assert got == [(69, "a"), (7, None), (None, None), (None, None), (None, None), (None, None)]
+    assert got == [(69, "a"), (7, None), (2, None), (None, None), (None, None), (None, None)]

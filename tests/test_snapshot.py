@@ -30,7 +30,7 @@ def content(table):
 
 
 def delivery(epoch, feed="f"):
-    return Delivery(feed, epoch, [], None)
+    return Delivery(feed, epoch, None)
 
 
 def live(table):
@@ -126,12 +126,49 @@ def test_second_writer_fails_at_the_commit(table, frame, spark, monkeypatch):
     assert content(other) == [("a", "2024-01-05", 1), ("b", "2024-01-05", 2)]
 
 
-def test_many_small_commits_are_brought_together(table, frame, monkeypatch):
-    monkeypatch.setattr(snapshot, "FOLDERS_PER_SLICE", 3)
+@pytest.mark.parametrize("step", ["_write", "_commit", "_publish"])
+def test_two_writers_interleave(table, frame, spark, monkeypatch, step):
+    """Another writer does a whole merge right before this one's next step."""
+    table.merge(frame(("a", "2024-01-05", 1)))
+    other = SnapshotTable(spark, table.path, SCHEMA, "k", by_date("day"))
+    original = getattr(table, step)
+
+    def late(*args, **options):
+        monkeypatch.setattr(table, step, original)
+        other.merge(frame(("b", "2024-01-05", 2)))
+        return original(*args, **options)
+
+    monkeypatch.setattr(table, step, late)
+    with pytest.raises(RuntimeError, match="another writer"):
+        table.merge(frame(("c", "2024-01-05", 3)))
+    assert content(other) == [("a", "2024-01-05", 1), ("b", "2024-01-05", 2)]
+    assert storage.names(spark, f"{table.path}/work") == []
+
+
+def test_drafts_of_two_writers_do_not_meet(spark, tmp_path, monkeypatch):
+    path, publish = f"{tmp_path}/log/1.json", storage._publish
+
+    def late(*args):
+        monkeypatch.setattr(storage, "_publish", publish)
+        storage.write_text(spark, path, "second")
+        publish(*args)
+
+    monkeypatch.setattr(storage, "_publish", late)
+    with pytest.raises(FileExistsError):
+        storage.write_text(spark, path, "first")
+    assert storage.read_text(spark, path) == "second"
+    assert [p.name for p in (tmp_path / "log").iterdir() if not p.name.startswith(".")] == ["1.json"]
+
+
+def test_many_small_commits_are_brought_together(table, frame):
     for i in range(5):
         table.merge(frame((f"k{i}", "2024-01-05", i)))
-    assert len([1 for _, part in table._current()["live"] if part == "2024-01"]) <= 3
-    assert len(content(table)) == 5
+    before = content(table)
+    folders = len(table.live())
+    assert folders == 5 and table.compact(6) == 0 and table.compact(3) == 1
+    assert len(table.live()) == 1 and content(table) == before
+    table.merge(frame(("k0", "2024-01-05", 9)))
+    assert ("k0", "2024-01-05", 9) in content(table) and len(before) == 5
 
 
 def test_drop_history(table, frame, spark):

@@ -25,7 +25,7 @@ x,Cy,c@x,US,R,2024-01-01,20,M,2
 def test_csv_binds_by_position_and_keeps_bad_lines(spark, landing):
     (landing / "Customer/a.csv").write_text(CSV)
     (landing / "Customer/skip.txt").write_text(CSV)
-    df = files.read_csv(spark, str(landing / "Customer"), schemas.CUSTOMER)
+    df = files.read_csv(spark, str(landing / "Customer"), schemas.CUSTOMER, exact_width=True)
     assert df.columns == [*schemas.CUSTOMER.fieldNames(), casting.CORRUPT]
     got = {r.customer_id: r for r in df.collect()}
     assert set(got) == {"1", "2", "3", "x", "5", "6"}
@@ -42,7 +42,7 @@ def test_csv_quote_option(spark, landing):
 
 def test_csv_good_and_rejected(spark, landing):
     (landing / "Customer/a.csv").write_text(CSV)
-    df = files.read_csv(spark, str(landing / "Customer/a.csv"), schemas.CUSTOMER)
+    df = files.read_csv(spark, str(landing / "Customer/a.csv"), schemas.CUSTOMER, exact_width=True)
     good, bad = casting.cast_or_reject(df, schemas.CUSTOMER)
     assert [r.customer_id for r in good.collect()] == [1]
     assert bad.count() == 5  # also when no column is read
@@ -51,6 +51,48 @@ def test_csv_good_and_rejected(spark, landing):
     assert {"2024-02-30", "x", "5,short"} <= reasons
 
 
+def test_csv_short_and_long_lines_are_loaded(spark, landing):
+    (landing / "Customer/a.csv").write_text("a,b\n1,Al,a@x\n2,Bo,b@x,DE,P,2024-01-02,30,M,4,extra,more\n\n3\n")
+    df = files.read_csv(spark, str(landing / "Customer/a.csv"), schemas.CUSTOMER)
+    good, bad = casting.cast_or_reject(df, schemas.CUSTOMER)
+    assert bad.count() == 0 and good.count() == 3
+    got = {r.customer_id: (r.email, r.total_purchases) for r in good.collect()}
+    assert got == {1: ("a@x", None), 2: ("b@x", 4), 3: (None, None)}
+
+
+def test_json_one_broken_line_is_one_reject(spark, landing):
+    lines = [f'{{"product_id": {i}, "name": "p{i}"}}' for i in range(1000)]
+    lines[500] = '{"product_id": }'
+    (landing / "Product/a.json").write_text("[" + ",\n".join(lines) + "]")
+    df = files.read_json_array(spark, str(landing / "Product"), schemas.PRODUCT)
+    good, bad = casting.cast_or_reject(df, schemas.PRODUCT)
+    assert good.count() == 999 and [e.value for e in bad.first().errors] == ['{"product_id": },'] and bad.count() == 1
+
+
+def test_json_reject_of_a_whole_file_keeps_its_beginning_only(spark, landing):
+    (landing / "Product/a.json").write_text("[\n" + "no json at all\n" * 1000)
+    (landing / "Product/b.json").write_text('[\n{\n"product_id": 7,\n"name": "x"\n},\n{\n"product_id": 8\n}\n]')
+    df = files.read_json_array(spark, str(landing / "Product"), schemas.PRODUCT)
+    good, bad = casting.cast_or_reject(df, schemas.PRODUCT)
+    assert sorted(r.product_id for r in good.collect()) == [7, 8]
+    assert [len(e.value) for e in bad.first().errors] == [files.EXCERPT] and bad.count() == 1
+
+
+def test_preview_opens_some_files_only(spark, landing):
+    for i in range(5):
+        (landing / f"Product/{i}.json").write_text(f'[{{"product_id": {i}}}]' if i < 2 else "broken")
+    assert sorted(r.product_id for r in files.preview(spark, files.PRODUCTS, str(landing), files=2).collect()) == ["0", "1"]
+    assert files.preview(spark, files.CUSTOMERS, str(landing)).collect() == []
+
+
+def test_parquet_types_that_disagree_take_few_jobs(spark, landing):
+    for i in range(16):
+        kind = "string" if i == 11 else "int"
+        spark.range(i, i + 1).select(F.col("id").cast(kind).alias("quantity")).coalesce(1).write.parquet(str(landing / f"Order/{i:02d}"))
+    good, bad = files.read_parquet_cast(spark, str(landing / "Order"), schemas.struct(quantity=schemas.INT))
+    assert sorted(r.quantity for r in good.collect()) == list(range(16)) and bad.count() == 0
+
+
 def test_csv_other_suffix_is_skipped_but_compression_is_known(spark, landing):
     with gzip.open(landing / "Customer/a.csv.gz", "wt") as f:
         f.write(CSV)
