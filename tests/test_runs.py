@@ -61,8 +61,8 @@ def test_two_runs_equal_the_expected_state(spark, landing, layout, deliver):
         assert spark.sql(f"SELECT count(*) FROM bronze.{which.source.table}").first()[0] == raw.count()
         assert shape(spark.table(f"bronze.{which.source.table}").schema) == shape(which.source.raw_schema)
     orders, product, customer = (runs.table(spark, layout, w).read() for w in (runs.ORDERS, runs.PRODUCT, runs.CUSTOMER))
-    assert rows(spark.sql("SELECT * FROM vw_daily_sales_analysis")) == rows(marts.daily_sales(orders, product, customer))
-    assert spark.table("vw_customer_product_affinity").count() == marts.customer_affinity(customer, orders, product).count()
+    assert rows(spark.sql("SELECT * FROM gold.vw_daily_sales_analysis")) == rows(marts.daily_sales(orders, product, customer))
+    assert spark.table("gold.vw_customer_product_affinity").count() == marts.customer_affinity(customer, orders, product).count()
     assert {t.name for t in spark.catalog.listTables("silver")} >= {"customer", "product", "orders"}
     assert {d.name for d in spark.catalog.listDatabases()} >= {"bronze", "silver", "gold"}
     for name in ("bronze", "silver", "gold"):
