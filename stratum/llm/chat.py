@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratum.llm.tables import stored
+
 STRETCH = 1024
 TURN_START, TURN_END = "<|im_start|>", "<|im_end|>"  # fixed values of the format
 UNKNOWN_ROLE = "unknown"
@@ -30,9 +32,9 @@ def rolling(conversations: DataFrame, stretch: int = STRETCH) -> DataFrame:
     missing role is ``unknown``, a missing text empty. Rows without conv_id are one conversation.
     """
     last = (1 << 62) // stretch
-    turns = conversations.select(
+    turns = stored(conversations.select(
         "conv_id", "turn", F.coalesce("role", F.lit(UNKNOWN_ROLE)).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
-        F.coalesce(F.floor(F.col("turn") / stretch).cast("long"), F.lit(last)).alias("part")).distinct()
+        F.coalesce(F.floor(F.col("turn") / stretch).cast("long"), F.lit(last)).alias("part")).distinct())
     before = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("conv_id")
     parts = turns.groupBy("conv_id", "part").agg(F.count(F.lit(1)).alias("n")).select(
@@ -76,7 +78,7 @@ def format_conversations(conversations: DataFrame, stretch: int = STRETCH) -> Da
     to be read in order of ``part``. ``n_turns`` counts the turns of the row. Equal conversations are returned once,
     with the smallest id (without an id only if none has one). Extra columns are not looked at.
     """
-    turns = rolling(conversations, stretch)
+    turns = stored(rolling(conversations, stretch))
     kept = maximal(turns).withColumnRenamed("conv_id", "kept_id")
     kept = turns.join(kept, turns["conv_id"].eqNullSafe(kept["kept_id"]), "left_semi")
     lines = F.sort_array(F.collect_list(F.struct("place", render(F.col("role"), F.col("text")).alias("line"))))

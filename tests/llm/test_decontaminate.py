@@ -11,17 +11,21 @@ ITEMS = "item_id long, text string"
 
 
 def plain(rows, items, window):
+    """Every run of words of every text, looked up among all windows."""
+    windows = {}
+    for item, phrase in items:
+        own = letters_digits(phrase)
+        for i in range(max(1, len(own) - window + 1) if own else 0):
+            windows.setdefault(tuple(own[i : i + window]), set()).add(item)
     out = []
     for doc, text in rows:
-        words, hit, ids, unnamed = letters_digits(text), set(), set(), False
-        for item, phrase in items:
-            own = letters_digits(phrase)
-            for i in range(max(1, len(own) - window + 1) if own else 0):
-                part = own[i : i + window]
-                for j in range(len(words) - len(part) + 1):
-                    if words[j : j + len(part)] == part:
-                        hit |= set(range(j, j + len(part)))
-                        ids |= {item} - {None}
+        words, hit, ids = letters_digits(text), set(), set()
+        for size in {len(w) for w in windows}:
+            for j in range(len(words) - size + 1):
+                found = windows.get(tuple(words[j : j + size]))
+                if found is not None:
+                    hit |= set(range(j, j + size))
+                    ids |= found - {None}
         out.append((doc, len(words), len(hit), len(ids), tuple(sorted(ids)), bool(hit) and 20 * len(hit) >= len(words)))
     return out
 
