@@ -6,31 +6,36 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratum.llm import decontaminate, langid, packing, simhash, substring
 from stratum.llm.queries import learned_languages
-from stratum.llm.tables import given, stored
+from stratum.llm.tables import given, small_batches, stored
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without letters and those that no language model takes for its language."""
+    small_batches(spark)
     return langid.accepted(docs, learned_languages(docs))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies."""
+    small_batches(spark)
     return simhash.keep_one(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages that occur at several places; a document that is nothing else stays, with an empty text."""
+    small_batches(spark)
     return substring.shortened(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold passages of the benchmark."""
+    small_batches(spark)
     return decontaminate.clean(docs, given(spark, sf_dir, "benchmark"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs the token ids of what is left into sequences: one row per piece."""
+    small_batches(spark)
     return packing.packed(docs)
 
 

@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 from stratum.session import work_root
 
 
+#: Rows of an Arrow batch. With documents of some kilobytes that keeps batches, on both sides, at a few megabytes.
+ROWS_PER_BATCH = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lets tasks that hand texts to Python hold little of them at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
+
+
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

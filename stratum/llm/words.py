@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _rng = np.random.Generator(np.random.PCG64(20240501))
 _BYTE_VALUES = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
