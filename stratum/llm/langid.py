@@ -27,8 +27,8 @@ ORDER = 4
 DISCOUNT = 0.75
 #: About so many labelled documents of each language are learned from, a fifth of them to set score and rejection.
 SAMPLE_PER_LANGUAGE = 1000
-#: A language needs one in so many of the labelled documents.
-LANGUAGES = 10_000
+#: With more languages than these, training stops with an error; none is left out.
+MAX_LANGUAGES = 10_000
 #: A text is rejected if it takes more bits per character than any text of its language in the sample, and this share.
 MARGIN = 0.10
 SCALES = (1, 2, 4, 8, 16, 32, 64, 128)
@@ -241,19 +241,26 @@ def _word_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def sampled(labelled: DataFrame, per_language: int) -> DataFrame:
     """About so many documents of each language, chosen by a hash of id and text; all of them if there are fewer."""
     counts = labelled.groupBy("lang").count()
-    total = counts.agg(F.sum("count")).first()[0] or 0
-    counts = counts.where(F.col("count") * LANGUAGES >= total)  # so many rows at most
+    languages = counts.count()
+    if languages > MAX_LANGUAGES:
+        raise ValueError(f"{languages} languages; at most {MAX_LANGUAGES} can be learned")
     share = F.least(F.lit(1.0), per_language / F.col("count"))
     draw = F.pmod(F.xxhash64("doc_id", "text", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
     return labelled.join(F.broadcast(counts), "lang").where(draw < share).select("doc_id", "lang", "text")
 
 
 def train(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, order: int = ORDER) -> Model | None:
-    """A model from ``labelled(doc_id, lang, text)``; rows without text or language are not looked at. None if no row is left."""
+    """A model from ``labelled(doc_id, lang, text)``; rows without text or language are not looked at. None if no row is left.
+
+    Every language that has a letter is learned, however rare. One whose documents would all be set apart is learned from
+    these; it then has no limit, and none of its texts is rejected.
+    """
     rows = stored(sampled(labelled.select("doc_id", "lang", "text").dropna(subset=["lang", "text"]), per_language))
     apart = F.pmod(F.xxhash64("doc_id", "text", F.lit("apart")), F.lit(5)) == 0
-    counts = rows.where(~apart).select("lang", "text").mapInArrow(_word_counts, "lang string, word string, n long")
-    table = counts.groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow().to_pandas()
+    table = _counted(rows.where(~apart))
+    left = rows.join(F.broadcast(rows.sparkSession.createDataFrame([(x,) for x in set(table["lang"])], "lang string")), "lang", "left_anti")
+    whole = _counted(left)
+    table = pd.concat([t for t in (table, whole) if not t.empty] or [table])
     if table.empty:
         return None
     table = table.sort_values(["lang", "word"])  # the order of sums must not depend on the cluster
@@ -265,7 +272,12 @@ def train(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, order: i
         learned.append(_learn(pa.array(own["word"]), own["n"].to_numpy(), order, alphabet))
     levels = [Level(*_level([p[n][0] for p in learned]), *_level([p[n][1] for p in learned])) for n in range(order)]
     model = Model(languages, levels, float(-np.log2(alphabet)), limits=(float("inf"),) * len(languages))
-    return _calibrated(model, rows.where(apart))
+    return _calibrated(model, rows.where(apart & ~F.col("lang").isin(sorted(set(whole["lang"])))))
+
+
+def _counted(rows: DataFrame) -> pd.DataFrame:
+    counts = rows.select("lang", "text").mapInArrow(_word_counts, "lang string, word string, n long")
+    return counts.groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow().to_pandas()
 
 
 def _calibrated(model: Model, rows: DataFrame) -> Model:

@@ -105,3 +105,21 @@ def test_nothing_to_learn_from(spark):
     assert model is None
     assert [(r.lang_pred, r.score, r.rejected) for r in langid.predictions(rows, model).collect()] == [("und", 0.0, True)] * 2
     assert langid.predictions(empty, langid.train(training(spark))).collect() == []
+
+
+def test_a_rare_language_among_many_documents(spark):
+    text = F.concat(F.lit("the and of that "), F.col("id").cast("string"))
+    many = spark.range(30_000).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), text.alias("text"))
+    rare = spark.createDataFrame([(-i, f"x{i}", "ja ei ole kuin " * 3 + "y" * i) for i in range(1, 9)] + [(-20, None, "z")], "doc_id long, lang string, text string")
+    model = langid.train(many.unionByName(rare), per_language=100)
+    assert model.languages == ["en", *(f"x{i}" for i in range(1, 9))]  # also those whose one document is set apart
+    found = langid.predictions(rare.where("lang is not null"), model).collect()
+    assert all(r.lang_pred.startswith("x") and not r.rejected for r in found)
+
+
+def test_too_many_languages_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 2)
+    rows = spark.createDataFrame([(i, f"l{i}", "a b c") for i in range(3)], "doc_id long, lang string, text string")
+    with pytest.raises(ValueError):
+        langid.train(rows)
+    assert langid.train(rows.limit(2)).languages
