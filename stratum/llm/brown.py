@@ -4,11 +4,12 @@ Every word belongs to a class, and a text has the probability
 
     product of P(class of the word | class of the word before) * P(word | class of the word).
 
-Words that make up at least ``HEAD_SHARE`` of the training tokens (so a bounded number of them) are assigned to classes
-by exchange clustering, in rounds as in Uszkoreit and Brants (2008): the counts of word pairs lie in a stored table,
-each task works out for some of the words which class they would best move to, and only words and classes travel. All
-rarer words form one class, in which a word's share follows its count in the whole corpus; texts meet these counts in a
-join of narrow rows, one per text and rare word. Words are told apart by 64-bit hashes.
+Words that occur at least ``MIN_COUNT`` times in training, however large it is, are assigned to classes by exchange
+clustering, in rounds as in Uszkoreit and Brants (2008): the counts of word pairs lie in a stored table, each task works
+out for some of the words which class they would best move to, and only words and classes travel. The map of words to
+classes is held by the driver and by each worker, so their memory grows with the vocabulary. All rarer words form one
+class, in which a word's share follows its count in the whole corpus; texts meet these counts in a join of narrow rows,
+one per text and rare word. Words are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from stratum.llm.tables import row_key, stored
 from stratum.llm.words import SPACED, Words, signed, slices, text_bytes
 
-HEAD_SHARE = 2e-6  # at most 500,000 words are clustered
+#: Words with fewer occurrences are not clustered. A count and not a share, so that no word loses its class in a larger corpus.
 MIN_COUNT = 5
 CLASSES = 64
 ROUNDS = 6
@@ -129,11 +130,11 @@ def count_words(training: DataFrame) -> DataFrame:
     return stored(rows.groupBy("h").agg(F.sum("n").alias("n")))
 
 
-def vocabulary_of(counts: DataFrame, head_share: float, min_count: int) -> Vocabulary:
+def vocabulary_of(counts: DataFrame, min_count: int) -> Vocabulary:
     row = counts.agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("kinds"),
                      F.sum(F.when(F.col("h") == END_HASH, F.col("n"))).alias("ends")).first()
     tokens = row["tokens"] or 0
-    head = counts.where((F.col("n") >= max(min_count, head_share * tokens)) & (F.col("h") != END_HASH)).toArrow()
+    head = counts.where((F.col("n") >= min_count) & (F.col("h") != END_HASH)).toArrow()
     hashes, n = head["h"].to_numpy(), head["n"].to_numpy()
     order = np.argsort(hashes)
     return Vocabulary(tokens, row["kinds"], row["ends"] or 0, hashes[order], n[order])
@@ -157,18 +158,29 @@ def best_classes(own: np.ndarray, right: np.ndarray, left: np.ndarray, table: np
     ``right[w, c]`` and ``left[w, c]`` count the class after and before the word; ``table`` counts pairs of classes.
     """
     out = own.copy()
-    for k in range(0, len(own), 32):
-        c, r, l = own[k : k + 32], right[k : k + 32], left[k : k + 32]
+    for k in range(0, len(own), 256):
+        c, r, l = own[k : k + 256], right[k : k + 256], left[k : k + 256]
         word = np.arange(len(c))
-        rest = np.repeat(table[None].astype(float), len(c), axis=0)
-        rest[word, c, :] -= r
-        rest[word, :, c] -= l
-        rest = np.maximum(rest, 0)
-        added = (_gain(rest + r[:, None, :]) - _gain(rest)).sum(2) + (_gain(rest + l[:, :, None]) - _gain(rest)).sum(1)
-        for sums, more in ((rest.sum(2), r.sum(1)), (rest.sum(1), l.sum(1))):
-            added -= _gain(sums + more[:, None]) - _gain(sums)
+        added = np.zeros((len(c), len(table)))
+        # Only cells of classes next to the word change: columns for those after it, rows for those before it.
+        for cells, mine, other in ((table.T, r, l), (table, l, r)):
+            of, near = np.nonzero(mine)
+            n = mine[of, near]
+            rest = cells[near].astype(float)
+            rest[np.arange(len(of)), c[of]] -= n
+            at_own = np.flatnonzero(near == c[of])
+            rest[at_own] -= other[of[at_own]]
+            rest = np.maximum(rest, 0)
+            first = np.flatnonzero(np.diff(of, prepend=-1))
+            if len(first):
+                added[of[first]] += np.add.reduceat(_gain(rest + n[:, None]) - _gain(rest), first, axis=0)
+        short = np.maximum(r[word, c] + l[word, c] - table[c, c], 0)  # what a cell would be below 0
+        for sums, mine, other in ((table.sum(1), r, l), (table.sum(0), l, r)):
+            rest = sums - other
+            rest[word, c] += short - mine.sum(1)
+            added -= _gain(rest + mine.sum(1)[:, None]) - _gain(rest)
         added[:, :_FIRST] = -np.inf
-        out[k : k + 32] = added.argmax(1)
+        out[k : k + 256] = added.argmax(1)
     return out
 
 
@@ -283,11 +295,10 @@ def model_of(vocabulary: Vocabulary, classes: np.ndarray, table: np.ndarray) ->
     return Model(vocabulary, classes, transitions, emissions, base, counts > 0)
 
 
-def train(training: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS, head_share: float = HEAD_SHARE,
-          min_count: int = MIN_COUNT) -> tuple[Model, DataFrame]:
+def train(training: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS, min_count: int = MIN_COUNT) -> tuple[Model, DataFrame]:
     """A model of all texts of ``training(text)``, and the stored table ``h, n`` of all its words."""
     counts = count_words(training)
-    vocabulary = vocabulary_of(counts, head_share, min_count)
+    vocabulary = vocabulary_of(counts, min_count)
     shared = training.sparkSession.sparkContext.broadcast(vocabulary)
     pairs = training.select("text").mapInArrow(_pair_rows(shared), "a int, b int, n long")
     pairs = stored(pairs.groupBy("a", "b").agg(F.sum("n").alias("n")))

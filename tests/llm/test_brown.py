@@ -133,3 +133,12 @@ def test_repeated_rows_and_empty_tables(spark):
     model, counts = brown.train(nothing)
     assert brown.scores(nothing, model, counts).collect() == []
     assert {r.n_known for r in brown.scores(docs, model, counts).collect()} == {0}
+
+
+def test_a_word_keeps_its_class_in_a_large_corpus(spark):
+    """Of 4 million tokens, 6 are less than a share of 2e-6."""
+    many = spark.range(40).select(F.expr("repeat('the cat ', 50000)").alias("text"))
+    docs = many.unionByName(spark.createDataFrame([("the seldom " * 6 + "once " * 4,)], "text string"))
+    model, counts = brown.train(docs, classes=2, rounds=1)
+    assert sorted(model.vocabulary.counts.tolist()) == [6, 2_000_000, 2_000_006]
+    assert model.vocabulary.rare_tokens == 4 and (model.classes[2:] >= 2).all()
