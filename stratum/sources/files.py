@@ -86,11 +86,12 @@ def read_json_array(
 ) -> DataFrame:
     """Files that hold a JSON array: one row per element, fields bound by name, as text.
 
-    A file in which most lines hold whole objects (an array written line by line, or objects without an array
+    A file in which a line holds a whole object (an array written line by line, or objects without an array
     around them) is read by lines and so by many tasks; a line that is broken is one row with the line in
-    ``_corrupt_record``. Any other file is read as one text; if that is not valid JSON, it is one row whose
-    ``_corrupt_record`` has the beginning of the text. The brackets around the elements may be missing. Bytes
-    that are not UTF-8 become U+FFFD.
+    ``_corrupt_record``. If most lines are broken and the text as a whole is valid JSON, its elements are spread over
+    lines, and it is read as one text. So is a file without any whole object in a line; if that is not valid
+    JSON, it is one row whose ``_corrupt_record`` has the beginning of the text. The brackets around the elements may
+    be missing. Bytes that are not UTF-8 become U+FFFD.
     """
     def scan(files: list[str], whole: bool) -> DataFrame:
         return spark.read.options(**_folder_options(glob)).text(files, wholetext=whole)
@@ -102,8 +103,11 @@ def read_json_array(
     whole = says & inner.rlike(r"^\[\s*\{") & F.json_array_length(inner).isNotNull()
     by_file = scan(listed, whole=False).groupBy(file.alias("file")).agg(
         F.count_if(whole).alias("whole"), F.count_if(says & ~whole).alias("broken"))
-    other = by_file.where((F.col("whole") == 0) | (F.col("whole") < F.col("broken"))).select("file")
-    in_one_piece = [row.file for row in other.collect()]  # of the files of one batch
+    other = by_file.where((F.col("whole") == 0) | (F.col("whole") < F.col("broken"))).collect()
+    in_one_piece = [row.file for row in other if not row.whole]  # of the files of one batch
+    if doubtful := [literal(unquote(row.file)) for row in other if row.whole]:
+        valid = scan(doubtful, whole=True).where(F.json_array_length(inner).isNotNull())
+        in_one_piece += [row.file for row in valid.select(file.alias("file")).collect()]
     by_line = scan(listed, whole=False)
     if not in_one_piece:
         return _elements(by_line, schema, positions)

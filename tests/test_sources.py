@@ -69,6 +69,17 @@ def test_json_one_broken_line_is_one_reject(spark, landing):
     assert good.count() == 999 and [e.value for e in bad.first().errors] == ['{"product_id": },'] and bad.count() == 1
 
 
+def test_json_whole_lines_are_kept_where_most_are_broken(spark, landing):
+    lines = [f'{{"product_id": {i}}}' if i % 5 < 2 else f'{{"product_id": {i}, "na' for i in range(100)]
+    (landing / "Product/a b.json").write_text("[" + ",\n".join(lines) + "]")
+    spread = '[\n{\n"product_id": 200,\n"extra": [\n{"deep": 1},\n{"deep": 2}\n]\n},\n{\n"product_id": 201\n}\n]'
+    (landing / "Product/c.json").write_text(spread)  # a whole object in a line, but the text is JSON
+    df = files.read_json_array(spark, str(landing / "Product"), schemas.PRODUCT)
+    good, bad = casting.cast_or_reject(df, schemas.PRODUCT)
+    assert sorted(r.product_id for r in good.collect()) == [i for i in range(100) if i % 5 < 2] + [200, 201]
+    assert bad.count() == 60
+
+
 def test_json_reject_of_a_whole_file_keeps_its_beginning_only(spark, landing):
     (landing / "Product/a.json").write_text("[\n" + "no json at all\n" * 1000)
     (landing / "Product/b.json").write_text('[\n{\n"product_id": 7,\n"name": "x"\n},\n{\n"product_id": 8\n}\n]')
