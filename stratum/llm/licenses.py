@@ -13,6 +13,7 @@ bounded stretch of hashes around each hit.
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,6 +47,27 @@ TEMPLATES = {
     "furnished to do so, subject to the following conditions:",
     "BSD (conditions)": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
     "following conditions are met:",
+    "GPL-2.0 (notice)": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+    "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "LGPL-2.1 (notice)": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+    "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "LGPL-3.0 (notice)": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+    "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "AGPL-3.0 (notice)": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+    "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "ISC (permission)": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+    "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "Unlicense (statement)": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+    "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or "
+    "non-commercial, and by any means.",
+    "BSD (endorsement)": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission.",
+    "BSD (disclaimer)": 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT "
+    "SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+    "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+    "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING "
+    "IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
 }
 
 
@@ -68,8 +90,8 @@ def bands(shingles: int, min_containment: float = MIN_CONTAINMENT, miss: float =
     return 1 if least == 1 else math.ceil(math.log(miss) / math.log(1 - least))
 
 
-def _classes() -> list[int]:
-    return [1 << k for k in range(MAX_SHINGLES.bit_length())]
+def _classes(largest: int) -> list[int]:
+    return [1 << k for k in range((max(largest, MAX_SHINGLES) - 1).bit_length() + 1)]
 
 
 def _constant(band: int) -> int:
@@ -120,24 +142,41 @@ def default_templates(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(TEMPLATES.items()), "license string, text string")
 
 
-def _template_bands(templates: DataFrame, min_containment: float) -> tuple[DataFrame, int]:
-    """One row per template and band: its first shingle, and the windows to look at. Also the length of the longest window."""
+def _sized(templates: DataFrame) -> DataFrame:
+    """Each template's different shingles, and their number."""
     hashed = _worked_out(templates.select("license", "text"), hashed=hashed_words(F.col("text")))
-    sized = hashed.select("license", F.array_distinct(shingles(F.col("hashed"))).alias("template")).withColumn("size", F.size("template"))
+    return _worked_out(hashed, template=F.array_distinct(shingles(F.col("hashed")))).withColumn("size", F.size("template"))
+
+
+def _groups(templates: DataFrame) -> list[DataFrame]:
+    """Templates that have a shingle, some ``MAX_TEMPLATES`` at a time; those above ``MAX_SHINGLES`` class by class."""
+    top = F.greatest(F.lit(MAX_SHINGLES), F.pow(F.lit(2), F.ceil(F.log2("size"))).cast("int"))
+    usable = _sized(templates).where(F.col("size") > 0).select("license", "text", top.alias("top"))
+    out = []
+    for row in usable.groupBy("top").count().orderBy("top").collect():
+        parts = math.ceil(row["count"] / MAX_TEMPLATES)
+        part = F.pmod(F.xxhash64("license", "text"), F.lit(parts))
+        out += [usable.where((F.col("top") == row["top"]) & (part == k)) for k in range(parts)]
+    return out or [templates.limit(0)]
+
+
+def _template_bands(templates: DataFrame, min_containment: float, strict: bool) -> tuple[DataFrame, int]:
+    """One row per template and band: its first shingle, and the windows to look at. Also the length of the longest window."""
+    sized = _sized(templates).select("license", "template", "size")
     row = sized.agg(F.count(F.lit(1)), F.coalesce(F.min("size"), F.lit(1)), F.coalesce(F.max("size"), F.lit(1))).first()
-    if row[0] > MAX_TEMPLATES or row[1] < 1 or row[2] > MAX_SHINGLES:
-        raise ValueError(f"templates are at most {MAX_TEMPLATES}, of {SHINGLE} words to {MAX_SHINGLES} shingles")
-    table = [(top, *grid(top), band, _constant(band)) for top in _classes() for band in range(bands(top, min_containment))]
+    if strict and (row[0] > MAX_TEMPLATES or row[1] < 1 or row[2] > MAX_SHINGLES):
+        raise ValueError(f"templates are at most {MAX_TEMPLATES}, of {SHINGLE} words to {MAX_SHINGLES} shingles, unless strict=False")
+    table = [(top, *grid(top), band, _constant(band)) for top in _classes(row[2]) if row[1] <= top < 2 * row[2] for band in range(bands(top, min_containment))]
     classes = sized.sparkSession.createDataFrame(table, "top int, length int, stride int, band int, constant long")
     rows = sized.join(F.broadcast(classes), (F.col("size") <= F.col("top")) & (2 * F.col("size") > F.col("top")))
-    longest = grid(next(top for top in _classes() if top >= row[2]))[0]
+    longest = grid(next(top for top in _classes(row[2]) if top >= row[2]))[0]
     return rows.select("license", "template", "length", "stride", "constant", _first_of(F.col("template"), F.col("constant")).alias("first")), longest
 
 
 # --- operator -------------------------------------------------------------------------------------------------------
 
 
-def scan(docs: DataFrame, templates: DataFrame | None = None, min_containment: float = MIN_CONTAINMENT) -> DataFrame:
+def scan(docs: DataFrame, templates: DataFrame | None = None, min_containment: float = MIN_CONTAINMENT, strict: bool = True) -> DataFrame:
     """Templates in documents: ``doc_id, license, containment, first_word, n_words``, one row per document and template.
 
     ``containment`` is the share of the template's different shingles in the best window (the earliest one among
@@ -146,10 +185,22 @@ def scan(docs: DataFrame, templates: DataFrame | None = None, min_containment: f
 
     A missing text, or one of fewer than five words, holds nothing. Repeated rows, of the same id and text, give one set
     of matches. Rows without doc_id take part. Extra columns are not looked at. Templates are rows ``license, text`` of
-    at least five words; there may be at most ``MAX_TEMPLATES`` of them.
+    at least five words and at most ``MAX_SHINGLES`` shingles, and at most ``MAX_TEMPLATES``; others are an error. Without
+    ``strict`` there may be any number of any length, as of whole license texts; those of fewer than five words or
+    without a text match nothing.
     """
-    templates = default_templates(docs.sparkSession) if templates is None else templates
-    keys, reach = _template_bands(templates.select("license", "text"), min_containment)
+    templates = (default_templates(docs.sparkSession) if templates is None else templates).select("license", "text")
+    parts = [_matches(docs, part, min_containment, strict) for part in ([templates] if strict else _groups(templates))]
+    kept = functools.reduce(DataFrame.unionByName, parts)
+    best = F.max(F.struct("containment", (-F.col("window")).alias("back"), "length")).alias("best")
+    return kept.groupBy("doc_id", "key", "license").agg(best).select(
+        "doc_id", "license", "best.containment", (-F.col("best.back")).alias("first_word"),
+        (F.col("best.length") + SHINGLE - 1).alias("n_words"))
+
+
+def _matches(docs: DataFrame, templates: DataFrame, min_containment: float, strict: bool) -> DataFrame:
+    """All windows of documents that hold a template."""
+    keys, reach = _template_bands(templates, min_containment, strict)
     found = [r[0] for r in keys.select("first").distinct().collect()]
     texts = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
     split = _worked_out(texts, words=hashed_words(F.col("text"))).select("doc_id", "key", "words")
@@ -169,9 +220,5 @@ def scan(docs: DataFrame, templates: DataFrame | None = None, min_containment: f
     windows = windows.withColumn("held", F.slice("around", F.col("window") - F.col("start") + 1, F.col("length")))
     windows = windows.where(_first_of(F.col("held"), F.col("constant")) == F.col("first"))
     shared = F.size(F.array_intersect("held", "template")) / F.size("template")
-    kept = windows.select("doc_id", "key", "license", "window", "length", shared.alias("containment")).where(
+    return windows.select("doc_id", "key", "license", "window", "length", shared.alias("containment")).where(
         F.col("containment") >= min_containment)
-    best = F.max(F.struct("containment", (-F.col("window")).alias("back"), "length")).alias("best")
-    return kept.groupBy("doc_id", "key", "license").agg(best).select(
-        "doc_id", "license", "best.containment", (-F.col("best.back")).alias("first_word"),
-        (F.col("best.length") + SHINGLE - 1).alias("n_words"))

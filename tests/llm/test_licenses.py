@@ -97,3 +97,21 @@ def test_bands_keep_the_promise():
 def test_no_python_in_the_plan(spark):
     plan = licenses.scan(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "MapIn" not in plan and "Cartesian" not in plan
+
+
+def test_long_many_and_unusable_templates(spark, monkeypatch):
+    monkeypatch.setattr(licenses, "MAX_TEMPLATES", 2)
+    long = " ".join(f"w{i}" for i in range(1500))
+    wanted = {"long": long, "a": "one two three four five", "b": "six seven eight nine ten eleven", "c": "a b c d e f g"}
+    rows = [(1, "x y z " * 50 + long + " end"), (2, long[:len(long) // 2]), (3, " ".join(wanted.values()))]
+    templates = spark.createDataFrame([*wanted.items(), ("short", "four words are few"), ("none", None)], "license string, text string")
+    found = got(licenses.scan(documents(spark, rows), templates, strict=False))
+    assert found == plain(rows, wanted) and {(f[0], f[1]) for f in found} >= {(1, "long"), (3, "long"), (3, "c")}
+
+
+def test_notices_alike_have_templates_of_their_own(spark):
+    names = ["GPL-2.0 (notice)", "LGPL-2.1 (notice)", "LGPL-3.0 (notice)", "AGPL-3.0 (notice)", "GPL-3.0 (notice)", "ISC (permission)",
+             "Unlicense (statement)", "BSD (disclaimer)"]
+    found = licenses.scan(documents(spark, [(i, licenses.TEMPLATES[n]) for i, n in enumerate(names)])).collect()
+    for i, name in enumerate(names):
+        assert [r.license for r in found if r.doc_id == i and r.containment == 1] == [name]
