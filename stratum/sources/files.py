@@ -26,7 +26,7 @@ from stratum.storage import literal, qualified
 NULL_MARKERS = ("NULL", "null", "")
 FILE_INFO = "path string, modificationTime timestamp, length long, content binary"
 
-# Characters of a broken piece of text that a reject keeps.
+# Characters that a reject keeps of a file read as one text; a broken line is kept whole.
 EXCERPT = 1_000
 
 Paths = str | Sequence[str]
@@ -112,7 +112,8 @@ def read_json_array(
     if not in_one_piece:
         return _elements(by_line, schema, positions)
     rest = _elements(by_line.where(~file.isin(in_one_piece)), schema, positions)
-    return _elements(scan([literal(unquote(f)) for f in in_one_piece], whole=True), schema, positions).unionByName(rest)
+    texts = scan([literal(unquote(f)) for f in in_one_piece], whole=True)
+    return _elements(texts, schema, positions, EXCERPT).unionByName(rest)
 
 
 def _inside_array(text: Column) -> Column:
@@ -122,7 +123,7 @@ def _inside_array(text: Column) -> Column:
     return F.concat(F.lit("["), inner, F.lit("]"))
 
 
-def _elements(texts: DataFrame, schema: T.StructType, positions: bool) -> DataFrame:
+def _elements(texts: DataFrame, schema: T.StructType, positions: bool, excerpt: int | None = None) -> DataFrame:
     """One row per element of each text; a text that is not JSON is one row, marked corrupt."""
     kind = _text_columns(schema)
     *where, running = lineage.split_position()
@@ -135,8 +136,9 @@ def _elements(texts: DataFrame, schema: T.StructType, positions: bool) -> DataFr
     )
     # The parser leaves out what it cannot fit into rows; then the text counts as corrupt as a whole.
     complete = F.coalesce(F.size("parsed") == F.col("count"), F.lit(False))
+    text = F.left("value", F.lit(excerpt)) if excerpt else F.col("value")
     corrupt = F.struct(*[
-        (F.left("value", F.lit(EXCERPT)) if f.name == casting.CORRUPT else F.lit(None).cast("string")).alias(f.name)
+        (text if f.name == casting.CORRUPT else F.lit(None).cast("string")).alias(f.name)
         for f in kind
     ])
     elements = F.when(complete, F.col("parsed")).otherwise(F.array(corrupt))

@@ -80,6 +80,14 @@ def test_json_whole_lines_are_kept_where_most_are_broken(spark, landing):
     assert bad.count() == 60
 
 
+def test_json_long_broken_line_is_kept_whole(spark, landing):
+    broken = '{"product_id": 2, "name": "' + "x" * 5000
+    (landing / "Product/a.json").write_text('{"product_id": 1}\n' + broken)
+    df = files.read_json_array(spark, str(landing / "Product"), schemas.PRODUCT)
+    _, bad = casting.cast_or_reject(df, schemas.PRODUCT)
+    assert [e.value for e in bad.first().errors] == [broken]
+
+
 def test_json_reject_of_a_whole_file_keeps_its_beginning_only(spark, landing):
     (landing / "Product/a.json").write_text("[\n" + "no json at all\n" * 1000)
     (landing / "Product/b.json").write_text('[\n{\n"product_id": 7,\n"name": "x"\n},\n{\n"product_id": 8\n}\n]')
