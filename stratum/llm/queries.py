@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import brown, chat, decontaminate, forest, langid, licenses, packing, simhash, substring, warc
+from stratum.llm import brown, chat, decontaminate, divergence, forest, langid, lexical, licenses, packing, periodic, simhash, substring, warc
 from stratum.llm.tables import crc_of_id, given
 
 
@@ -75,9 +75,50 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(given(spark, sf_dir, "documents"))
 
 
+def op11_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(given(spark, sf_dir, "documents"), given(spark, sf_dir, "benchmark"))
+
+
+def op12_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = divergence.divergence(given(spark, sf_dir, "documents"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                        "n_repeat_words", "base_failed", "kept")
+
+
+def made_periodic(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``; in one document of ten (by crc32 of the id) the words from one on repeat with a period."""
+    crc = crc_of_id()
+    g = F.floor(crc / 10)
+
+    def rebuilt(w: Column) -> Column:
+        n = F.size(w)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        at = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")
+        return F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(w, at(i))), " ")
+
+    own = F.transform(F.array(F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), 1)), rebuilt)
+    chosen = (crc % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    return docs.select("doc_id", F.when(chosen, F.element_at(own, 1)).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.collapse_runs(made_periodic(given(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "")
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    found = found.withColumn("first", longest)
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("first.col2")).alias("start"), F.col("first.length").alias("length"), (-F.col("first.col3")).alias("period"),
+        F.expr("1000 * first.length div -first.col3").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_brown_lm_scoring, op2_license_scan, op3_best_fit_packing, op4_benchmark_decontamination, op5_substring_dedup,
     op6_warc_index, op7_random_projection_forest, op8_language_id, op9_chat_formatting, op10_simhash_near_dedup,
+    op11_ranked_lexical_search, op12_distribution_divergence, op13_periodic_runs,
 )}
 
 # op2: all windows of the grid against all templates, by shared shingles. MinHash misses a match of the least allowed
@@ -164,6 +205,87 @@ SELECT conv_id, CAST(0 AS BIGINT) AS part, CAST(len(log) AS BIGINT) AS n_turns,
 FROM copies ANTI JOIN parts USING (log)
 """
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# op11: every term of every item in every document.
+_OP11 = rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, t, CAST(len(t) AS BIGINT) AS n
+  FROM (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS t FROM documents)),
+terms AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM docs) GROUP BY ALL),
+total AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM docs WHERE n > 0),
+weights AS (SELECT term, CAST(floor(1000 * ln((2.0 * n_docs + 2) / (2.0 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM terms GROUP BY term), total),
+wanted AS (SELECT q, item_id, unnest(t) AS term FROM (SELECT row_number() OVER () AS q, item_id,
+  regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS t FROM benchmark)),
+scores AS (SELECT q, item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM wanted JOIN terms USING (term) JOIN weights USING (term) JOIN docs USING (r), total GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0) WHERE rank <= 10
+"""
+
+
+def _jsd(counts: str, shares: str) -> str:
+    """Jensen-Shannon distance of a list of counts and one of shares."""
+    p = f"(x[1] / list_sum({counts}))"
+    part = f"CASE WHEN {{v}} > 0 THEN {{v}} * log2(2 * {{v}} / ({p} + x[2])) ELSE 0 END"
+    return f"sqrt(greatest(0, list_sum(list_transform(list_zip({counts}, {shares}), lambda x: ({part.format(v=p)} + {part.format(v='x[2]')}) / 2))))"
+
+
+_CLASS_SIZES = ", ".join(f"len(text) - len(regexp_replace(text, '[{body}]+', '', 'g')) AS {name}" for name, body in (
+    ("lower", "a-z"), *((n, b.replace("'", "''")) for n, b in divergence.CLASSES.items())))
+_CLASS_BINS = f"[{', '.join(['lower', *divergence.CLASSES])}, len(text) - lower - {' - '.join(divergence.CLASSES)}]"
+
+# op12: the references from all documents, then the distances of each. All given documents have a language of enough words.
+_OP12 = rf"""
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS text FROM documents),
+tokens AS (SELECT r, doc_id, lang, text, CAST(len(w) AS BIGINT) AS n_words, w, {_CLASS_BINS} AS bins, spaces, symbols
+  FROM (SELECT *, regexp_extract_all(text, '{divergence.WORD}') AS w, {_CLASS_SIZES} FROM texts)),
+windows AS (SELECT r, i, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT r, w, unnest(range(1, greatest(1, len(w) - 3))) AS i FROM tokens)),
+repeated AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS p
+  FROM windows JOIN (SELECT r, s FROM windows GROUP BY ALL HAVING count(*) > 1) USING (r, s)) GROUP BY r),
+lines AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM texts)
+  WHERE regexp_matches(line, '{divergence.WORD}') GROUP BY r),
+each AS (SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(w) AS word FROM tokens WHERE lang IS NOT NULL) GROUP BY ALL),
+top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS place, sum(n) OVER (PARTITION BY lang) AS total FROM each)
+  WHERE place <= {divergence.COMMON}),
+common AS (SELECT lang, list(word ORDER BY place) AS words, list(n / total ORDER BY place) || [1 - sum(n) / any_value(total)] AS shares FROM top GROUP BY lang),
+classes AS (SELECT lang, list(n / total ORDER BY c) AS classes FROM (SELECT lang, c, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY lang) AS total
+  FROM (SELECT lang, unnest(bins) AS n, unnest(range(len(bins))) AS c FROM tokens) GROUP BY lang, c) GROUP BY lang),
+counts AS (SELECT r, lang, list_transform(words, lambda x: len(list_filter(w, lambda y: y = x))) AS n FROM tokens JOIN common USING (lang)),
+far AS (SELECT r, (len(text) >= {divergence.MIN_CHARS} AND {_jsd('bins', 'classes')} > {divergence.MAX_CLASS_DISTANCE}) OR (n_words >= {divergence.MIN_COMMON}
+    AND {_jsd('(n || [n_words - list_sum(n)])', 'shares')} > {divergence.MAX_WORD_DISTANCE}) AS far
+  FROM tokens JOIN counts USING (r) JOIN common ON common.lang = tokens.lang JOIN classes ON classes.lang = tokens.lang WHERE n_words > 0),
+judged AS (SELECT tokens.*, coalesce(repeated.n, 0) AS n_repeat_words, coalesce(lines.n, 0) AS n_dup_lines, coalesce(far, false) AS far
+  FROM tokens LEFT JOIN repeated USING (r) LEFT JOIN lines USING (r) LEFT JOIN far USING (r))
+SELECT doc_id, n_words, CAST(len(text) - spaces AS BIGINT) AS word_chars, CAST(symbols AS BIGINT) AS n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND NOT far AS kept FROM judged
+"""
+
+# op13: a run's first period equals its second, so some six words in a row are found again one period on. crc32 bit by bit.
+_OP13 = r"""
+WITH ids AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+  list_prepend(4294967295, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), ''), ''),
+    lambda c: CASE WHEN c = '' THEN [] ELSE [CAST(ord(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1] END))) AS steps FROM documents),
+hashed AS (SELECT r, doc_id, w, CAST(len(w) AS BIGINT) AS n, xor(4294967295, list_reduce(steps, lambda c, x: CASE WHEN x >= 0 THEN xor(c, x)
+    WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS h FROM ids),
+places AS (SELECT r, doc_id, w, n, h % 10 = 0 AND n > 0 AS made, CASE WHEN n > 0 THEN (h // 10) % n END AS a, 3 + (h // 10) % 8 AS part FROM hashed),
+tokens AS (SELECT r, doc_id, n, CASE WHEN made THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // part) END]) ELSE w END AS w FROM places),
+sixes AS (SELECT r, i, array_to_string(w[i + 1:i + 6], ' ') AS s FROM (SELECT r, w, unnest(range(0, greatest(0, n - 5))) AS i FROM tokens WHERE n >= 12)),
+pairs AS (SELECT x.r, x.i, y.i - x.i AS lag FROM sixes x JOIN sixes y ON x.r = y.r AND x.s = y.s AND x.i < y.i),
+islands AS (SELECT r, lag, min(i) AS start, count(*) + 5 + lag AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY r, lag ORDER BY i) AS island FROM pairs) GROUP BY r, lag, island),
+runs AS (SELECT r, start, length, min(lag) AS period FROM islands WHERE length >= greatest(12, 2 * lag) GROUP BY ALL),
+dropped AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS text FROM (SELECT r, unnest(w) AS word, unnest(range(n)) AS i FROM tokens) ANTI JOIN dropped USING (r, i) GROUP BY r),
+listed AS (SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS list,
+  arg_min({'start': start, 'length': length, 'period': period}, [-length, start, period]) AS longest FROM runs GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, longest.start AS start, longest.length AS length, longest.period AS period,
+  (1000 * longest.length) // longest.period AS exponent_milli,
+  sha256(coalesce(list, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM tokens LEFT JOIN listed USING (r) LEFT JOIN kept USING (r)
+"""
+
 
 def _sql_text(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
@@ -172,4 +294,5 @@ def _sql_text(text: str) -> str:
 ORACLE_SQL: dict[str, str] = {
     "op2_license_scan": _OP2.format(templates=", ".join(f"({_sql_text(k)}, {_sql_text(v)})" for k, v in licenses.TEMPLATES.items())),
     "op6_warc_index": _OP6, "op9_chat_formatting": _OP9,
-    "op4_benchmark_decontamination": _OP4, "op5_substring_dedup": _OP5}
+    "op4_benchmark_decontamination": _OP4, "op5_substring_dedup": _OP5, "op11_ranked_lexical_search": _OP11,
+    "op12_distribution_divergence": _OP12, "op13_periodic_runs": _OP13}
