@@ -49,13 +49,18 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(f"({WORD})"), 1)
 
 
+def _hashes(text: Column) -> Column:
+    return F.transform(words(text), lambda w: F.xxhash64(w))
+
+
 def _windows(hashes: Column) -> Column:
-    """The hash of every ``WINDOW`` hashes in a row; none for fewer."""
+    """The hash of every ``WINDOW`` (five) hashes in a row, made of those of two and four; none for fewer."""
     n = F.size(hashes) - WINDOW + 1
-    out = F.slice(hashes, 1, n)
-    for k in range(1, WINDOW):
-        out = F.zip_with(out, F.slice(hashes, k + 1, n), lambda a, b: F.xxhash64(a, b))
-    return F.when(n > 0, out).otherwise(F.array().cast("array<long>"))
+    one = lambda a, b: F.xxhash64(a, b)
+    two = F.zip_with(F.slice(hashes, 1, n + 2), F.slice(hashes, 2, n + 2), one)
+    five = F.transform(F.array(two), lambda t: F.zip_with(
+        F.zip_with(F.slice(t, 1, n), F.slice(t, 3, n), one), F.slice(hashes, 5, n), one))
+    return F.when(n > 0, F.element_at(five, 1)).otherwise(F.array().cast("array<long>"))
 
 
 def _twice(windows: Column) -> Column:
@@ -85,50 +90,55 @@ def _duplicate_lines(text: Column) -> Column:
     return F.element_at(F.transform(F.array(lines), lambda x: F.size(x) - F.size(F.array_distinct(x))), 1)
 
 
+def _with_classes(rows: DataFrame) -> DataFrame:
+    """The rows with the number of characters of each class of ``text``: ``lower``, those of ``CLASSES`` and ``others``."""
+    rows = _worked_out(rows, upright=F.regexp_replace("text", "[a-z]+", ""))
+    rows = _worked_out(rows, bare=F.regexp_replace("upright", f"[{CLASSES['spaces']}]+", ""))
+    size = F.length("bare")
+    counts = {name: size - F.length(F.regexp_replace("bare", f"[{body}]+", "")) for name, body in CLASSES.items() if name != "spaces"}
+    rows = _worked_out(rows, lower=F.length("text") - F.length("upright"), spaces=F.length("upright") - size, left=size, **counts)
+    others = F.col("left") - sum((F.col(name) for name in counts), F.lit(0))
+    return rows.withColumn("others", others).drop("upright", "bare", "left")
+
+
+BINS = ["lower", *CLASSES, "others"]
+
+
 def counted(rows: DataFrame) -> DataFrame:
-    """``words, classes`` and the counts of the base rules, beside all columns but ``text``."""
+    """``hashes`` of the words, ``classes`` and the counts of the base rules, beside all columns but ``text``."""
     kept = [c for c in rows.columns if c != "text"]
-    rows = rows.withColumn("text", F.coalesce("text", F.lit("")))
-    rows = _worked_out(rows, words=words(F.col("text")), rest=F.regexp_replace("text", "[a-z]+", ""))
-    size = F.length("rest")
-    classes = {name: size - F.length(F.regexp_replace("rest", f"[{body}]+", "")) for name, body in CLASSES.items()}
-    rows = _worked_out(rows, lower=F.length("text") - size, others=size, **classes,
-                       windows=_windows(F.transform("words", lambda w: F.xxhash64(w))))
-    rows = _worked_out(rows, twice=_twice(F.col("windows")), n_dup_lines=_duplicate_lines(F.col("text")))
-    bins = [F.col("lower"), *map(F.col, CLASSES), F.col("others") - sum(map(F.col, CLASSES), F.lit(0))]
-    long = {"n_words": F.size("words"), "word_chars": F.length("text") - F.col("spaces"), "n_symbols": F.col("symbols"),
-            "n_dup_lines": F.col("n_dup_lines"), "n_repeat_words": _covered(F.col("twice"))}
-    return rows.select(*kept, "words", F.array(*bins).alias("classes"), *[c.cast("long").alias(n) for n, c in long.items()])
+    rows = _with_classes(rows.withColumn("text", F.coalesce("text", F.lit(""))))
+    rows = _worked_out(rows, n_dup_lines=_duplicate_lines(F.col("text")), hashes=_hashes(F.col("text")),
+                       word_chars=F.length("text") - F.col("spaces")).drop("text")
+    rows = _worked_out(rows, windows=_windows(F.col("hashes")))
+    long = {"n_words": F.size("hashes"), "word_chars": F.col("word_chars"), "n_symbols": F.col("symbols"),
+            "n_dup_lines": F.col("n_dup_lines"), "n_repeat_words": _covered(_twice(F.col("windows")))}
+    return rows.select(*kept, "hashes", F.array(*BINS).cast("array<long>").alias("classes"), *[c.cast("long").alias(n) for n, c in long.items()])
 
 
 # --- references and distances ---------------------------------------------------------------------------------------
 
 
 def references(docs: DataFrame, common: int = COMMON) -> DataFrame:
-    """``lang, reference`` of every language with enough words: its common words and the shares of all bins."""
-    text = F.coalesce("text", F.lit(""))
-    own = docs.where(F.col("lang").isNotNull()).select(F.col("lang"), text.alias("text"))
-    each = own.select("lang", F.explode(words(F.col("text"))).alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
-    each = stored(each)
+    """``lang, reference`` of every language with enough words: hashes of its common words, and the shares of all bins.
+
+    Common words are the ``common`` most frequent ones, without those as frequent as the first that is none of them.
+    """
+    own = docs.where(F.col("lang").isNotNull()).select("lang", F.coalesce("text", F.lit("")).alias("text"))
+    each = stored(own.select("lang", F.explode(_hashes(F.col("text"))).alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")))
     total = each.groupBy("lang").agg(F.sum("n").alias("all_words")).where(F.col("all_words") >= MIN_REFERENCE)
     order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "word")
-    top = each.withColumn("place", F.row_number().over(order)).where(F.col("place") <= common)
+    top = each.withColumn("place", F.row_number().over(order)).where(F.col("place") <= common + 1)
     top = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "word", "n"))).alias("top"))
-    rest = F.regexp_replace("text", "[a-z]+", "")
-    sizes = _worked_out(own, rest=rest)
-    size = F.length("rest")
-    counts = {name: size - F.length(F.regexp_replace("rest", f"[{body}]+", "")) for name, body in CLASSES.items()}
-    sums = sizes.groupBy("lang").agg(
-        F.sum(F.length("text") - size).alias("lower"), F.sum(size).alias("others"),
-        *[F.sum(c).alias(name) for name, c in counts.items()])
-    bins = F.array("lower", *CLASSES, F.col("others") - sum(map(F.col, CLASSES), F.lit(0)))
-    chars = F.col("lower") + F.col("others")
-    found = total.join(top, "lang").join(sums, "lang")
+    beyond = F.when(F.size("top") > common, F.element_at("top", -1)["n"]).otherwise(0)
+    top = _worked_out(top, beyond=beyond).select("lang", F.filter("top", lambda t: t["n"] > F.col("beyond")).alias("top"))
+    sums = _with_classes(own).groupBy("lang").agg(*[F.sum(name).alias(name) for name in BINS])
+    chars = sum((F.col(name) for name in BINS), F.lit(0))
     shares = F.transform("top", lambda t: t["n"] / F.col("all_words"))
     other = (F.col("all_words") - F.aggregate("top", F.lit(0).cast("long"), lambda a, t: a + t["n"])) / F.col("all_words")
-    found = stored(found.select("lang", F.struct(
+    found = stored(total.join(top, "lang").join(sums, "lang").select("lang", F.struct(
         F.col("top.word").alias("words"), F.concat(shares, F.array(other)).alias("shares"),
-        F.transform(bins, lambda b: b / chars).alias("classes")).alias("reference")))
+        F.array(*[F.col(name) / chars for name in BINS]).alias("classes")).alias("reference")))
     if found.count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     return found
@@ -149,12 +159,10 @@ def distance(counts: Column, shares: Column) -> Column:
 
 def _word_counts(own: Column, common: Column) -> Column:
     """How often each common word occurs, and all others together."""
-    places = F.transform(own, lambda w: F.array_position(common, w))
-    hits = F.array(F.array_remove(places, 0))
-    counts = F.transform(hits, lambda h: F.transform(
-        F.sequence(F.lit(1), F.size(common)), lambda b: (F.size(h) - F.size(F.array_remove(h, b.cast("long")))).cast("long")))
-    counts = F.element_at(counts, 1)
-    return F.concat(counts, F.array(F.size(own).cast("long") - F.aggregate(counts, F.lit(0).cast("long"), lambda a, n: a + n)))
+    hits = F.filter(own, lambda h: F.array_contains(common, h))
+    each = lambda h: F.transform(common, lambda w: (F.size(h) - F.size(F.array_remove(h, w))).cast("long"))
+    counts = F.transform(F.array(hits), lambda h: F.concat(each(h), F.array((F.size(own) - F.size(h)).cast("long"))))
+    return F.element_at(counts, 1)
 
 
 def divergence(docs: DataFrame, reference: DataFrame | None = None, common: int = COMMON) -> DataFrame:
@@ -168,10 +176,10 @@ def divergence(docs: DataFrame, reference: DataFrame | None = None, common: int
     A document of no language, or of one with under 1,000 words in all, is measured against every reference, and the
     nearest counts, for each distance; without any reference the distances are null. A missing or empty text has no words
     and fails. Repeated rows are judged each and count each for their language. An empty table gives an empty one. Other
-    columns are not looked at. Windows are compared by 64-bit hashes. Over 1,000 languages with enough words are an error.
+    columns are not looked at. Words and windows are compared by 64-bit hashes. Over 1,000 languages with enough words are an error.
     """
     known = references(docs, common) if reference is None else reference
-    every = known.agg(F.collect_list("reference").alias("every"), (0 * F.count(F.lit(1))).alias("wanted"))
+    every = known.agg(F.collect_list("reference").alias("every"), F.count_if(F.col("lang").isNull()).cast("int").alias("wanted"))
     known = known.select(F.col("lang").alias("known"), F.array("reference").alias("own"))
     names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
     rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
@@ -181,10 +189,9 @@ def divergence(docs: DataFrame, reference: DataFrame | None = None, common: int
     rows = rows.join(F.broadcast(every), F.when(F.col("own").isNull(), 0) == F.col("wanted"), "left")
     rows = _worked_out(rows, against=F.coalesce("own", "every"))
     chars = F.aggregate("classes", F.lit(0).cast("long"), lambda a, n: a + n)
-    long = lambda c: F.transform(c, lambda n: n.cast("long"))
-    by_class = F.array_min(F.transform("against", lambda r: distance(long(F.col("classes")), r["classes"])))
+    by_class = F.array_min(F.transform("against", lambda r: distance(F.col("classes"), r["classes"])))
     by_word = F.array_min(F.transform("against", lambda r: F.element_at(F.transform(
-        F.array(_word_counts(F.col("words"), r["words"])), lambda c: distance(c, r["shares"])), 1)))
+        F.array(_word_counts(F.col("hashes"), r["words"])), lambda c: distance(c, r["shares"])), 1)))
     rows = _worked_out(rows, class_distance=F.when(chars >= MIN_CHARS, by_class), word_distance=F.when(F.col("n_words") >= MIN_COMMON, by_word))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     far = (F.coalesce("class_distance", F.lit(0.0)) > MAX_CLASS_DISTANCE) | (F.coalesce("word_distance", F.lit(0.0)) > MAX_WORD_DISTANCE)

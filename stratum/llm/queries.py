@@ -246,9 +246,9 @@ repeated AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i
 lines AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM texts)
   WHERE regexp_matches(line, '{divergence.WORD}') GROUP BY r),
 each AS (SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(w) AS word FROM tokens WHERE lang IS NOT NULL) GROUP BY ALL),
-top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS place, sum(n) OVER (PARTITION BY lang) AS total FROM each)
+top AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY lang ORDER BY n DESC RANGE UNBOUNDED PRECEDING) AS place, sum(n) OVER (PARTITION BY lang) AS total FROM each)
   WHERE place <= {divergence.COMMON}),
-common AS (SELECT lang, list(word ORDER BY place) AS words, list(n / total ORDER BY place) || [1 - sum(n) / any_value(total)] AS shares FROM top GROUP BY lang),
+common AS (SELECT lang, list(word ORDER BY n, word) AS words, list(n / total ORDER BY n, word) || [1 - sum(n) / any_value(total)] AS shares FROM top GROUP BY lang),
 classes AS (SELECT lang, list(n / total ORDER BY c) AS classes FROM (SELECT lang, c, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY lang) AS total
   FROM (SELECT lang, unnest(bins) AS n, unnest(range(len(bins))) AS c FROM tokens) GROUP BY lang, c) GROUP BY lang),
 counts AS (SELECT r, lang, list_transform(words, lambda x: len(list_filter(w, lambda y: y = x))) AS n FROM tokens JOIN common USING (lang)),
