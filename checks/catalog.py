@@ -78,6 +78,17 @@ def json_bad_elements(spark: SparkSession, sf: str) -> DataFrame:
     return space.raw(runs.PRODUCT.source).select(*runs.PRODUCT.source.schema.fieldNames())
 
 
+def json_mixed_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """Elements in one line beside elements over several, some of either kind cut off."""
+    space = scenarios.json_with_broken_elements(spark, raw(spark, sf, "product"), scenarios.spread_products())
+    return space.raw(runs.PRODUCT.source).select(*runs.PRODUCT.source.schema.fieldNames())
+
+
+def json_mixed_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    space = scenarios.json_with_broken_elements(spark, raw(spark, sf, "product"), scenarios.spread_products())
+    return scenarios.rejects(space, runs.PRODUCT.source).agg(F.count(F.lit(1)).alias("rejected"))
+
+
 def json_rejects(spark: SparkSession, sf: str) -> DataFrame:
     space = scenarios.json_with_broken_elements(spark, raw(spark, sf, "product"))
     return scenarios.rejects(space, runs.PRODUCT.source).agg(F.count(F.lit(1)).alias("rejected"))
@@ -227,6 +238,10 @@ QUERIES: dict[str, Query] = {
     "feed_incremental_upsert": feed_incremental_upsert,
     "ingest_json_bad_elements": json_bad_elements,
     "ingest_json_rejects": json_rejects,
+    "ingest_json_mixed_layout": json_mixed_layout,
+    "ingest_json_mixed_rejects": json_mixed_rejects,
+    "ingest_json_row_numbers": lambda s, sf: scenarios.row_numbers(s, raw(s, sf, "product"), runs.PRODUCT),
+    "ingest_parquet_row_numbers": lambda s, sf: scenarios.row_numbers(s, raw(s, sf, "orders"), runs.ORDERS),
     "ingest_csv_ragged": lambda s, sf: scenarios.ragged_csv(s, raw(s, sf, "customer")),
     "cast_int_and_date": cast_int_and_date,
     "feed_customer": fed(runs.CUSTOMER, "raw_customer"),

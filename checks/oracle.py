@@ -292,6 +292,10 @@ FROM raw_customer""",
     "pending_rows": _PENDING,
     "ingest_json_bad_elements": "SELECT * FROM raw_product WHERE product_id % 10 <> 0",
     "ingest_json_rejects": "SELECT count(*) AS rejected FROM raw_product WHERE product_id % 10 = 0",
+    "ingest_json_mixed_layout": "SELECT * FROM raw_product WHERE product_id % 10 <> 0",
+    "ingest_json_mixed_rejects": "SELECT count(*) AS rejected FROM raw_product WHERE product_id % 10 = 0",
+    "ingest_json_row_numbers": "SELECT count(*) AS row_count, true AS numbered_from_one FROM raw_product",
+    "ingest_parquet_row_numbers": "SELECT count(*) AS row_count, true AS numbered_from_one FROM raw_order",
     "ingest_csv_ragged": """SELECT customer_id, name, email, country, nullif(customer_type, '') AS customer_type,
   if(customer_id % 4 = 1, NULL, registration_date) AS registration_date, if(customer_id % 4 = 1, NULL, age) AS age,
   if(customer_id % 4 = 1, NULL, nullif(gender, '')) AS gender, if(customer_id % 4 = 1, NULL, total_purchases) AS total_purchases

@@ -35,9 +35,13 @@ class Landing:
         extension = source.glob.removeprefix("*")
         self._move(draft, folder, extension)
 
-    def _json_arrays(self, rows: DataFrame, path: str, broken: Column | None = None) -> None:
-        """One array of a bounded number of objects per file; those that are ``broken`` lack their end."""
-        text = F.to_json(F.struct(*rows.columns))
+    def _json_arrays(self, rows: DataFrame, path: str, broken: Column | None = None, spread: Column | None = None) -> None:
+        """One array of a bounded number of objects per file; those that are ``broken`` lack their end, ``spread`` ones
+        go over several lines."""
+        row = F.struct(*rows.columns)
+        text = F.to_json(row)
+        if spread is not None:
+            text = F.when(spread, F.to_json(row, {"pretty": "true"})).otherwise(text)
         if broken is not None:
             text = F.when(broken, F.substring(text, 1, 15)).otherwise(text)
         self._in_files(rows, text, path, "[", ",\n", "]")
@@ -55,11 +59,11 @@ class Landing:
         for number, row in enumerate(sorted(r.path for r in found)):
             storage.rename(self.spark, row, f"{folder}/drop{self.drops:03d}-{number:05d}{extension}")
 
-    def write_broken_json(self, rows: DataFrame, broken: Column) -> None:
-        """Products, one object per line, some lines cut off."""
+    def write_json(self, rows: DataFrame, broken: Column | None = None, spread: Column | None = None) -> None:
+        """Products, some of them cut off, some over several lines, the others one per line."""
         self.drops += 1
         draft = f"{self.root}/drafts/{self.drops:03d}"
-        self._json_arrays(rows, draft, broken)
+        self._json_arrays(rows, draft, broken, spread)
         self._move(draft, files.PRODUCTS.location(self.root), ".json")
 
     def write_ragged_csv(self, rows: DataFrame) -> None:
@@ -100,10 +104,18 @@ def round_trip(spark: SparkSession, rows: DataFrame, which: runs.Conformed) -> D
     return space.raw(source).select(*source.schema.fieldNames())
 
 
+def spread_products() -> Column:
+    """Which products go over several lines."""
+    return F.coalesce(F.col("product_id") % 3 == 1, F.lit(True))
+
+
 def row_numbers(spark: SparkSession, rows: DataFrame, which: runs.Conformed) -> DataFrame:
     """Per file of the raw table, whether its row numbers are exactly 1..n; then rows in all."""
     space, source = Workspace(spark), which.source
-    space.landing.write(source, rows)
+    if source is files.PRODUCTS:
+        space.landing.write_json(rows, spread=spread_products())
+    else:
+        space.landing.write(source, rows)
     space.load(source)
     number = F.col("source_file_row_number")
     per_file = space.raw(source).groupBy("source_file_name").agg(
@@ -150,9 +162,9 @@ def backfilled_twice(spark: SparkSession, raw: DataFrame, which: runs.Conformed)
     return runs.table(spark, space.layout, which).read().drop("last_updated_timestamp")
 
 
-def json_with_broken_elements(spark: SparkSession, rows: DataFrame) -> Workspace:
+def json_with_broken_elements(spark: SparkSession, rows: DataFrame, spread: Column | None = None) -> Workspace:
     space = Workspace(spark)
-    space.landing.write_broken_json(rows, F.col("product_id") % 10 == 0)
+    space.landing.write_json(rows, F.col("product_id") % 10 == 0, spread)
     space.load(files.PRODUCTS)
     return space
 

@@ -14,20 +14,20 @@ from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratum import schemas
 from stratum.functions import casting, lineage
+from stratum.sources import elements
 from stratum.storage import literal, qualified
 
 # Texts that stand for NULL in the customer files.
 NULL_MARKERS = ("NULL", "null", "")
 FILE_INFO = "path string, modificationTime timestamp, length long, content binary"
 
-# Characters that a reject keeps of a file read as one text; a broken line is kept whole.
-EXCERPT = 1_000
+EXCERPT = elements.EXCERPT
 
 Paths = str | Sequence[str]
 
@@ -86,64 +86,54 @@ def read_json_array(
 ) -> DataFrame:
     """Files that hold a JSON array: one row per element, fields bound by name, as text.
 
-    A file in which a line holds a whole object (an array written line by line, or objects without an array
-    around them) is read by lines and so by many tasks; a line that is broken is one row with the line in
-    ``_corrupt_record``. If most lines are broken and the text as a whole is valid JSON, its elements are spread over
-    lines, and it is read as one text. So is a file without any whole object in a line; if that is not valid
-    JSON, it is one row whose ``_corrupt_record`` has the beginning of the text. The brackets around the elements may
-    be missing. Bytes that are not UTF-8 become U+FFFD.
+    Files whose lines hold whole objects (an array written line by line, or objects without an array around them) are
+    parsed line by line. In other files elements may lie over any number of lines, whole lines among them; their lines
+    are brought together first (see ``elements``). Both are read by many tasks. A broken element is one row with its
+    text in ``_corrupt_record``, lines of junk in a row are one with the beginning of the text, and a broken line with
+    several elements in it costs the line. The brackets around the elements may be missing, and the separators between
+    whole lines. Bytes that are not UTF-8 become U+FFFD.
     """
-    def scan(files: list[str], whole: bool) -> DataFrame:
-        return spark.read.options(**_folder_options(glob)).text(files, wholetext=whole)
+    def scan(files: list[str]) -> DataFrame:
+        return spark.read.options(**_folder_options(glob)).text(files)
 
     listed = _paths(spark, paths, landing_root)
-    file, inner = F.col("_metadata.file_path"), _inside_array(F.col("value"))
-    # Brackets alone say nothing; an object over several lines is whole in none of them.
-    says = ~inner.rlike(r"^\[\s*\]$")
-    whole = says & inner.rlike(r"^\[\s*\{") & F.json_array_length(inner).isNotNull()
-    by_file = scan(listed, whole=False).groupBy(file.alias("file")).agg(
-        F.count_if(whole).alias("whole"), F.count_if(says & ~whole).alias("broken"))
-    other = by_file.where((F.col("whole") == 0) | (F.col("whole") < F.col("broken"))).collect()
-    in_one_piece = [row.file for row in other if not row.whole]  # of the files of one batch
-    if doubtful := [literal(unquote(row.file)) for row in other if row.whole]:
-        valid = scan(doubtful, whole=True).where(F.json_array_length(inner).isNotNull())
-        in_one_piece += [row.file for row in valid.select(file.alias("file")).collect()]
-    by_line = scan(listed, whole=False)
-    if not in_one_piece:
-        return _elements(by_line, schema, positions)
-    rest = _elements(by_line.where(~file.isin(in_one_piece)), schema, positions)
-    texts = scan([literal(unquote(f)) for f in in_one_piece], whole=True)
-    return _elements(texts, schema, positions, EXCERPT).unionByName(rest)
-
-
-def _inside_array(text: Column) -> Column:
-    """Part of a JSON array, made an array itself: an outer bracket or separator at either end goes."""
-    inner = F.regexp_replace(text, r"\A\x{FEFF}?\s*+[\[,]?", "")
-    inner = F.regexp_replace(inner, r"[\],]?\s*+\z", "")
-    return F.concat(F.lit("["), inner, F.lit("]"))
-
-
-def _elements(texts: DataFrame, schema: T.StructType, positions: bool, excerpt: int | None = None) -> DataFrame:
-    """One row per element of each text; a text that is not JSON is one row, marked corrupt."""
-    kind = _text_columns(schema)
+    file, line = F.col("_metadata.file_path"), F.col("value")
+    spread = ~elements.says_nothing(line) & ~elements.is_whole(line)
+    by_file = scan(listed).groupBy(file.alias("file")).agg(F.max(spread).alias("spread")).where("spread").collect()
+    names = [row.file for row in by_file]  # of the files of one batch
     *where, running = lineage.split_position()
+    by_line = scan(listed).where(~file.isin(names)) if names else scan(listed)
+    found = _elements(by_line.select("value", *(where if positions else [])), schema)
+    found = found.select("*", running) if positions else found
+    if not names:
+        return found.drop(_AT)
+    texts = elements.put_together(scan([literal(unquote(f)) for f in names]).select("value", *lineage.split_position()))
+    rest = _elements(texts, schema)
+    rest = elements.numbered(rest, "part", "piece", _AT) if positions else rest
+    return found.drop(_AT).unionByName(rest.select(*[c for c in found.columns if c != _AT]))
+
+
+_AT = "__at"
+
+
+def _elements(texts: DataFrame, schema: T.StructType) -> DataFrame:
+    """One row per element of each text; a text that is not JSON is one row, marked corrupt. Other columns stay."""
+    kind = _text_columns(schema)
+    kept = [c for c in texts.columns if c != "value"]
     # Step by step, so that each text is parsed once however often the result is used.
-    pieces = texts.select("value", _inside_array(F.col("value")).alias("piece"), *(where if positions else []))
-    kept = [c for c in pieces.columns if c not in ("value", "piece")]
+    pieces = texts.select("value", elements.inside_array(F.col("value")).alias("array"), *kept)
     parsed = pieces.select(
-        "value", F.json_array_length("piece").alias("count"),
-        F.from_json("piece", T.ArrayType(kind)).alias("parsed"), *kept,
+        "value", F.json_array_length("array").alias("count"),
+        F.from_json("array", T.ArrayType(kind)).alias("parsed"), *kept,
     )
     # The parser leaves out what it cannot fit into rows; then the text counts as corrupt as a whole.
     complete = F.coalesce(F.size("parsed") == F.col("count"), F.lit(False))
-    text = F.left("value", F.lit(excerpt)) if excerpt else F.col("value")
     corrupt = F.struct(*[
-        (text if f.name == casting.CORRUPT else F.lit(None).cast("string")).alias(f.name)
+        (F.col("value") if f.name == casting.CORRUPT else F.lit(None).cast("string")).alias(f.name)
         for f in kind
     ])
-    elements = F.when(complete, F.col("parsed")).otherwise(F.array(corrupt))
-    rows = parsed.select(F.explode(elements).alias("element"), *kept)
-    return rows.select("element.*", *kept, *([running] if positions else []))
+    found = F.when(complete, F.col("parsed")).otherwise(F.array(corrupt))
+    return parsed.select(F.posexplode(found).alias(_AT, "element"), *kept).select("element.*", _AT, *kept)
 
 
 def read_parquet(

@@ -1,0 +1,110 @@
+"""Elements of JSON arrays over lines: any layout, any split, broken ones among them."""
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratum import schemas
+from stratum.functions import casting, lineage
+from stratum.sources import elements, files
+
+
+@pytest.fixture
+def small_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "400")
+    spark.conf.set("spark.sql.files.openCostInBytes", "10")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def product(rng, number):
+    return {"product_id": number, "name": rng.choice(['a } , ] " \\ { [', "x", None, "[\n{"]), "price": number / 4,
+            "extra": rng.choice([1, [1, {"x": "}"}, []], {"deep": [{"y": 1}, {"y": [2]}]}, [{}, {}]])}
+
+
+def written(rng, item, indent, margin):
+    """In one line or over several, as a printer would write it."""
+    if rng.random() < 0.4:
+        return margin + json.dumps(item)
+    return "\n".join(margin + line for line in json.dumps(item, indent=indent).split("\n"))
+
+
+def damaged(rng, text, margin):
+    """Without its end, with a bracket too many, or with a value that is none."""
+    kind = rng.randrange(4)
+    if kind == 0:
+        return text[: rng.randint(len(margin) + 3, max(len(margin) + 3, len(text.split("\n")[0]) - 2))]
+    if kind == 1:
+        return text.rstrip()[:-1]
+    return text.replace('"price":', '"price": }' if kind == 2 else '"price": !', 1)
+
+
+def layout(seed):
+    """One file's text, the ids that are whole, and how many are broken."""
+    rng = random.Random(seed)
+    indent, margin = rng.choice([1, 2, 4]), rng.choice(["", "  "])
+    between = rng.choice([",\n", ",\n\n", " ,\n"])
+    if seed % 3 == 0:
+        margin, between = "", rng.choice([",\n", ", "])
+    good, broken, parts = [], 0, []
+    for k in range(40):
+        number = 1000 * seed + k
+        text = written(rng, product(rng, number), indent, margin)
+        if between != ", " and rng.random() < 0.2:
+            broken += 1
+            text = damaged(rng, text, margin)
+        else:
+            good.append(number)
+        parts.append(text)
+    head, tail = rng.choice([("[\n", "\n]"), ("[\n", "\n]\n"), ("﻿[\n\n", "\n"), ("[" if not margin else "[\n", "]")])
+    return head + between.join(parts) + tail, good, broken
+
+
+def test_any_layout(spark, landing, small_splits):
+    expected = {}
+    for seed in range(24):
+        text, good, broken = layout(seed)
+        (landing / f"Product/{seed:02d}.json").write_text(text)
+        expected[f"{seed:02d}.json"] = (good, broken)
+    df = files.read_json_array(spark, str(landing / "Product"), schemas.PRODUCT, positions=True)
+    found = casting.cast_with_errors(df.withColumn("file", F.element_at(F.split(lineage.FILE, "/"), -1)), schemas.PRODUCT)
+    by_file = {r.file: r for r in found.groupBy("file").agg(
+        F.sort_array(F.collect_list(F.when(F.col("errors").isNull(), F.col("product_id")))).alias("good"),
+        F.count("errors").alias("broken")).collect()}
+    assert {f: (r.good, r.broken) for f, r in by_file.items()} == expected
+
+
+def test_given_mixed_file(spark, landing):
+    lines = [json.dumps({"product_id": i}) for i in range(6)] + ['{\n"product_id": 6}', '{"product_id":\n7}']
+    (landing / "Product/a.json").write_text("[" + ",\n".join(lines) + "]")
+    df = files.read_json_array(spark, str(landing / "Product"), schemas.PRODUCT)
+    good, bad = casting.cast_or_reject(df, schemas.PRODUCT)
+    assert sorted(r.product_id for r in good.collect()) == list(range(8)) and bad.count() == 0
+
+
+def test_elements_end_and_begin_in_one_line_and_come_in_order(spark, landing, small_splits):
+    items = [{"product_id": i, "name": f"n{i}", "tags": [{"t": [i]}]} for i in range(200)]
+    body = json.dumps(items, indent=2).replace("},\n  {", "}, {")
+    (landing / "Product/a.json").write_text(body)
+    df = files.read_json_array(spark, str(landing / "Product"), schemas.PRODUCT, positions=True)
+    work = landing.parent / "tagged"
+    df.write.parquet(str(work))
+    tagged = spark.read.schema(df.schema).parquet(str(work))
+    numbered = lineage.number_rows(tagged, lineage.split_offsets(tagged)).collect()
+    assert sorted((r[lineage.ROW], int(r.product_id)) for r in numbered) == [(i + 1, i) for i in range(200)]
+    assert tagged.select("__split").distinct().count() > 5
+
+
+def test_what_never_ends_is_cut_not_gathered(spark, landing):
+    lines = ["{"] + [f'"k{i}": {i},' for i in range(500)]
+    (landing / "Product/endless.json").write_text("[\n" + "\n".join(lines))
+    (landing / "Product/lost.json").write_text('[\n{"product_id": 1, "x": [\n' + ",\n".join(f'{{"product_id": {i}}}' for i in range(2, 300)) + "]")
+    lines = spark.read.text(str(landing / "Product")).select("value", *lineage.split_position())
+    found = elements.put_together(lines, max_element=2_000).collect()
+    endless = [r.value for r in found if r[lineage.FILE].endswith("endless.json")]
+    assert len(endless) == 1 and len(endless[0]) <= elements.EXCERPT
+    lost = [r.value for r in found if r[lineage.FILE].endswith("lost.json")]
+    assert len(lost) == 299 and sum('"x"' in v for v in lost) == 1
