@@ -113,10 +113,11 @@ class SnapshotTable:
         stored = self._scan(state["live"])
         work = f"{self.path}/work/{uuid.uuid4().hex}"
         try:
-            # Stored: it is used several times below, and its true size lets Spark broadcast it when small.
-            found = merging.matched_keys(stored, source, self.key, SLICE)
-            found.write.parquet(work)
-            matched = self.spark.read.schema(found.schema).parquet(work)
+            # Stored: the batch is worked out once, and true sizes let Spark broadcast what is small.
+            source = self._kept(source, f"{work}/batch")
+            copies = self._kept(merging.copies_of(source, self.key), f"{work}/keys")
+            grouped = not self._is_small(copies)
+            matched = self._kept(merging.matched_keys(stored, copies, self.key, SLICE, grouped=grouped), f"{work}/matched")
             totals = matched.groupBy(SLICE).agg(
                 F.sum("rows").alias("rows"), F.max_by(self.key, "copies").alias("key"), F.max("copies").alias("copies")
             ).collect()  # one row per slice
@@ -126,7 +127,8 @@ class SnapshotTable:
             rewrite = {row[SLICE] for row in totals}
             # The same scan, its files listed once; only the folders of these slices are read.
             touched = stored.where(F.col(SLICE).isin(*rewrite) if rewrite else F.lit(False)).drop(SLICE)
-            commit, written = self._write(merging.merge_rows(touched, source, self.key, matched), state)
+            marked = self._kept(merging.marked(source, self.key, matched), f"{work}/marked", "__hit") if rewrite else source.withColumn("__hit", F.lit(False))
+            commit, written = self._write(merging.merge_rows(touched, marked, self.key), state)
             # Row counts come from Parquet footers; they stay exact when tasks are retried.
             inserted = written - touched.count()
             version = self._commit(state, commit, rewrite, delivery)
@@ -134,6 +136,16 @@ class SnapshotTable:
             storage.remove(self.spark, work)
         return UpsertStats(self.name, inserted, sum(row.rows for row in totals), version)
 
+    def _kept(self, rows: DataFrame, path: str, *folders: str) -> DataFrame:
+        rows.write.partitionBy(*folders).parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def _is_small(self, rows: DataFrame) -> bool:
+        """Whether Spark, which knows the size of stored rows, broadcasts them."""
+        size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        most = self.spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+        return int(size) <= most
+
     def compact(self, folders: int = 24) -> int:
         """Rewrite the slices that lie in at least so many folders as one each; return how many there were.
 

@@ -4,8 +4,9 @@ Semantics are those of SQL MERGE. NULL keys match nothing, so such rows are alwa
 matched by several incoming rows is an error, unless ``on_duplicate="latest"`` picks one first. A key that
 is repeated among the incoming rows but absent from the target is simply inserted as often as it comes.
 
-The merge is a left join plus an anti join, not one full outer join: a full outer join can neither
-broadcast a small batch nor be split where a key is hot, while these two can.
+The merge finds the keys that are on both sides, marks the incoming rows that have one, and joins those to the target
+from the left; the others are added as they are. One full outer join could neither broadcast a small batch nor be split
+where a key is hot, while these joins can. The incoming rows are shuffled by key once.
 """
 
 from __future__ import annotations
@@ -53,45 +54,51 @@ def latest_per_key(source: DataFrame, key: str, order_by: Sequence[str]) -> Data
     return picked.unionByName(source.where(F.col(key).isNull()))
 
 
-def matched_keys(target: DataFrame, source: DataFrame, key: str, *carry: str) -> DataFrame:
+def copies_of(source: DataFrame, key: str) -> DataFrame:
+    """Each key and how often it comes."""
+    return source.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
+
+
+def matched_keys(target: DataFrame, copies: DataFrame, key: str, *carry: str, grouped: bool = True) -> DataFrame:
     """Keys on both sides, with ``carry`` columns of the target, the number of target rows (``rows``) and
     of source rows (``copies``).
 
-    Reads no other column of the target; a source key repeated many times is one row before the join.
+    Reads no other column of the target. Its keys are ``grouped`` before they are joined, so that one that is repeated
+    there is a row per task before anything moves. Where the incoming keys are few enough to be broadcast the join
+    comes first, and no other key moves at all.
     """
-    copies = source.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
-    return (
-        target.select(key, *carry).join(_own_stage(copies, key), key)
-        .groupBy(key, *carry).agg(F.count(F.lit(1)).alias("rows"), F.max("copies").alias("copies"))
-    )
+    keys = target.where(F.col(key).isNotNull()).select(key, *carry)
+    one = F.lit(1).cast("long").alias("n")
+    keys = keys.groupBy(key, *carry).agg(F.count(F.lit(1)).alias("n")) if grouped else keys.select("*", one)
+    return keys.join(_own_stage(copies, key), key).groupBy(key, *carry).agg(F.sum("n").alias("rows"), F.max("copies").alias("copies"))
 
 
-def merge_rows(target: DataFrame, source: DataFrame, key: str, matched: DataFrame) -> DataFrame:
-    """All rows after the merge. ``matched`` is the result of ``matched_keys``, with single copies."""
-    source = source.select(*target.columns)
-    hits = matched.select(key)
-    keyed, new_keyed = target.where(F.col(key).isNotNull()), source.where(F.col(key).isNotNull())
-    parts = [
-        _updated(keyed, new_keyed, key, hits),
-        new_keyed.join(hits, key, "left_anti"),
-        # Rows without a key match nothing. In a join they would all meet in one task.
-        target.where(F.col(key).isNull()),
-        source.where(F.col(key).isNull()),
-    ]
-    return functools.reduce(DataFrame.unionByName, parts)
+_HIT = "__hit"
 
 
-def _updated(target: DataFrame, source: DataFrame, key: str, hits: DataFrame) -> DataFrame:
-    columns = [c for c in target.columns if c != key]
-    # A matched key has one source row, so grouping loses nothing that is used; it does shrink a repeated
-    # new key to a row per task before the shuffle.
-    single = source.groupBy(key).agg(F.any_value(F.struct(*columns)).alias("__new"))
-    new = _own_stage(single.join(hits, key, "left_semi").withColumnRenamed(key, "__key"), "__key")
+def marked(source: DataFrame, key: str, matched: DataFrame) -> DataFrame:
+    """The rows with ``__hit``: whether their key is among the matched ones. Rows without a key go around the join."""
+    hits = _own_stage(matched.select(F.col(key).alias("__key")).distinct(), "__key").withColumn(_HIT, F.lit(True))
+    keyed = source.where(F.col(key).isNotNull()).join(hits, F.col(key) == F.col("__key"), "left").drop("__key")
+    keyed = keyed.withColumn(_HIT, F.coalesce(_HIT, F.lit(False)))
+    return keyed.unionByName(source.where(F.col(key).isNull()).withColumn(_HIT, F.lit(False)))
+
+
+def merge_rows(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """All rows after the merge. ``source`` is the result of ``marked``, with single copies of matched keys."""
+    new = source.where(_HIT).select(F.col(key).alias("__key"), F.struct(*[c for c in target.columns if c != key]).alias("__new"))
     hit = F.col("__new").isNotNull()
-    return target.join(new, F.col(key) == F.col("__key"), "left").select(*[
+    updated = target.where(F.col(key).isNotNull()).join(_own_stage(new, "__key"), F.col(key) == F.col("__key"), "left").select(*[
         F.col(key) if c == key else F.when(hit, F.col("__new").getField(c)).otherwise(F.col(c)).alias(c)
         for c in target.columns
     ])
+    parts = [
+        updated,
+        source.where(~F.col(_HIT)).select(*target.columns),
+        # Rows without a key match nothing. In a join they would all meet in one task.
+        target.where(F.col(key).isNull()),
+    ]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def _own_stage(df: DataFrame, key: str) -> DataFrame:
@@ -118,8 +125,7 @@ def _single_copies(matched: DataFrame, key: str) -> DataFrame:
 
 def _prepared(target, source, key, on_duplicate, order_by) -> tuple[DataFrame, DataFrame]:
     source = deduplicate(source, key, on_duplicate, order_by)
-    matched = _single_copies(matched_keys(target, source, key), key)
-    return source, _own_stage(matched, key)
+    return source, _single_copies(matched_keys(target, copies_of(source, key), key), key)
 
 
 def upsert(
@@ -127,7 +133,7 @@ def upsert(
 ) -> DataFrame:
     """The target after the merge, as a plan. A duplicate match raises when the plan runs."""
     source, matched = _prepared(target, source, key, on_duplicate, order_by)
-    return merge_rows(target, source, key, matched)
+    return merge_rows(target, marked(source.select(*target.columns), key, matched), key)
 
 
 def upsert_stats(
@@ -135,7 +141,7 @@ def upsert_stats(
 ) -> DataFrame:
     """One row: how many rows the merge inserts and updates."""
     source, matched = _prepared(target, source, key, on_duplicate, order_by)
-    keyed = source.where(F.col(key).isNotNull()).join(matched.select(key), key, "left_anti")
+    keyed = source.where(F.col(key).isNotNull()).join(_own_stage(matched.select(key), key), key, "left_anti")
     inserts = keyed.unionByName(source.where(F.col(key).isNull()))
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     parts = inserts.select(one.alias("i"), zero.alias("u")).union(matched.select(zero, F.col("rows")))

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from stratum import schemas, storage
 from stratum.functions import cleaning
 from stratum.layout import Layout
-from stratum.operators.snapshot import SnapshotTable, by_date, one_slice
+from stratum.operators.snapshot import SnapshotTable, by_date, by_hash, one_slice
 from stratum.operators.upsert import UpsertStats
 from stratum.plans import marts, quality
 from stratum.sources import files
@@ -42,8 +42,16 @@ class Conformed:
     slice_by: Callable = one_slice
 
 
-CUSTOMER = Conformed("customer", files.CUSTOMERS, schemas.SILVER_CUSTOMER, "customer_id", cleaning.clean_customer)
-PRODUCT = Conformed("product", files.PRODUCTS, schemas.SILVER_PRODUCT, "product_id", cleaning.clean_product)
+# A merge of a few changes rewrites the slices their keys fall into, not the table.
+SLICES = 16
+CUSTOMER = Conformed(
+    "customer", files.CUSTOMERS, schemas.SILVER_CUSTOMER, "customer_id", cleaning.clean_customer,
+    by_hash("customer_id", SLICES),
+)
+PRODUCT = Conformed(
+    "product", files.PRODUCTS, schemas.SILVER_PRODUCT, "product_id", cleaning.clean_product,
+    by_hash("product_id", SLICES),
+)
 ORDERS = Conformed(
     "orders", files.ORDERS, schemas.SILVER_ORDERS, "transaction_id", cleaning.clean_orders,
     by_date("transaction_date"),

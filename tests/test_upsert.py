@@ -79,3 +79,19 @@ def test_no_full_outer_or_nested_loop_join(spark, tmp_path):
     plan = merging.upsert(target, frame(spark, [(1, "b", 2)]), "k")._jdf.queryExecution().executedPlan().toString()
     assert "FullOuter" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
     assert "ReadSchema: struct<k:bigint>" in plan  # the search for matches reads the key alone
+
+
+def test_incoming_rows_are_not_grouped_whole(spark, tmp_path):
+    """Only keys are aggregated, by hash; whole rows go through joins alone, and one shuffle by key serves both uses."""
+    frame(spark, [(1, "a", 1)]).write.parquet(str(tmp_path / "t"))
+    frame(spark, [(1, "b", 2)]).write.parquet(str(tmp_path / "s"))
+    target, source = (spark.read.parquet(str(tmp_path / n)) for n in "ts")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = merging.upsert(target, source, "k")
+        merged.collect()
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    assert "Reused" in plan
