@@ -5,8 +5,9 @@ Every word belongs to a class, and a text has the probability
     product of P(class of the word | class of the word before) * P(word | class of the word).
 
 Words that occur at least ``MIN_COUNT`` times in training, however large it is, are assigned to classes by exchange
-clustering, in rounds as in Uszkoreit and Brants (2008): the counts of word pairs lie in a stored table, each task works
-out for some of the words which class they would best move to, and only words and classes travel. The map of words to
+clustering, in rounds as in Uszkoreit and Brants (2008): the counts of word pairs lie in a stored table with one row per
+word and its neighbours, each task works out for some of the words which class they would best move to, and only words
+and classes travel. The map of words to
 classes is held by the driver and by each worker, so their memory grows with the vocabulary. All rarer words form one
 class, in which a word's share follows its count in the whole corpus; texts meet these counts in a join of narrow rows,
 one per text and rare word. Words are told apart by 64-bit hashes.
@@ -15,7 +16,7 @@ one per text and rare word. Words are told apart by 64-bit hashes.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -186,42 +187,61 @@ def best_classes(own: np.ndarray, right: np.ndarray, left: np.ndarray, table: np
 
 def _class_pairs(shared, size: int):
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((size, size), np.int64)
+        table, classes = np.zeros(size * size, np.int64), shared.value
         for batch in batches:
             a, b, n = (batch.column(c).to_numpy() for c in "abn")
-            np.add.at(table, (shared.value[a], shared.value[b]), n)
-        a, b = np.nonzero(table)
-        yield pa.RecordBatch.from_pydict({"a": a, "b": b, "n": table[a, b]})
+            # Counts are whole numbers far below 2^53.
+            table += np.bincount(classes[a] * np.int64(size) + classes[b], n, size * size).astype(np.int64)
+        at = np.flatnonzero(table)
+        yield pa.RecordBatch.from_pydict({"a": at // size, "b": at % size, "n": table[at]})
 
     return rows
 
 
-def _neighbour_rows(shared):
-    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = shared.value
-        for batch in batches:
-            a, b, n = (batch.column(c).to_numpy() for c in "abn")
-            word = np.concatenate([a, b])
-            side = np.repeat([0, 1], len(a))
-            other = np.concatenate([classes[b], classes[a]])
-            keys, at = np.unique((word.astype(np.int64) * 2 + side) * len(classes) + other, return_inverse=True)
-            counts = np.bincount(at, np.concatenate([n, n]), len(keys)).astype(np.int64)
-            keep = keys // len(classes) // 2 >= _FIRST
-            keys, counts = keys[keep], counts[keep]
-            yield pa.RecordBatch.from_pydict({
-                "word": (keys // len(classes) // 2).astype(np.int32), "side": (keys // len(classes) % 2).astype(np.int32),
-                "class": (keys % len(classes)).astype(np.int32), "n": counts})
+def _both_ways(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each pair as a neighbour of either word, for words that can move."""
+    for batch in batches:
+        a, b, n = (batch.column(c).to_numpy() for c in "abn")
+        word, other, after = np.concatenate([a, b]), np.concatenate([b, a]), np.repeat([True, False], len(a))
+        keep = word >= _FIRST
+        yield pa.RecordBatch.from_pydict({"word": word[keep], "after": after[keep], "other": other[keep], "n": np.concatenate([n, n])[keep]})
+
+
+_NEIGHBOURS = "word int, n_after int, others array<int>, counts array<long>"
+
+
+def _gathered(group: pa.Table) -> pa.Table:
+    """One row per word: the words after it, then those before it, and how often."""
+    word, after, other, n = (group.column(c).to_numpy() for c in ("word", "after", "other", "n"))
+    order = np.lexsort((~after, word))
+    word, after, other, n = word[order], after[order], other[order], n[order]
+    first = np.flatnonzero(np.diff(word, prepend=-1))
+    offsets = pa.array(np.append(first, len(word)), pa.int32())
+    return pa.table({"word": pa.array(word[first]), "n_after": pa.array(np.add.reduceat(after, first, dtype=np.int32)),
+                     "others": pa.ListArray.from_arrays(offsets, pa.array(other)), "counts": pa.ListArray.from_arrays(offsets, pa.array(n))})
 
-    return rows
+
+def neighbours_of(pairs: DataFrame) -> DataFrame:
+    """The pairs by word, stored; the one time that they are shuffled. A row holds no more than the vocabulary twice."""
+    rows = pairs.mapInArrow(_both_ways, "word int, after boolean, other int, n long")
+    return stored(rows.groupBy((F.col("word") / 1024).cast("int")).applyInArrow(_gathered, _NEIGHBOURS))
 
 
 def _moves(shared, table: np.ndarray):
-    def moves(group: pa.Table) -> pa.Table:
-        words, at = np.unique(group.column("word").to_numpy(), return_inverse=True)
-        counts = np.zeros((2, len(words), len(table)))
-        np.add.at(counts, (group.column("side").to_numpy(), at, group.column("class").to_numpy()), group.column("n").to_numpy())
-        best = best_classes(shared.value[words], counts[0], counts[1], table)
-        return pa.table({"word": words.astype(np.int32), "class": best.astype(np.int32)})
+    size = len(table)
+
+    def moves(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes = shared.value
+        for batch in batches:
+            words = batch.column("word").to_numpy()
+            lengths = batch.column("others").value_lengths().to_numpy(zero_copy_only=False)
+            n = batch.column("counts").flatten().to_numpy()
+            at = np.repeat(np.arange(len(words)), lengths)
+            after = np.arange(len(at)) < np.repeat(np.cumsum(lengths) - lengths + batch.column("n_after").to_numpy(), lengths)
+            cells = at * size + classes[batch.column("others").flatten().to_numpy()]
+            right, left = (np.bincount(cells[side], n[side], len(words) * size).reshape(-1, size) for side in (after, ~after))
+            best = best_classes(classes[words].astype(np.int64), right, left, table)
+            yield pa.RecordBatch.from_pydict({"word": words, "class": best.astype(np.int32)})
 
     return moves
 
@@ -238,25 +258,24 @@ def exchange(pairs: DataFrame, counts: np.ndarray, classes: int = CLASSES, round
     """The class of each symbol, and the counts of pairs of classes.
 
     In each round one half of the words may move, all seen from the classes before the round. The best classes seen
-    are kept.
+    are kept. A round reads two stored tables and shuffles a class table per task.
     """
     context = pairs.sparkSession.sparkContext
     size = _FIRST + classes
     rank = np.empty(len(counts), np.int64)
     rank[np.argsort(-counts, kind="stable")] = np.arange(len(counts))
-    current = np.concatenate([[_END, _RARE], _FIRST + rank % classes]).astype(np.int64)
+    current = np.concatenate([[_END, _RARE], _FIRST + rank % classes]).astype(np.min_scalar_type(size))
+    neighbours = neighbours_of(pairs) if rounds and len(counts) else None
     best = None
     for turn in range(rounds + 1):
         shared = context.broadcast(current)
         table = _table_of(pairs, shared, size)
         if best is None or likelihood(table) > best[0]:
             best = (likelihood(table), current, table)
-        if turn == rounds or not len(counts):
+        if turn == rounds or neighbours is None:
             break
-        half = pairs.where((F.col("a") % 2 == turn % 2) | (F.col("b") % 2 == turn % 2))
-        rows = half.mapInArrow(_neighbour_rows(shared), "word int, side int, class int, n long")
-        rows = rows.where(F.col("word") % 2 == turn % 2).groupBy("word", "side", "class").agg(F.sum("n").alias("n"))
-        moved = rows.groupBy((F.col("word") / 1024).cast("int")).applyInArrow(_moves(shared, table), "word int, class int").toArrow()
+        half = neighbours.where(F.col("word") % 2 == turn % 2)
+        moved = half.mapInArrow(_moves(shared, table), "word int, class int").toArrow()
         current = current.copy()
         current[moved["word"].to_numpy()] = moved["class"].to_numpy()
     return best[1], best[2]
@@ -267,12 +286,12 @@ def exchange(pairs: DataFrame, counts: np.ndarray, classes: int = CLASSES, round
 
 @dataclass
 class Model:
+    """What a worker needs: 17 bytes per clustered word, and the transitions."""
+
     vocabulary: Vocabulary
     classes: np.ndarray
     transitions: np.ndarray  # log10, [before, after]
-    emissions: np.ndarray  # log10 per symbol; nothing for rare words
-    base: np.ndarray  # log10 of the smoothed frequency, per symbol; nothing for rare words
-    known: np.ndarray = field(repr=False)  # per symbol; rare words are looked up
+    class_totals: np.ndarray
 
     @property
     def base_total(self) -> float:
@@ -282,17 +301,31 @@ class Model:
     def rare_total(self) -> float:
         return self.vocabulary.rare_tokens + RARE * (self.vocabulary.rare_kinds + 1)
 
+    def counts(self, symbols: np.ndarray) -> np.ndarray:
+        """Occurrences in training; none for rare words, which are looked up."""
+        own = self.vocabulary.counts if len(self.vocabulary.counts) else np.zeros(1, np.int64)
+        n = own[np.maximum(symbols - _FIRST, 0)]
+        return np.where(symbols >= _FIRST, n, np.where(symbols == _END, self.vocabulary.ends, 0))
+
+    def emission(self, symbols: np.ndarray) -> np.ndarray:
+        """log10 of a word's share of its class; nothing for ends and rare words."""
+        word = symbols >= _FIRST
+        return np.log10(np.where(word, self.counts(symbols) / np.maximum(self.class_totals[self.classes[symbols]], 1), 1))
+
+    @property
+    def emissions(self) -> np.ndarray:
+        return self.emission(np.arange(len(self.classes)))
+
+    def base(self, symbols: np.ndarray) -> np.ndarray:
+        """log10 of the smoothed frequency; nothing for rare words."""
+        return np.where(symbols == _RARE, 0, np.log10((self.counts(symbols) + 0.5) / self.base_total))
+
 
 def model_of(vocabulary: Vocabulary, classes: np.ndarray, table: np.ndarray) -> Model:
     total = table.sum(0)
     plain = (total + 1) / (total.sum() + len(total))
     transitions = np.log10((table + PRIOR * plain) / (table.sum(1, keepdims=True) + PRIOR))
-    counts = np.concatenate([[vocabulary.ends, 0], vocabulary.counts]).astype(float)
-    emissions = np.zeros(len(counts))
-    emissions[_FIRST:] = np.log10(counts[_FIRST:] / total[classes[_FIRST:]])
-    base = np.log10((counts + 0.5) / (vocabulary.tokens + 0.5 * (vocabulary.kinds + 1)))
-    base[_RARE] = 0
-    return Model(vocabulary, classes, transitions, emissions, base, counts > 0)
+    return Model(vocabulary, classes, transitions, total)
 
 
 def train(training: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS, min_count: int = MIN_COUNT) -> tuple[Model, DataFrame]:
@@ -319,9 +352,9 @@ def _score_rows(shared, part: pa.DataType):
                 classes = model.classes[sequence]
                 after = sequence[1:]
                 first = words.first[:-1] + np.arange(rows.num_rows)
-                score = np.add.reduceat(model.transitions[classes[:-1], classes[1:]] + model.emissions[after], first)
-                base = np.add.reduceat(model.base[after], first)
-                known = np.add.reduceat(model.known[after].astype(np.int64), first)
+                score = np.add.reduceat(model.transitions[classes[:-1], classes[1:]] + model.emission(after), first)
+                base = np.add.reduceat(model.base(after), first)
+                known = np.add.reduceat((model.counts(after) > 0).astype(np.int64), first)
                 key = rows.column("key").to_numpy()
                 sums = pa.StructArray.from_arrays(
                     [rows.column("doc_id"), rows.column("held_out"), pa.array(words.counts() + 1), pa.array(known),
