@@ -5,8 +5,8 @@ Every word belongs to a class, and a text has the probability
     product of P(class of the word | class of the word before) * P(word | class of the word).
 
 Words that occur at least ``MIN_COUNT`` times in training, however large it is, are assigned to classes by exchange
-clustering, in rounds as in Uszkoreit and Brants (2008): the counts of word pairs lie in a stored table with one row per
-word and its neighbours, each task works out for some of the words which class they would best move to, and only words
+clustering, in rounds as in Uszkoreit and Brants (2008): the counts of word pairs lie in a stored table by words and
+their neighbours, each task works out for some of the words which class they would best move to, and only words
 and classes travel. The map of words to
 classes is held by the driver and by each worker, so their memory grows with the vocabulary. All rarer words form one
 class, in which a word's share follows its count in the whole corpus; texts meet these counts in a join of narrow rows,
@@ -109,6 +109,33 @@ def _word_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"h": keys, "n": counts})
 
 
+WORDS_PER_BLOCK = 128
+#: Some pairs of symbols with their counts, as bytes of three arrays in order of ``words``: int32, int32, int32 or int64.
+_PACKED = "block int, words binary, others binary, counts binary"
+
+
+def _pack(words: np.ndarray, others: np.ndarray, counts: np.ndarray, **more) -> pa.RecordBatch:
+    """One row per block of words, which are in order."""
+    blocks = words // WORDS_PER_BLOCK
+    cuts = np.flatnonzero(np.diff(blocks, prepend=-1))
+    kind = np.int32 if not len(counts) or counts.max() < 1 << 31 else np.int64
+    arrays = words.astype(np.int32), others.astype(np.int32), counts.astype(kind)
+    parts = [[x[i:j].tobytes() for i, j in zip(cuts, np.append(cuts[1:], len(words)))] for x in arrays]
+    return pa.RecordBatch.from_pydict({
+        "block": pa.array(blocks[cuts], pa.int32()), **{name: pa.array(part, pa.binary()) for name, part in zip(("words", "others", "counts"), parts)},
+        **{name: pa.array([value] * len(cuts)) for name, value in more.items()}})
+
+
+def _unpack(words: pa.Scalar, others: pa.Scalar, counts: pa.Scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    words, others, counts = words.as_buffer(), others.as_buffer(), counts.as_buffer()
+    kind = np.int32 if counts.size == words.size else np.int64
+    return np.frombuffer(words, np.int32), np.frombuffer(others, np.int32), np.frombuffer(counts, kind)
+
+
+def _each(rows: pa.RecordBatch | pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    return map(_unpack, *(rows.column(c) for c in ("words", "others", "counts")))
+
+
 def _pair_rows(shared):
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
@@ -119,12 +146,25 @@ def _pair_rows(shared):
             return symbols[:-1] * size + symbols[1:]
 
         for keys, counts in _counted(batches, pairs):
-            yield pa.RecordBatch.from_pydict({
-                "a": (keys // size).astype(np.int32), "b": (keys % size).astype(np.int32), "n": counts})
+            yield _pack(keys // size, keys % size, counts)
 
     return rows
 
 
+def _added_up(group: pa.Table) -> pa.Table:
+    """The pairs of a block, each once."""
+    words, others, counts = (np.concatenate(x) for x in zip(*_each(group)))
+    keys, at = np.unique(words.astype(np.int64) << 32 | others, return_inverse=True)
+    return pa.Table.from_batches([_pack(keys >> 32, keys & 0xFFFFFFFF, np.bincount(at, counts, len(keys)).astype(np.int64))])
+
+
+def count_pairs(training: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Pairs of symbols in a row, by block of the first one."""
+    shared = training.sparkSession.sparkContext.broadcast(vocabulary)
+    rows = training.select("text").mapInArrow(_pair_rows(shared), _PACKED)
+    return rows.groupBy("block").applyInArrow(_added_up, _PACKED)
+
+
 def count_words(training: DataFrame) -> DataFrame:
     """``h, n`` for every word of all texts, and for the end of a text."""
     rows = training.select("text").mapInArrow(_word_rows, "h long, n long")
@@ -185,97 +225,97 @@ def best_classes(own: np.ndarray, right: np.ndarray, left: np.ndarray, table: np
     return out
 
 
-def _class_pairs(shared, size: int):
-    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, classes = np.zeros(size * size, np.int64), shared.value
-        for batch in batches:
-            a, b, n = (batch.column(c).to_numpy() for c in "abn")
-            # Counts are whole numbers far below 2^53.
-            table += np.bincount(classes[a] * np.int64(size) + classes[b], n, size * size).astype(np.int64)
-        at = np.flatnonzero(table)
-        yield pa.RecordBatch.from_pydict({"a": at // size, "b": at % size, "n": table[at]})
-
-    return rows
-
-
 def _both_ways(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each pair as a neighbour of either word, for words that can move."""
+    """Each pair by its first word, and again by its second if that can move."""
     for batch in batches:
-        a, b, n = (batch.column(c).to_numpy() for c in "abn")
-        word, other, after = np.concatenate([a, b]), np.concatenate([b, a]), np.repeat([True, False], len(a))
-        keep = word >= _FIRST
-        yield pa.RecordBatch.from_pydict({"word": word[keep], "after": after[keep], "other": other[keep], "n": np.concatenate([n, n])[keep]})
+        for words, others, counts in _each(batch):
+            yield _pack(words, others, counts, after=True)
+            order = np.argsort(others, kind="stable")
+            order = order[others[order] >= _FIRST]
+            if len(order):
+                yield _pack(others[order], words[order], counts[order], after=False)
 
 
-_NEIGHBOURS = "word int, n_after int, others array<int>, counts array<long>"
+_NEIGHBOURS = f"{_PACKED}, n_after long"
 
 
 def _gathered(group: pa.Table) -> pa.Table:
-    """One row per word: the words after it, then those before it, and how often."""
-    word, after, other, n = (group.column(c).to_numpy() for c in ("word", "after", "other", "n"))
-    order = np.lexsort((~after, word))
-    word, after, other, n = word[order], after[order], other[order], n[order]
-    first = np.flatnonzero(np.diff(word, prepend=-1))
-    offsets = pa.array(np.append(first, len(word)), pa.int32())
-    return pa.table({"word": pa.array(word[first]), "n_after": pa.array(np.add.reduceat(after, first, dtype=np.int32)),
-                     "others": pa.ListArray.from_arrays(offsets, pa.array(other)), "counts": pa.ListArray.from_arrays(offsets, pa.array(n))})
+    """One row per block: all pairs by their first words, then those by their second ones."""
+    after = group.column("after").to_numpy()
+    parts = list(_each(group))
+    words, others, counts = (np.concatenate(x) for x in zip(*parts))
+    n_after = np.repeat(after, [len(p[0]) for p in parts])
+    order = np.lexsort((words, ~n_after))
+    return pa.Table.from_batches([_pack(words[order], others[order], counts[order], n_after=int(n_after.sum()))])
 
 
 def neighbours_of(pairs: DataFrame) -> DataFrame:
-    """The pairs by word, stored; the one time that they are shuffled. A row holds no more than the vocabulary twice."""
-    rows = pairs.mapInArrow(_both_ways, "word int, after boolean, other int, n long")
-    return stored(rows.groupBy((F.col("word") / 1024).cast("int")).applyInArrow(_gathered, _NEIGHBOURS))
+    """The pairs by either word, stored. A row holds a block of words; no more than so many times the vocabulary twice."""
+    rows = pairs.mapInArrow(_both_ways, f"{_PACKED}, after boolean")
+    return stored(rows.groupBy("block").applyInArrow(_gathered, _NEIGHBOURS))
 
 
-def _moves(shared, table: np.ndarray):
+def _class_pairs(shared, size: int):
+    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, classes = np.zeros(size * size, np.int64), shared.value
+        for batch in batches:
+            for (a, b, n), k in zip(_each(batch), batch.column("n_after").to_pylist()):
+                # Counts are whole numbers far below 2^53.
+                cells = classes[a[:k]] * np.int64(size) + classes[b[:k]]
+                table += np.bincount(cells, n[:k], size * size).astype(np.int64)
+        at = np.flatnonzero(table)
+        yield pa.RecordBatch.from_pydict({"a": at // size, "b": at % size, "n": table[at]})
+
+    return rows
+
+
+def _moves(shared, table: np.ndarray, turn: int):
     size = len(table)
 
     def moves(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = shared.value
         for batch in batches:
-            words = batch.column("word").to_numpy()
-            lengths = batch.column("others").value_lengths().to_numpy(zero_copy_only=False)
-            n = batch.column("counts").flatten().to_numpy()
-            at = np.repeat(np.arange(len(words)), lengths)
-            after = np.arange(len(at)) < np.repeat(np.cumsum(lengths) - lengths + batch.column("n_after").to_numpy(), lengths)
-            cells = at * size + classes[batch.column("others").flatten().to_numpy()]
-            right, left = (np.bincount(cells[side], n[side], len(words) * size).reshape(-1, size) for side in (after, ~after))
-            best = best_classes(classes[words].astype(np.int64), right, left, table)
-            yield pa.RecordBatch.from_pydict({"word": words, "class": best.astype(np.int32)})
+            for (word, other, n), k in zip(_each(batch), batch.column("n_after").to_pylist()):
+                after = np.arange(len(word)) < k
+                chosen = (word >= _FIRST) & (word % 2 == turn % 2)
+                words, at = np.unique(word[chosen], return_inverse=True)
+                cells = at * size + classes[other[chosen]]
+                right, left = (np.bincount(cells[side], n[chosen][side], len(words) * size).reshape(-1, size)
+                               for side in (after[chosen], ~after[chosen]))
+                best = best_classes(classes[words].astype(np.int64), right, left, table)
+                yield pa.RecordBatch.from_pydict({"word": words, "class": best.astype(np.int32)})
 
     return moves
 
 
-def _table_of(pairs: DataFrame, shared, size: int) -> np.ndarray:
-    rows = pairs.mapInArrow(_class_pairs(shared, size), "a long, b long, n long")
+def _table_of(neighbours: DataFrame, shared, size: int) -> np.ndarray:
+    rows = neighbours.mapInArrow(_class_pairs(shared, size), "a long, b long, n long")
     found = rows.groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow()
     table = np.zeros((size, size), np.int64)
     table[found["a"].to_numpy(), found["b"].to_numpy()] = found["n"].to_numpy()
     return table
 
 
-def exchange(pairs: DataFrame, counts: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+def exchange(neighbours: DataFrame, counts: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
     """The class of each symbol, and the counts of pairs of classes.
 
     In each round one half of the words may move, all seen from the classes before the round. The best classes seen
-    are kept. A round reads two stored tables and shuffles a class table per task.
+    are kept. A round reads the stored table twice and shuffles a class table per task.
     """
-    context = pairs.sparkSession.sparkContext
+    context = neighbours.sparkSession.sparkContext
     size = _FIRST + classes
     rank = np.empty(len(counts), np.int64)
     rank[np.argsort(-counts, kind="stable")] = np.arange(len(counts))
     current = np.concatenate([[_END, _RARE], _FIRST + rank % classes]).astype(np.min_scalar_type(size))
-    neighbours = neighbours_of(pairs) if rounds and len(counts) else None
     best = None
     for turn in range(rounds + 1):
         shared = context.broadcast(current)
-        table = _table_of(pairs, shared, size)
+        table = _table_of(neighbours, shared, size)
         if best is None or likelihood(table) > best[0]:
             best = (likelihood(table), current, table)
-        if turn == rounds or neighbours is None:
+        if turn == rounds or not len(counts):
             break
-        half = neighbours.where(F.col("word") % 2 == turn % 2)
-        moved = half.mapInArrow(_moves(shared, table), "word int, class int").toArrow()
+        moved = neighbours.mapInArrow(_moves(shared, table, turn), "word int, class int").toArrow()
         current = current.copy()
         current[moved["word"].to_numpy()] = moved["class"].to_numpy()
     return best[1], best[2]
@@ -332,10 +372,8 @@ def train(training: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS, min
     """A model of all texts of ``training(text)``, and the stored table ``h, n`` of all its words."""
     counts = count_words(training)
     vocabulary = vocabulary_of(counts, min_count)
-    shared = training.sparkSession.sparkContext.broadcast(vocabulary)
-    pairs = training.select("text").mapInArrow(_pair_rows(shared), "a int, b int, n long")
-    pairs = stored(pairs.groupBy("a", "b").agg(F.sum("n").alias("n")))
-    return model_of(vocabulary, *exchange(pairs, vocabulary.counts, classes, rounds)), counts
+    neighbours = neighbours_of(count_pairs(training, vocabulary))
+    return model_of(vocabulary, *exchange(neighbours, vocabulary.counts, classes, rounds)), counts
 
 
 def _score_rows(shared, part: pa.DataType):
