@@ -38,7 +38,7 @@ PRIOR = 20.0
 RARE = 0.5
 
 #: Keys that a task holds before it adds them up and sends them on.
-HELD_KEYS = 1_000_000
+HELD_KEYS = 500_000
 END_HASH = 0
 _END, _RARE, _FIRST = 0, 1, 2  # symbols; the classes of the first two are their own
 
@@ -159,10 +159,10 @@ def _added_up(group: pa.Table) -> pa.Table:
 
 
 def count_pairs(training: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Pairs of symbols in a row, by block of the first one."""
+    """Pairs of symbols in a row, by block of the first one; stored, as two Python steps in one stage would take twice the memory."""
     shared = training.sparkSession.sparkContext.broadcast(vocabulary)
     rows = training.select("text").mapInArrow(_pair_rows(shared), _PACKED)
-    return rows.groupBy("block").applyInArrow(_added_up, _PACKED)
+    return stored(rows.groupBy("block").applyInArrow(_added_up, _PACKED))
 
 
 def count_words(training: DataFrame) -> DataFrame:
@@ -226,14 +226,25 @@ def best_classes(own: np.ndarray, right: np.ndarray, left: np.ndarray, table: np
 
 
 def _both_ways(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each pair by its first word, and again by its second if that can move."""
+    """Each pair by its first word, and again by its second if that can move. The latter go to all blocks, so many are held before they are dealt out."""
+    held, size = [], 0
+
+    def dealt() -> pa.RecordBatch:
+        words, others, counts = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(others, kind="stable")
+        return _pack(others[order], words[order], counts[order], after=False)
+
     for batch in batches:
         for words, others, counts in _each(batch):
             yield _pack(words, others, counts, after=True)
-            order = np.argsort(others, kind="stable")
-            order = order[others[order] >= _FIRST]
-            if len(order):
-                yield _pack(others[order], words[order], counts[order], after=False)
+            moves = others >= _FIRST
+            held.append((words[moves], others[moves], counts[moves]))
+            size += len(held[-1][0])
+            if size > HELD_KEYS:
+                yield dealt()
+                held, size = [], 0
+    if size:
+        yield dealt()
 
 
 _NEIGHBOURS = f"{_PACKED}, n_after long"

@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.llm import brown, chat, decontaminate, divergence, forest, langid, lexical, licenses, packing, periodic, simhash, substring, warc
-from stratum.llm.tables import crc_of_id, given
+from stratum.llm.tables import crc_of_id, given, small_batches
 
 
 HELD_OUT_FOLD, HELD_OUT_FOLDS = 1, 5
 
 
 def op1_brown_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = given(spark, sf_dir, "documents").select("doc_id", "text")
     docs = docs.withColumn("held_out", crc_of_id() % HELD_OUT_FOLDS == HELD_OUT_FOLD)
     model, counts = brown.train(docs.where(~F.col("held_out")))
