@@ -3,16 +3,20 @@
 Rows lie in ``data/commit=<id>/slice=<s>/``; a small JSON file per version lists the folders that are live.
 A merge looks for the slices that hold matching keys (reading only the key column), rewrites those, and
 adds new rows beside the others. Files in use are never overwritten, so readers and retries are safe.
+A table with a ``day`` column keeps the first and last day of each folder beside the list, so that a range of days
+opens, and even lists, no other folder.
 One writer per table is assumed. Of two that commit the same version one fails at the commit, and nothing of
 it is seen.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import uuid
 from collections import Counter
 from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,14 +50,35 @@ def by_hash(key: str, slices: int) -> Callable[[], Column]:
     return lambda: F.coalesce(F.pmod(F.xxhash64(key), F.lit(slices)), F.lit(0)).cast("string")
 
 
+class Folder(NamedTuple):
+    """A live folder. ``days`` is None where no days are known, else the first and the last day of its rows (None if no
+    row has one) in ISO form, and whether some rows have none."""
+
+    commit: str
+    slice: str
+    days: tuple[str | None, str | None, bool] | None = None
+
+    @property
+    def path(self) -> str:
+        return f"commit={self.commit}/{SLICE}={self.slice}"
+
+    def meets(self, first: dt.date | None, last: dt.date | None) -> bool:
+        """Whether it may hold rows of the days from ``first`` to ``last``."""
+        if self.days is None:
+            return True
+        low, high, _ = self.days
+        return low is not None and (last is None or low <= last.isoformat()) and (first is None or high >= first.isoformat())
+
+
 class SnapshotTable:
     FOLDERS = T.StructType([T.StructField("commit", T.StringType()), T.StructField(SLICE, T.StringType())])
 
     def __init__(
         self, spark: SparkSession, path: str, schema: T.StructType, key: str,
-        slice_by: Callable[[], Column] = one_slice,
+        slice_by: Callable[[], Column] = one_slice, day: str | None = None,
     ):
         self.spark, self.path, self.schema, self.key, self.slice_by = spark, path, schema, key, slice_by
+        self.day = day
         self.name = path.rstrip("/").rsplit("/", 1)[-1]
 
     # -- reading -----------------------------------------------------------------------------------
@@ -66,13 +91,34 @@ class SnapshotTable:
     def version(self) -> int:
         return self._current()["version"]
 
-    def read(self) -> DataFrame:
-        return self._scan(self._current()["live"]).select(*self.schema.fieldNames())
+    def read(self, first: dt.date | None = None, last: dt.date | None = None, undated: bool = False) -> DataFrame:
+        """All rows. With ``first`` or ``last``, those of the days from the one to the other, and with ``undated`` those
+        without a day as well; folders of other days are left out before anything is listed."""
+        if first is None and last is None:
+            return self._scan(self._current()["live"]).select(*self.schema.fieldNames())
+        if self.day is None:
+            raise ValueError(f"{self.name} has no day column")
+        chosen = [f for f in self.folders() if f.meets(first, last) or undated and f.days[2]]
+        day = F.col(self.day)
+        wanted = F.lit(True) if first is None else day >= F.lit(first)
+        wanted = wanted if last is None else wanted & (day <= F.lit(last))
+        wanted = wanted | day.isNull() if undated else wanted & day.isNotNull()
+        return self._scan([[f.commit, f.slice] for f in chosen]).where(wanted).select(*self.schema.fieldNames())
 
     def live(self) -> list[tuple[str, str]]:
         """(commit, slice) of the folders that make up the current version."""
         return [(commit, part) for commit, part in self._current()["live"]]
 
+    def folders(self, back: int = 0) -> list[Folder]:
+        """The folders of the current version, or of one ``back`` versions ago; none if that is no longer known."""
+        versions = self._versions()
+        if back and len(versions) <= back:
+            return []
+        state = json.loads(storage.read_text(self.spark, f"{self.path}/log/{versions[-1 - back]}")) if back else self._current()
+        days = state.get("days", {})
+        return [Folder(commit, part, tuple(days[f"{commit}/{part}"]) if f"{commit}/{part}" in days else None)
+                for commit, part in state["live"]]
+
     def _versions(self) -> list[str]:
         return storage.names(self.spark, f"{self.path}/log")
 
@@ -183,9 +229,25 @@ class SnapshotTable:
         applied = dict(state["applied"])
         if delivery:
             applied[delivery.feed] = delivery.epoch
-        self._publish({"version": state["version"] + 1, "live": live, "applied": applied})
+        days = {**state.get("days", {}), **self._days(commit)}
+        days = {folder: days[folder] for folder in map("/".join, live) if folder in days}
+        self._publish({"version": state["version"] + 1, "live": live, "applied": applied, "days": days})
         return state["version"] + 1
 
+    def _days(self, commit: str) -> dict[str, list]:
+        """First and last day of each folder that was just written, and whether rows without one are there. Reads this one
+        column; the result is a row per folder."""
+        folder = f"{self.path}/data/commit={commit}"
+        if self.day is None or not storage.names(self.spark, folder):
+            return {}
+        day = F.col(self.day)
+        found = (
+            self.spark.read.schema(T.StructType([self.schema[self.day], self.FOLDERS[SLICE]])).parquet(folder)
+            .groupBy(SLICE).agg(F.min(day).alias("first"), F.max(day).alias("last"), F.max(day.isNull()).alias("undated"))
+        )
+        return {f"{commit}/{row[SLICE]}": [row["first"] and row["first"].isoformat(), row["last"] and row["last"].isoformat(), row["undated"]]
+                for row in found.collect()}
+
     def _publish(self, state: dict) -> None:
         try:
             storage.write_text(self.spark, f"{self.path}/log/{state['version']:09d}.json", json.dumps(state))
@@ -206,6 +268,11 @@ class SnapshotTable:
                 if f"{commit}/{part}" not in live and storage.age(self.spark, folder) >= least:
                     storage.remove(self.spark, folder)
                     dropped += 1
+        # The last two versions stay: readers by SQL may still look at the one before. A writer that began from an older one
+        # must find the next version taken, so that is not removed before the writer counts as abandoned.
+        for name in self._versions()[:-2]:
+            if storage.age(self.spark, f"{self.path}/log/{name}") >= max(older_than, ABANDONED_AFTER):
+                storage.remove(self.spark, f"{self.path}/log/{name}")
         for name in storage.names(self.spark, f"{self.path}/work"):
             if storage.age(self.spark, f"{self.path}/work/{name}") >= max(older_than, ABANDONED_AFTER):
                 storage.remove(self.spark, f"{self.path}/work/{name}")

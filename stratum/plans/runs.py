@@ -5,7 +5,8 @@ Each function does one run and returns; an outside scheduler decides when.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import datetime as dt
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql import types as T
 from stratum import schemas, storage
 from stratum.functions import cleaning
 from stratum.layout import Layout
-from stratum.operators.snapshot import SnapshotTable, by_date, by_hash, one_slice
+from stratum.operators.snapshot import Folder, SnapshotTable, by_date, by_hash, one_slice
 from stratum.operators.upsert import UpsertStats
 from stratum.plans import marts, quality
 from stratum.sources import files
@@ -40,6 +41,7 @@ class Conformed:
     key: str
     clean: Callable[..., DataFrame]
     slice_by: Callable = one_slice
+    day: str | None = None
 
 
 # A merge of a few changes rewrites the slices their keys fall into, not the table.
@@ -54,13 +56,13 @@ PRODUCT = Conformed(
 )
 ORDERS = Conformed(
     "orders", files.ORDERS, schemas.SILVER_ORDERS, "transaction_id", cleaning.clean_orders,
-    by_date("transaction_date"),
+    by_date("transaction_date"), "transaction_date",
 )
 CONFORMED = (CUSTOMER, PRODUCT, ORDERS)
 
 
 def table(spark: SparkSession, layout: Layout, which: Conformed) -> SnapshotTable:
-    return SnapshotTable(spark, layout.conformed(which.name), which.schema, which.key, which.slice_by)
+    return SnapshotTable(spark, layout.conformed(which.name), which.schema, which.key, which.slice_by, which.day)
 
 
 def feed(
@@ -147,19 +149,37 @@ def counts(spark: SparkSession, layout: Layout) -> DataFrame:
     )
 
 
+def daily_sales(
+    spark: SparkSession, layout: Layout, first: dt.date | None = None, last: dt.date | None = None,
+) -> DataFrame:
+    """The mart of all days, or of those from ``first`` to ``last``: only folders that hold such days are listed."""
+    orders = table(spark, layout, ORDERS).read(first, last)
+    return marts.daily_sales(orders, table(spark, layout, PRODUCT).read(), table(spark, layout, CUSTOMER).read())
+
+
+def customer_affinity(
+    spark: SparkSession, layout: Layout, first: dt.date | None = None, last: dt.date | None = None,
+) -> DataFrame:
+    """The mart of the orders from ``first`` to ``last``; whole months if these are the ends of months."""
+    orders = table(spark, layout, ORDERS).read(first, last)
+    return marts.customer_affinity(table(spark, layout, CUSTOMER).read(), orders, table(spark, layout, PRODUCT).read())
+
+
 def register(spark: SparkSession, layout: Layout) -> None:
-    """Make everything known to SQL: ``bronze.raw_*`` and ``silver.*`` as external tables, ``gold.vw_*`` as views
-    that are computed on each access.
+    """Make everything known to SQL: ``bronze.raw_*`` as external tables, ``silver.*`` as views of the current version,
+    ``gold.vw_*`` as views that are computed on each access.
 
     Once is enough: every load, merge and backfill of this module brings what is registered up to date.
     """
     create_layers(spark, layout)
-    for name, schema, folders, path, _ in _external(spark, layout):
-        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
-        storage.make_dir(spark, path)
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({', '.join(folders)}) "
-                  f"LOCATION '{path}' TBLPROPERTIES ('{_ROOT}' = '{layout.root}')")
+    for which in CONFORMED:
+        name = f"silver.{which.name}"
+        if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+            spark.sql(f"DROP TABLE {name}")  # registered by an earlier release
+        schema = T.StructType([*which.schema.fields, *SnapshotTable.FOLDERS.fields])
+        _external(spark, layout, f"{name}_files", schema, SnapshotTable.FOLDERS.fieldNames(), f"{layout.conformed(which.name)}/data")
+    for source in files.SOURCES:
+        _external(spark, layout, f"bronze.{source.table}", source.raw_schema, ["batch_id"], layout.raw(source.table))
     refresh(spark, layout)
     for view, text in marts.VIEWS.items():
         spark.sql(f"CREATE OR REPLACE VIEW gold.{view} AS {text}")
@@ -169,30 +189,74 @@ def register(spark: SparkSession, layout: Layout) -> None:
 _ROOT = "stratum.root"
 
 
-def _external(spark: SparkSession, layout: Layout) -> Iterator[tuple[str, T.StructType, list[str], str, set[str]]]:
-    """Of each table for SQL: name, schema, folder columns, path, and the folders that hold its rows now."""
+def _external(spark: SparkSession, layout: Layout, name: str, schema: T.StructType, folders: list[str], path: str) -> None:
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+    storage.make_dir(spark, path)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({', '.join(folders)}) "
+              f"LOCATION '{path}' TBLPROPERTIES ('{_ROOT}' = '{layout.root}')")
+
+
+def refresh(spark: SparkSession, layout: Layout) -> None:
+    """Bring what ``register`` made for this layout up to date, by the folders that changed.
+
+    A raw table gets its new folders. Of a conformed table all folders are registered first; then one statement gives the
+    view the list of those that are live, so a reader sees the old version or the new one and nothing between. Folders
+    that neither this version nor the one before holds are forgotten last: a reader that began a moment ago needs them.
+    """
     for source in files.SOURCES:
-        path, feed_name = layout.raw(source.table), loads.feed_name(spark, source, layout)
-        batches = {n for n in storage.names(spark, path) if n.startswith(f"batch_id={feed_name}-")}
-        yield f"bronze.{source.table}", source.raw_schema, ["batch_id"], path, batches
+        name = f"bronze.{source.table}"
+        if _registered(spark, layout, name):
+            feed_name = loads.feed_name(spark, source, layout)
+            _bring(spark, name, {n for n in storage.names(spark, layout.raw(source.table)) if n.startswith(f"batch_id={feed_name}-")})
     for which in CONFORMED:
-        stored = table(spark, layout, which)
-        schema = T.StructType([*which.schema.fields, *stored.FOLDERS.fields])
-        slices = {f"commit={commit}/slice={part}" for commit, part in stored.live()}
-        yield f"silver.{which.name}", schema, stored.FOLDERS.fieldNames(), f"{stored.path}/data", slices
+        name = f"silver.{which.name}"
+        if _registered(spark, layout, f"{name}_files"):
+            stored = table(spark, layout, which)
+            live = stored.folders()
+            _bring(spark, f"{name}_files", {f.path for f in live}, {f.path for f in stored.folders(back=1)},
+                   lambda: spark.sql(f"CREATE OR REPLACE VIEW {name} AS {_live_rows(which, f'{name}_files', live)}"))
 
 
-def refresh(spark: SparkSession, layout: Layout) -> None:
-    """Bring the tables that ``register`` made for this layout up to date, by the folders that changed."""
-    for name, _, _, _, wanted in _external(spark, layout):
-        if not spark.catalog.tableExists(name) or spark.sql(f"SHOW TBLPROPERTIES {name}").where(
-                (F.col("key") == _ROOT) & (F.col("value") == layout.root)).isEmpty():
-            continue
-        known = {row.partition for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
-        # Old folders go first: a reader in between misses rows for a moment, but sees none twice.
-        _alter(spark, f"ALTER TABLE {name} DROP IF EXISTS", known - wanted, ", ")
-        _alter(spark, f"ALTER TABLE {name} ADD IF NOT EXISTS", wanted - known, " ")
-        spark.catalog.refreshTable(name)
+def _registered(spark: SparkSession, layout: Layout, name: str) -> bool:
+    return spark.catalog.tableExists(name) and not spark.sql(f"SHOW TBLPROPERTIES {name}").where(
+        (F.col("key") == _ROOT) & (F.col("value") == layout.root)).isEmpty()
+
+
+def _bring(
+    spark: SparkSession, name: str, wanted: set[str], spared: Iterable[str] = (), switch: Callable[[], object] = lambda: None,
+) -> None:
+    known = {row.partition for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    _alter(spark, f"ALTER TABLE {name} ADD IF NOT EXISTS", wanted - known, " ")
+    spark.catalog.refreshTable(name)
+    switch()
+    _alter(spark, f"ALTER TABLE {name} DROP IF EXISTS", known - wanted - set(spared), ", ")
+    spark.catalog.refreshTable(name)
+
+
+def _live_rows(which: Conformed, source: str, live: list[Folder]) -> str:
+    """The rows of these folders, as SQL.
+
+    Where the days of folders are known, they are joined by folder and day with the days each has. A condition on the day
+    then holds for these days too, and Spark opens only the folders left (dynamic partition pruning).
+    """
+    columns = ", ".join(which.schema.fieldNames())
+    dated = [f for f in live if f.days and f.days[0]]
+    parts = [f"SELECT {columns} FROM {source} WHERE {_any_of(f for f in live if f.days is None)}"]
+    if which.day:
+        parts.append(f"SELECT {columns} FROM {source} WHERE {which.day} IS NULL AND {_any_of(f for f in live if f.days and f.days[2])}")
+    if dated:
+        values = ", ".join(f"('{f.commit}', '{f.slice}', DATE'{f.days[0]}', DATE'{f.days[1]}')" for f in dated)
+        days = ("SELECT commit AS __commit, slice AS __slice, explode(sequence(first, last)) AS __day "
+                f"FROM VALUES {values} AS held (commit, slice, first, last)")
+        parts.append(f"SELECT {columns} FROM {source} JOIN ({days}) "
+                     f"ON commit = __commit AND slice = __slice AND {which.day} = __day")
+    return " UNION ALL ".join(parts)
+
+
+def _any_of(folders: Iterable[Folder]) -> str:
+    names = ", ".join(f"'{f.commit}/{f.slice}'" for f in folders)
+    return f"concat(commit, '/', slice) IN ({names})" if names else "false"
 
 
 def _alter(spark: SparkSession, statement: str, folders: set[str], between: str) -> None:

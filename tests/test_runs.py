@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,3 +144,72 @@ def test_reconciliation_difference_is_the_rejected_rows(spark, landing, layout):
     got = runs.run_end_to_end(spark, layout, str(landing))
     counts = {r.table_name: r.row_count for r in got.where(F.col("row_count") > 0).collect()}
     assert counts == {"raw_customer": 3, "customer": 1}
+
+
+@pytest.fixture
+def registered(spark, landing, layout):
+    """Three months of orders, one without a day, known to SQL."""
+    def order(number, day, product=1, amount=1.0):
+        return (f"T{number}", 1, product, 1, "Online", amount, day and dt.date.fromisoformat(day), "Card")
+
+    def put(name, *orders):
+        spark.createDataFrame(list(orders), files.ORDERS.schema).coalesce(1).write.parquet(str(landing / f"Order/{name}"))
+        runs.run_loads(spark, layout, str(landing))
+
+    (landing / "Customer/a.csv").write_text("a,b,c,d,e,f,g,h,i\n1,n,e@x,US,Regular,2024-01-01,20,M,1\n")
+    (landing / "Product/a.json").write_text('[{"product_id": 1, "name": "Pen", "category": "Office", "price": 1.0}]')
+    put("a", order(1, "2024-01-10"), order(2, "2024-02-10"), order(3, "2024-03-10"))
+    runs.run_merges(spark, layout)
+    runs.register(spark, layout)
+    yield put, order
+    for name in ("bronze", "silver", "gold"):
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def spoil(folder):
+    """Make the files of a folder unreadable, so that whoever opens one fails."""
+    for file in folder.iterdir():
+        file.unlink() if file.name.endswith(".crc") else file.write_text("spoilt")
+
+
+@pytest.mark.parametrize("condition", [
+    "transaction_date >= DATE'2024-02-01'", "transaction_date BETWEEN '2024-02-01' AND '2024-03-31'"])
+def test_a_filter_by_day_opens_its_folders_only(spark, layout, registered, condition):
+    from pathlib import Path
+
+    data = Path(layout.conformed("orders")) / "data"
+    (january,) = data.glob("commit=*/slice=2024-01")
+    spoil(january)
+    with pytest.raises(Exception, match="(?i)parquet"):
+        spark.sql("SELECT sum(total_sales) FROM gold.vw_daily_sales_analysis").collect()
+    shown = spark.sql(f"SELECT transaction_date FROM gold.vw_daily_sales_analysis WHERE {condition}")
+    assert [str(r[0]) for r in shown.orderBy("transaction_date").collect()] == ["2024-02-10", "2024-03-10"]
+    months = spark.sql("SELECT purchase_month FROM gold.vw_customer_product_affinity WHERE purchase_month >= DATE'2024-02-01'")
+    assert months.count() == 2
+    got = runs.daily_sales(spark, layout, dt.date(2024, 2, 1), dt.date(2024, 3, 31))
+    assert got.count() == 2 and not any("slice=2024-01" in file for file in got.inputFiles())
+    assert runs.customer_affinity(spark, layout, dt.date(2024, 3, 1)).count() == 1
+
+
+def test_readers_by_sql_see_one_version(spark, layout, registered, monkeypatch):
+    """Before each statement of a refresh, readers see all the old rows or all the new ones."""
+    put, order = registered
+    text = "SELECT transaction_id, total_amount FROM silver.orders"
+    old, began, seen, real = rows(spark.sql(text)), spark.sql(text), [], spark.sql
+
+    def watching(statement, *args, **options):
+        if statement.startswith(("ALTER", "CREATE")):
+            seen.append(rows(real(text)))
+            assert real("SELECT count(*) FROM silver.customer").first()[0] == 1
+        return real(statement, *args, **options)
+
+    put("b", order(2, "2024-02-10", amount=7.0), order(4, None), order(5, "2024-04-01"))
+    monkeypatch.setattr(spark, "sql", watching)
+    runs.run_merges(spark, layout)
+    monkeypatch.undo()
+    new = rows(runs.table(spark, layout, runs.ORDERS).read().select("transaction_id", "total_amount"))
+    assert rows(spark.sql(text)) == new and new != old and len(new) == 5
+    assert len(seen) > 2 and all(state in (old, new) for state in seen)
+    assert rows(began) == old  # a reader that began before
+    assert [r[0] for r in spark.sql("SELECT transaction_id FROM silver.orders WHERE transaction_date IS NULL").collect()] == ["T4"]
+    assert rows(runs.daily_sales(spark, layout)) == rows(spark.sql("SELECT * FROM gold.vw_daily_sales_analysis"))

@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 
 import pytest
@@ -197,3 +198,53 @@ def test_slice_names_are_safe_folder_names(spark, tmp_path, frame):
     table.merge(frame(("a", "2024-01-05", 3)))
     assert content(table) == [("a", "2024-01-05", 3), ("b", None, 2)]
     assert set(live(table)) == {"2024_01_a_b_", "undated"}
+
+
+@pytest.fixture
+def dated(spark, tmp_path, frame):
+    table = SnapshotTable(spark, str(tmp_path / "orders"), SCHEMA, "k", by_date("day"), "day")
+    table.merge(frame(("a", "2024-01-05", 1), ("b", "2024-02-05", 2), ("c", "2024-03-07", 3), ("d", "2024-03-09", 4), ("e", None, 5)))
+    return table
+
+
+def folders_listed(df):
+    return {file.split("slice=")[1].split("/")[0] for file in df.inputFiles()}
+
+
+def test_a_range_of_days_lists_its_folders_only(dated, frame):
+    day = dt.date.fromisoformat
+    got = dated.read(day("2024-02-01"), day("2024-03-08"))
+    assert folders_listed(got) == {"2024-02", "2024-03"} and {r.k for r in got.collect()} == {"b", "c"}
+    assert {r.k for r in dated.read(day("2024-03-08")).collect()} == {"d"}
+    assert {r.k for r in dated.read(last=day("2024-02-05")).collect()} == {"a", "b"}
+    late = dated.read(day("2024-03-08"), undated=True)
+    assert folders_listed(late) == {"2024-03", "undated"} and {r.k for r in late.collect()} == {"d", "e"}
+    assert dated.read(day("2025-01-01")).count() == 0
+    # A merge moves a row to another month, and days follow.
+    dated.merge(frame(("a", "2024-06-30", 9)))
+    assert {r.k for r in dated.read(day("2024-06-01")).collect()} == {"a"}
+    assert dated.read(last=day("2024-01-31")).count() == 0
+    assert {f.slice: f.days for f in dated.folders()}["2024-03"] == ("2024-03-07", "2024-03-09", False)
+
+
+def test_folders_of_unknown_days_are_read(dated, spark, tmp_path, frame):
+    """As written before days were kept."""
+    plain = SnapshotTable(spark, str(tmp_path / "plain"), SCHEMA, "k", by_date("day"))
+    plain.merge(frame(("a", "2024-01-05", 1), ("b", "2024-02-05", 2)))
+    later = SnapshotTable(spark, plain.path, SCHEMA, "k", by_date("day"), "day")
+    later.merge(frame(("c", "2024-03-05", 3)))
+    got = later.read(dt.date(2024, 2, 1), dt.date(2024, 2, 28))
+    assert [r.k for r in got.collect()] == ["b"] and folders_listed(got) == {"2024-01", "2024-02"}
+    with pytest.raises(ValueError, match="no day"):
+        plain.read(dt.date(2024, 2, 1))
+
+
+def test_old_versions_are_dropped_in_time(table, frame, spark, monkeypatch):
+    for i in range(4):
+        table.merge(frame(("a", "2024-01-05", i)))
+    table.drop_history()
+    assert len(storage.names(spark, f"{table.path}/log")) == 5  # a writer may still be at work
+    monkeypatch.setattr(snapshot, "ABANDONED_AFTER", 0)
+    table.drop_history()
+    assert storage.names(spark, f"{table.path}/log") == ["000000003.json", "000000004.json"]
+    assert content(table) == [("a", "2024-01-05", 3)] and table.version() == 4
