@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from stratum import schemas
+from stratum import schemas, storage
+from stratum.streaming import changefeed
 from stratum.streaming.changefeed import ChangeFeed
 
 SCHEMA = schemas.struct(id=schemas.LONG, batch_id=schemas.TEXT)
@@ -109,3 +110,42 @@ def test_pending_counts_without_reading_columns(table, feed_of):
     table[1](0, 3, "x")
     plan = feed_of().pending().agg(F.count(F.lit(1)))._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<>" in plan
+
+
+def test_only_pending_folders_are_listed(spark, table, feed_of, monkeypatch):
+    path, add = table
+    feed = feed_of()
+    for batch in "abcd":
+        add(0, 2, batch)
+        drain(feed)
+    add(2, 4, "e")
+    touched, names, lister = [], storage.names, changefeed.list_files
+    monkeypatch.setattr(storage, "names", lambda s, p: touched.append(p) or names(s, p))
+    monkeypatch.setattr(changefeed, "list_files", lambda s, paths, *rest: touched.extend(paths) or lister(s, paths, *rest))
+    opened = []
+    feed.consume(lambda rows, d: opened.extend(rows.inputFiles()))
+    assert len(opened) >= 1 and all("batch_id=e" in file for file in opened)
+    assert {p for p in touched if p.startswith(f"{path}/")} == {f"{path}/batch_id=e"}
+    assert tuple(feed.offset().first())[:2] == (4, 5)
+
+
+def test_some_batches_at_a_time(table, feed_of):
+    for i, batch in enumerate("abc"):
+        table[1](i, i + 1, batch)
+    got = []
+    assert feed_of().consume(lambda rows, d: got.append((d.epoch, rows.count())), batches_per_call=2) == 2
+    assert got == [(0, 2), (1, 1)]
+
+
+def test_folders_without_files_and_folders_that_vanish(spark, table, feed_of, monkeypatch):
+    path, add = table
+    feed = feed_of()
+    storage.make_dir(spark, f"{path}/batch_id=empty")
+    assert drain(feed) == [] and feed.pending().count() == 0
+    add(0, 3, "x")
+    with pytest.raises(ZeroDivisionError):
+        feed.consume(lambda rows, d: 1 / 0)
+    storage.remove(spark, f"{path}/batch_id=x")  # as when the raw table is recreated
+    add(5, 6, "y")
+    assert feed.pending().count() == 1
+    assert drain(feed) == [(5, "y")] and drain(feed) == []
