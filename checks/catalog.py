@@ -47,6 +47,16 @@ def affinity(spark: SparkSession, sf: str, folded: bool = False) -> DataFrame:
     return marts.customer_affinity(customer, orders, product, MONEY)
 
 
+def trend(spark: SparkSession, sf: str) -> DataFrame:
+    """From the orders themselves, newest first; the folded row makes the same report of the whole mart."""
+    orders, product, customer = _dimensions(spark, sf, folded=False)
+    day = F.col("transaction_date")
+    first, last = orders.agg(F.min(day), F.max(day)).first()
+    return reports.daily_trend_backwards(
+        lambda start: orders.where((day >= F.lit(start)) | day.isNull()), first and (first, last), product, customer,
+        money_type=MONEY)
+
+
 def _mart_queries(folded: bool) -> dict[str, Query]:
     """The marts and the reports over them, on real keys or on folded ones."""
     day = functools.partial(daily, folded=folded)
@@ -57,7 +67,7 @@ def _mart_queries(folded: bool) -> dict[str, Query]:
         "top_products": lambda s, sf: reports.top_products(day(s, sf), money_type=MONEY),
         "revenue_by_segment": lambda s, sf: _rounded(
             reports.revenue_by_segment(day(s, sf), money_type=MONEY), "avg_basket_size"),
-        "daily_trend": lambda s, sf: reports.daily_trend(day(s, sf), money_type=MONEY),
+        "daily_trend": (lambda s, sf: reports.daily_trend(day(s, sf), money_type=MONEY)) if folded else trend,
         "top_customers": lambda s, sf: _rounded(
             reports.top_customers(pair(s, sf), money_type=MONEY), "avg_order_value"),
         "category_by_segment": lambda s, sf: reports.category_by_segment(pair(s, sf), money_type=MONEY),

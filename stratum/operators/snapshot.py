@@ -119,6 +119,15 @@ class SnapshotTable:
         return [Folder(commit, part, tuple(days[f"{commit}/{part}"]) if f"{commit}/{part}" in days else None)
                 for commit, part in state["live"]]
 
+    def span(self) -> tuple[dt.date, dt.date] | None:
+        """First and last day of all rows; None if no row has one. Reads rows only where the days of a folder are unknown."""
+        folders = self.folders()
+        ends = [dt.date.fromisoformat(day) for f in folders if f.days and f.days[0] for day in f.days[:2]]
+        unknown = [[f.commit, f.slice] for f in folders if f.days is None]
+        if unknown:
+            ends += [d for d in self._scan(unknown).agg(F.min(self.day), F.max(self.day)).first() if d is not None]
+        return (min(ends), max(ends)) if ends else None
+
     def _versions(self) -> list[str]:
         return storage.names(self.spark, f"{self.path}/log")
 

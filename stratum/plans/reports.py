@@ -6,9 +6,14 @@ sort ends in columns that make it total, so the cut is repeatable.
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratum.plans import marts
+
 # Report lengths.
 TOP_PRODUCTS, TREND_DAYS, TOP_CUSTOMERS, REPEAT_BUYERS = 10, 30, 10, 20
 
@@ -46,11 +51,49 @@ def daily_trend(daily: DataFrame, days: int = TREND_DAYS, money_type: str | None
     day = F.col("transaction_date")
     newest = F.desc_nulls_first("transaction_date")
     oldest_shown = daily.select(day).distinct().orderBy(newest).limit(days).agg(F.min(day)).scalar()
-    return daily.where((day >= oldest_shown) | day.isNull()).groupBy("transaction_date").agg(
+    return daily_totals(daily.where((day >= oldest_shown) | day.isNull()), days, money_type)
+
+
+def daily_totals(daily: DataFrame, days: int, money_type: str | None = None) -> DataFrame:
+    """The newest days of these mart rows; no day counts as the newest."""
+    return daily.groupBy("transaction_date").agg(
         _money("total_sales", money_type).alias("daily_revenue"),
         F.sum("total_quantity").alias("daily_units_sold"),
         F.sum("num_transactions").alias("daily_transactions"),
-    ).orderBy(newest).limit(days)
+    ).orderBy(F.desc_nulls_first("transaction_date")).limit(days)
+
+
+# How much further back each look goes when the last one did not find enough days.
+_WIDER = 4
+
+
+def daily_trend_backwards(
+    since: Callable[[dt.date], DataFrame], span: tuple[dt.date, dt.date] | None, product: DataFrame, customer: DataFrame,
+    days: int = TREND_DAYS, money_type: str | None = None,
+) -> DataFrame:
+    """``daily_trend`` without a look at the whole history.
+
+    ``since(day)`` gives the orders from that day on and those without a day, ``span`` the first and the last day of all
+    (None if no order has one). Looks at the newest orders first: they are semi-joined with the two key columns to see on
+    which days something was sold, and only if these are fewer than asked for does the next look go further back. The
+    mart is then made of the days shown alone. All looks together read at most about a third more than the last one.
+    """
+    day = F.col("transaction_date")
+    first, newest = span or (dt.date.max, dt.date.max)
+    width = max(days, 1)
+    while True:
+        start = max(first, newest - dt.timedelta(days=min(width - 1, (newest - first).days)))
+        sold = since(start).select("transaction_date", "product_id", "customer_id")
+        for table, key in ((product, "product_id"), (customer, "customer_id")):
+            sold = sold.join(table.select(key), key, "left_semi")
+        # No more rows than the report has.
+        shown = sold.select(day).distinct().orderBy(F.desc_nulls_first(day)).limit(days).collect()
+        if len(shown) >= days or start == first:
+            break
+        width *= _WIDER
+    dated = [row[0] for row in shown if row[0] is not None]
+    orders = since(min(dated)) if dated else since(newest).where(day.isNull())
+    return daily_totals(marts.daily_sales(orders, product, customer, money_type), days, money_type)
 
 
 def top_customers(affinity: DataFrame, n: int = TOP_CUSTOMERS, money_type: str | None = None) -> DataFrame:

@@ -18,7 +18,7 @@ from stratum.functions import cleaning
 from stratum.layout import Layout
 from stratum.operators.snapshot import Folder, SnapshotTable, by_date, by_hash, one_slice
 from stratum.operators.upsert import UpsertStats
-from stratum.plans import marts, quality
+from stratum.plans import marts, quality, reports
 from stratum.sources import files
 from stratum.sources.files import Source
 from stratum.streaming import loads
@@ -165,6 +165,13 @@ def customer_affinity(
     return marts.customer_affinity(table(spark, layout, CUSTOMER).read(), orders, table(spark, layout, PRODUCT).read())
 
 
+def daily_trend(spark: SparkSession, layout: Layout, days: int = reports.TREND_DAYS) -> DataFrame:
+    """The most recent days that have sales; slices of orders older than these are not listed."""
+    orders = table(spark, layout, ORDERS)
+    product, customer = (table(spark, layout, which).read() for which in (PRODUCT, CUSTOMER))
+    return reports.daily_trend_backwards(lambda day: orders.read(day, undated=True), orders.span(), product, customer, days)
+
+
 def register(spark: SparkSession, layout: Layout) -> None:
     """Make everything known to SQL: ``bronze.raw_*`` as external tables, ``silver.*`` as views of the current version,
     ``gold.vw_*`` as views that are computed on each access.

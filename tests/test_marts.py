@@ -168,6 +168,25 @@ def test_daily_trend_scans_recent_orders_only(spark, small, tmp_path):
     assert "transaction_date" in scan.split("DataFilters")[1] and "Subquery" in scan
 
 
+@pytest.mark.parametrize("days", [1, 3, 500])
+def test_daily_trend_backwards_is_the_same(spark, small, days):
+    """Sales thin out, so that several looks are needed; the newest days have no sale of a known product at all."""
+    orders, product, customer = small
+    day = F.col("transaction_date")
+    orders = orders.where((F.day(day) % 9 == 0) | (F.col("product_id") == 98))
+    undated = orders.limit(9).withColumn("transaction_date", F.lit(None).cast("date"))
+    for given in (orders, orders.unionByName(undated), undated, orders.limit(0)):
+        looks, (first, last) = [], given.agg(F.min(day), F.max(day)).first()
+
+        def since(start, given=given, looks=looks):
+            looks.append(start)
+            return given.where((day >= F.lit(start)) | day.isNull())
+
+        got = reports.daily_trend_backwards(since, first and (first, last), product, customer, days).collect()
+        assert got == reports.daily_trend(marts.daily_sales(given, product, customer), days).collect()
+        assert looks[:-1] == sorted(looks[:-1], reverse=True) and (days > 3 or first is None or first not in looks[:-1])
+
+
 def test_counters_are_null_when_nothing_is_bad(spark):
     orders = spark.createDataFrame([("a", 1, 1, 1, "Online", 2.0, DAY, "Card"), ("b", 1, 1, 1, "Online", 3.0, DAY, "Card")], schemas.ORDER)
     assert tuple(quality.profile_orders(orders).first()) == (2, None, None, 2.0, 3.0, DAY, DAY, 1, 1)

@@ -189,6 +189,9 @@ def test_a_filter_by_day_opens_its_folders_only(spark, layout, registered, condi
     got = runs.daily_sales(spark, layout, dt.date(2024, 2, 1), dt.date(2024, 3, 31))
     assert got.count() == 2 and not any("slice=2024-01" in file for file in got.inputFiles())
     assert runs.customer_affinity(spark, layout, dt.date(2024, 3, 1)).count() == 1
+    trend = runs.daily_trend(spark, layout, 2)
+    assert [str(r[0]) for r in trend.collect()] == ["2024-03-10", "2024-02-10"]
+    assert not any("slice=2024-01" in file for file in trend.inputFiles())
 
 
 def test_readers_by_sql_see_one_version(spark, layout, registered, monkeypatch):
