@@ -243,6 +243,7 @@ QUERIES: dict[str, Query] = {
     "ingest_csv_roundtrip": lambda s, sf: scenarios.round_trip(s, raw(s, sf, "customer"), runs.CUSTOMER),
     "ingest_json_roundtrip": lambda s, sf: scenarios.round_trip(s, raw(s, sf, "product"), runs.PRODUCT),
     "ingest_parquet_roundtrip": lambda s, sf: scenarios.round_trip(s, raw(s, sf, "orders"), runs.ORDERS),
+    "ingest_parquet_mixed_types": lambda s, sf: scenarios.mixed_types(s, raw(s, sf, "orders")),
     "ingest_row_numbers": lambda s, sf: scenarios.row_numbers(s, raw(s, sf, "customer"), runs.CUSTOMER),
     "pending_rows": lambda s, sf: scenarios.pending(s, _all_raw(s, sf)),
     "feed_incremental_upsert": feed_incremental_upsert,

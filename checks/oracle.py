@@ -288,6 +288,7 @@ UNION ALL SELECT row_id, 'date_txt', date_txt FROM raw_text WHERE date_txt IS NO
 FROM raw_customer""",
     "ingest_json_roundtrip": "SELECT * FROM raw_product",
     "ingest_parquet_roundtrip": "SELECT * FROM raw_order",
+    "ingest_parquet_mixed_types": "SELECT * FROM raw_order",
     "ingest_row_numbers": "SELECT count(*) AS row_count, true AS numbered_from_one FROM raw_customer",
     "pending_rows": _PENDING,
     "ingest_json_bad_elements": "SELECT * FROM raw_product WHERE product_id % 10 <> 0",

@@ -104,6 +104,20 @@ def round_trip(spark: SparkSession, rows: DataFrame, which: runs.Conformed) -> D
     return space.raw(source).select(*source.schema.fieldNames())
 
 
+def mixed_types(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Orders in files of three kinds, loaded at once: as declared; all text; other types, columns in another order."""
+    space, source = Workspace(spark), files.ORDERS
+    kind = F.pmod(F.xxhash64(*rows.columns), F.lit(3))
+    as_text = [F.col(c).cast("string").alias(c) for c in rows.columns]
+    other = {"quantity": "long", "product_id": "string", "transaction_date": "timestamp"}
+    as_other = [F.col(c).cast(other[c]).alias(c) if c in other else F.col(c) for c in reversed(rows.columns)]
+    space.landing.write(source, rows.where(kind == 0))
+    space.landing.write(source, rows.where(kind == 1).select(*as_text))
+    space.landing.write(source, rows.where(kind == 2).select(*as_other))
+    space.load(source)
+    return space.raw(source).select(*source.schema.fieldNames())
+
+
 def spread_products() -> Column:
     """Which products go over several lines."""
     return F.coalesce(F.col("product_id") % 3 == 1, F.lit(True))
