@@ -429,8 +429,8 @@ def scores(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     Words are runs of anything but ASCII white space, A-Z in lower case; the end of a text counts as one more token,
     so a missing or empty text has one. ``n_known`` are the tokens that occur in training. ``base_score`` is the log10
     probability by smoothed word frequencies, ``score`` that of the class model, ``perplexity`` the latter per token.
-    All unknown words count as one word. Repeated rows are returned as often as they come. Extra columns are not
-    looked at.
+    All unknown words count as one word. Repeated rows are returned as often as they come. An empty table gives no row.
+    Extra columns are not looked at.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     part = pa.struct([("doc_id", to_arrow_type(docs.schema["doc_id"].dataType)), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()),

@@ -76,7 +76,8 @@ def format_conversations(conversations: DataFrame, stretch: int = STRETCH) -> Da
 
     One row per conversation; one of more than ``stretch`` turn numbers has a row, ``part``, for each stretch of them,
     to be read in order of ``part``. ``n_turns`` counts the turns of the row. Equal conversations are returned once,
-    with the smallest id (without an id only if none has one). Extra columns are not looked at.
+    with the smallest id (without an id only if none has one). An empty table gives no row. Extra columns are not looked
+    at.
     """
     turns = stored(rolling(conversations, stretch))
     kept = maximal(turns).withColumnRenamed("conv_id", "kept_id")

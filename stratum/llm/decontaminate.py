@@ -255,7 +255,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, o
     ``contaminated``: at least one word is hit, and at least one in ``one_in``.
 
     A missing text has no words. Windows of items without id are searched for but not listed. Repeated items count
-    once, repeated documents each. Other columns of either table are not looked at.
+    once, repeated documents each. With an empty benchmark nothing is hit, and an empty table of documents gives no row.
+    Other columns of either table are not looked at.
     """
     spark = docs.sparkSession
     items = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text"))

@@ -265,7 +265,8 @@ def search(table: DataFrame, queries: Column, k: int, trees: int = TREES, leaf:
     ``query_id, rank, vec_id, score``: the ``k`` found with the largest inner product (all, if there are fewer), ties to
     the smaller id. Rows take no part without vec_id, without vector, with a vector of another length than most, with a
     component that is null or not finite, or with zeros only. A row is not a candidate for its own id; repeated rows
-    count once. Extra columns are not looked at.
+    count once. Of an id with several different vectors each asks and each is a candidate: the id may take several ranks,
+    and as a query get fewer than ``k`` rows. An empty table, or no query, gives no row. Extra columns are not looked at.
     """
     spark = table.sparkSession
     rows = table.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("vector")).where("vec_id IS NOT NULL")

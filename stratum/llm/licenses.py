@@ -187,7 +187,7 @@ def scan(docs: DataFrame, templates: DataFrame | None = None, min_containment: f
     of matches. Rows without doc_id take part. Extra columns are not looked at. Templates are rows ``license, text`` of
     at least five words and at most ``MAX_SHINGLES`` shingles, and at most ``MAX_TEMPLATES``; others are an error. Without
     ``strict`` there may be any number of any length, as of whole license texts; those of fewer than five words or
-    without a text match nothing.
+    without a text match nothing. An empty table of either kind gives no row.
     """
     templates = (default_templates(docs.sparkSession) if templates is None else templates).select("license", "text")
     parts = [_matches(docs, part, min_containment, strict) for part in ([templates] if strict else _groups(templates))]

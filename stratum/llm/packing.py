@@ -196,7 +196,8 @@ def shards_for(docs: DataFrame, length: int = LENGTH, pieces: int = PIECES_PER_S
 def packed(docs: DataFrame, load=None, length: int = LENGTH, end: int = END, with_ids: bool = True) -> DataFrame:
     """The documents' pieces in sequences: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` (and ``ids``).
 
-    Missing and empty texts are documents of one token. Rows without doc_id and repeated rows are packed like others.
+    Missing and empty texts are documents of one token. Rows without doc_id and repeated rows are packed like others. An
+    empty table gives no row.
     Extra columns are not looked at.
     """
     pieces = tokenized(docs, load, length, end).withColumn("ids_crc32", F.crc32("ids"))

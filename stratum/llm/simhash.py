@@ -234,7 +234,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BI
     Fingerprints at most ``max_bits`` apart are linked; ``component_id`` is the smallest doc_id reachable over links.
     Texts that are missing, empty or without words have fingerprint 0, which links like any other. Rows without doc_id
     take part and get the smallest id of their component (null if there is none). Repeated rows are returned as often
-    as they come. Extra columns are not looked at.
+    as they come. An empty table gives no row. Extra columns are not looked at.
     """
     rows = stored(docs.select("doc_id", fingerprint(F.col("text"), size).alias("fp")))
     return rows.join(classes(rows, max_bits), "fp").select(
@@ -244,7 +244,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BI
 def keep_one(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The documents, one of each component: that with the smallest doc_id (then by a hash of id and text).
 
-    All columns stay as they are. Rows without doc_id are kept only if their component has none with one.
+    All columns stay as they are. Rows without doc_id are kept only if their component has none with one. An empty table
+    gives no row.
     """
     whole = docs.select(F.struct("*").alias("row"))
     keyed = whole.select("row", row_key("row.doc_id", "row.text").alias("k"))

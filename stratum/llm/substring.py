@@ -306,7 +306,7 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, joined: bool = False
     that occurs at another place, of the same document or another one, is removed. ``kept`` is the text without these
     words and the space behind each, otherwise unchanged; with ``joined`` it is the words that stay, joined by one
     space. Repeated rows are places of their own, so they remove one another. A missing text has no words and an empty
-    ``kept``. Documents shorter than a window stay as they are.
+    ``kept``. Documents shorter than a window stay as they are. An empty table gives no row.
     """
     names = [f"c{i}" for i in range(len(docs.columns))]
     text = names[docs.columns.index("text")]

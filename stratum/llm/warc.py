@@ -201,7 +201,7 @@ def write_archive(pages: DataFrame, folder: str | None = None, min_bytes: int =
     A missing html is an empty payload, a missing url an empty key. Of the pages with one payload of at least
     ``min_bytes`` that with the largest page_id is a response and the others are revisits of it; smaller payloads and
     those of pages without any page_id are all responses. If the row of the largest page_id is repeated, each is a
-    response. Extra columns are not looked at.
+    response. An empty table gives an archive without records. Extra columns are not looked at.
     """
     folder = folder or work_root(pages.sparkSession)
     payload = F.coalesce("html", F.lit(""))

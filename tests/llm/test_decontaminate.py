@@ -88,6 +88,18 @@ def test_empty_tables(spark):
     assert [r.n_hit for r in decontaminate.contamination(documents(spark, [(1, "a b")]), none).collect()] == [0]
 
 
+def test_very_long_texts(spark):
+    """Two megabytes each: words without a window, and one window over and over with something between."""
+    phrase = " ".join(f"q{i}" for i in range(13))
+    filler = " ".join(f"w{i % 977}" for i in range(300_000))
+    rows = [(1, f"{filler} {phrase} {filler} {phrase}"), (2, f"{phrase} x " * 40_000), (3, "a" * 2_000_000), (4, "a " * 1_000_000), (5, phrase)]
+    items = [(7, phrase), (8, "a a a")]
+    found = {r.row.doc_id: r for r in decontaminate.contamination(documents(spark, rows), spark.createDataFrame(items, ITEMS)).collect()}
+    assert {i: (r.n_words, r.n_hit, list(r.items), r.contaminated) for i, r in found.items()} == {
+        1: (600_026, 26, [7], False), 2: (560_000, 520_000, [7], True), 3: (1, 0, [], False),
+        4: (1_000_000, 1_000_000, [8], True), 5: (13, 13, [7], True)}
+
+
 def test_suffixes_are_in_order():
     rng = np.random.default_rng(0)
     for _ in range(30):
