@@ -116,14 +116,23 @@ class ChangeFeed:
 
     def _last_epoch(self) -> int:
         plans = storage.names(self.spark, self._plans())
-        return int(plans[-1].removesuffix(".json")) if plans else -1
+        if plans:
+            return int(plans[-1].removesuffix(".json"))
+        done = [int(name.removeprefix("epoch=")) for name in storage.names(self.spark, self._consumed())]
+        # The one after the last may have reached the sink; its number is not given to other rows.
+        return max(done, default=-1) + 1 if self._was_streamed() else -1
+
+    def _was_streamed(self) -> bool:
+        """Whether the position began as that of a file stream, as in earlier releases; only the ledger has its files."""
+        return storage.exists(self.spark, f"{self.position.generation()}/checkpoint")
 
     def _unfinished(self) -> list[str]:
         """Folders of the last planned delivery, if it did not come to its end."""
         epoch = self._last_epoch()
-        if epoch < 0 or storage.exists(self.spark, f"{self._consumed()}/epoch={epoch}/_SUCCESS"):
+        planned = f"{self._plans()}/{epoch:09d}.json"
+        if not storage.exists(self.spark, planned) or storage.exists(self.spark, f"{self._consumed()}/epoch={epoch}/_SUCCESS"):
             return []
-        return json.loads(storage.read_text(self.spark, f"{self._plans()}/{epoch:09d}.json"))["folders"]
+        return json.loads(storage.read_text(self.spark, planned))["folders"]
 
     def _unplanned(self) -> list[str]:
         """Folders of the table that no delivery has taken. One listing gives the folders; those taken are looked up by
@@ -131,7 +140,11 @@ class ChangeFeed:
         held = [name for name in storage.names(self.spark, self.table_path) if name.startswith(f"{BATCH}=")]
         if not held or self._last_epoch() < 0:
             return held
-        taken = self.spark.read.schema(PLANNED).json(self._plans()).select(F.explode("folders").alias("folder"))
+        taken = self.spark.createDataFrame([], "folder string")
+        if storage.exists(self.spark, self._plans()):
+            taken = self.spark.read.schema(PLANNED).json(self._plans()).select(F.explode("folders").alias("folder"))
+        if self._was_streamed():
+            taken = taken.union(self._seen().select(F.regexp_extract("path", f"/({BATCH}=[^/]*)/", 1)))
         folders = self.spark.createDataFrame([(name,) for name in held], "folder string")
         return sorted(row.folder for row in folders.join(taken, "folder", "left_anti").collect())
 

@@ -149,3 +149,21 @@ def test_folders_without_files_and_folders_that_vanish(spark, table, feed_of, mo
     add(5, 6, "y")
     assert feed.pending().count() == 1
     assert drain(feed) == [(5, "y")] and drain(feed) == []
+
+
+def test_a_position_of_an_earlier_release_goes_on(spark, table, feed_of):
+    """Its ledger says what was consumed; the number after the last one may be in use."""
+    path, add = table
+    feed = feed_of()
+    generation = feed.position.generation()
+    add(0, 3, "x")
+    files = changefeed.list_files(spark, path, "*.parquet")
+    files.select("path", F.lit(0).cast("long").alias("epoch")).write.parquet(f"{generation}/consumed/epoch=0")
+    storage.make_dir(spark, f"{generation}/checkpoint")
+    add(3, 5, "y")
+    assert feed.pending().count() == 2
+    got = []
+    feed.consume(lambda rows, d: got.append((d.epoch, rows.count())))
+    add(5, 6, "z")
+    feed.consume(lambda rows, d: got.append((d.epoch, rows.count())))
+    assert got == [(2, 2), (3, 1)] and feed.pending().count() == 0
