@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from stratum import schemas
 from stratum.functions import casting, lineage
-from stratum.sources import elements
+from stratum.sources import elements, footers
 from stratum.storage import literal, qualified
 
 # Texts that stand for NULL in the customer files.
@@ -142,8 +142,9 @@ def read_parquet(
 ) -> DataFrame:
     """Columns of ``schema`` that the files have, by name, in the files' own types.
 
-    Footers are merged by a Spark job. If files disagree on a type, their list is halved until the files of
-    each part agree, and the parts are brought together as text.
+    Footers are merged by a Spark job. If files disagree on a type, another one tells the files' kinds apart; files whose
+    kinds agree are read together, and the parts are brought together as text. So the number of jobs follows that of
+    kinds that disagree, however many files there are and in whatever order.
     """
     reader = spark.read.options(mergeSchema=True, **_folder_options(glob))
     listed = _paths(spark, paths, landing_root)
@@ -169,8 +170,8 @@ def read_parquet(
     except (PySparkException, Py4JJavaError) as error:
         if not _cannot_merge(error):
             raise
-    files = sorted(literal(row.path) for row in list_files(spark, listed, glob).select("path").collect())
-    parts = [pick(part, as_text=True) for part in agreeing(files)]
+    groups = footers.groups_that_agree(list_files(spark, listed, glob).select("path"))
+    parts = [pick(part, as_text=True) for files in groups for part in agreeing([literal(f) for f in files])]
     return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stratum import storage
 from stratum.sources import files
-from stratum.streaming import loads
+from stratum.streaming import arrivals, loads
 from stratum.streaming.arrivals import Arrivals
 
 HEADER = "a,b,c,d,e,f,g,h,i\n"
@@ -206,3 +206,112 @@ def test_crash_after_staging_then_replay(spark, landing, layout, monkeypatch):
     assert load(spark, landing, layout).loaded == 2
     assert raw(spark, layout).count() == 2
     assert storage.names(spark, layout.staging("raw_customer")) == []
+
+
+def names_of(spark, folder, state, **options):
+    """Names handed over by one run, per hand-over."""
+    got = []
+    Arrivals(spark, str(folder), "*.csv", str(state)).run(
+        lambda d: got.append((d.epoch, sorted(os.path.basename(p) for p in d.paths()))), **options)
+    return got
+
+
+def aged(folder, name, seconds):
+    (folder / name).write_text(HEADER)
+    os.utime(folder / name, (seconds, seconds))
+
+
+def test_batches_go_by_age_and_name(spark, landing, tmp_path):
+    folder = landing / "Customer"
+    for name, seconds in [("c.csv", 100), ("a.csv", 300), ("d.csv", 200), ("b.csv", 200), ("e f+%41.csv", 200)]:
+        aged(folder, name, seconds)
+    got = names_of(spark, folder, tmp_path / "state", files_per_batch=2)
+    assert got == [(0, ["b.csv", "c.csv"]), (1, ["d.csv", "e f+%41.csv"]), (2, ["a.csv"])]
+    assert names_of(spark, folder, tmp_path / "state") == []
+
+
+def test_files_that_were_moved_away_stay_known(spark, landing, tmp_path):
+    folder = landing / "Customer"
+    aged(folder, "a.csv", 100)
+    assert names_of(spark, folder, tmp_path / "state") == [(0, ["a.csv"])]
+    os.rename(folder / "a.csv", tmp_path / "a.csv")
+    assert names_of(spark, folder, tmp_path / "state") == []
+    os.rename(tmp_path / "a.csv", folder / "a.csv")
+    aged(folder, "b.csv", 50)
+    assert names_of(spark, folder, tmp_path / "state") == [(1, ["b.csv"])]
+
+
+def test_failed_batch_comes_again_as_it_was(spark, landing, tmp_path):
+    folder = landing / "Customer"
+    aged(folder, "a.csv", 100)
+    position = Arrivals(spark, str(folder), "*.csv", str(tmp_path / "state"))
+
+    def fail(delivery):
+        raise OSError("lost")
+
+    with pytest.raises(OSError, match="lost"):
+        position.run(fail)
+    aged(folder, "b.csv", 50)
+    assert names_of(spark, folder, tmp_path / "state") == [(0, ["a.csv"]), (1, ["b.csv"])]
+
+
+@pytest.mark.parametrize("kind", ["offered", "taken"])
+def test_crash_around_the_record_of_a_batch(spark, landing, tmp_path, monkeypatch, kind):
+    """Names that were written but not offered are no part of what is seen; a batch not marked as taken is repeated."""
+    folder = landing / "Customer"
+    aged(folder, "a.csv", 100)
+    real = storage.write_text
+
+    def stop(spark, path, text):
+        if f"/{kind}/" in path:
+            raise OSError("lost")
+        real(spark, path, text)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(storage, "write_text", stop)
+        with pytest.raises(OSError, match="lost"):
+            names_of(spark, folder, tmp_path / "state")
+    aged(folder, "b.csv", 200)
+    got = names_of(spark, folder, tmp_path / "state")
+    assert got == ([(0, ["a.csv", "b.csv"])] if kind == "offered" else [(0, ["a.csv"]), (1, ["b.csv"])])
+    assert names_of(spark, folder, tmp_path / "state") == []
+
+
+def test_names_of_many_batches_are_folded(spark, landing, tmp_path, monkeypatch):
+    monkeypatch.setattr(arrivals, "FOLD_AFTER", 2)
+    folder, state = landing / "Customer", tmp_path / "state"
+    for i in range(7):
+        aged(folder, f"{i}.csv", 100 + i)
+        assert names_of(spark, folder, state) == [(i, [f"{i}.csv"])]
+    assert names_of(spark, folder, state) == []
+    [generation] = storage.names(spark, str(state))
+    assert len(storage.names(spark, f"{state}/{generation}/names")) <= 3
+    assert len(storage.names(spark, f"{state}/{generation}/offered")) <= 2
+    assert storage.names(spark, f"{state}/{generation}/arrived") == []
+
+
+@pytest.mark.parametrize("crash", [False, True])
+def test_position_of_a_file_stream_goes_on(spark, landing, tmp_path, crash):
+    folder, position = landing / "Customer", Arrivals(spark, str(landing / "Customer"), "*.csv", str(tmp_path / "state"))
+
+    def stream(handle):
+        (
+            spark.readStream.format("binaryFile").schema(files.FILE_INFO).options(pathGlobFilter="*.csv", recursiveFileLookup=True)
+            .load(str(folder)).select("path").writeStream.option("checkpointLocation", f"{position.generation()}/checkpoint")
+            .trigger(availableNow=True).foreachBatch(handle).start().awaitTermination()
+        )
+
+    def fail(names, epoch):
+        raise OSError("lost")
+
+    for i, name in enumerate(["a.csv", "b c+%41.csv"]):
+        aged(folder, name, 100 + i)
+        stream(lambda names, epoch: names.count())
+    if crash:
+        aged(folder, "c.csv", 300)
+        with pytest.raises(Exception, match="lost"):
+            stream(fail)
+    aged(folder, "d.csv", 10)
+    got = names_of(spark, folder, tmp_path / "state")
+    assert got == ([(2, ["c.csv"]), (3, ["d.csv"])] if crash else [(2, ["d.csv"])])
+    assert names_of(spark, folder, tmp_path / "state") == []

@@ -5,11 +5,12 @@ import json
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import DataFrameReader
 from pyspark.sql import functions as F
 
 from stratum import schemas
 from stratum.functions import casting
-from stratum.sources import files
+from stratum.sources import files, footers
 from tests.conftest import rows, shape
 
 CSV = """c1,c2,c3,c4,c5,c6,c7,c8,c9
@@ -112,6 +113,47 @@ def test_parquet_types_that_disagree_take_few_jobs(spark, landing):
     assert sorted(r.quantity for r in good.collect()) == list(range(16)) and bad.count() == 0
 
 
+@pytest.mark.parametrize("n", [8, 64])
+def test_parquet_types_that_alternate_take_jobs_per_kind(spark, landing, monkeypatch, n):
+    """Footers are merged once in vain, then once per kind, however many files there are."""
+    kinds = [pa.int32(), pa.string(), pa.int64(), pa.int32()]
+    for i in range(n):
+        kind = kinds[i % 4]
+        value = pa.array([str(i) if pa.types.is_string(kind) else i], kind)
+        extra = {"store_type": pa.array(["x"])} if i % 4 == 3 else {}
+        pq.write_table(pa.table({"quantity": value, **extra}), landing / f"Order/{i:03d} a+b.parquet")
+    real, calls = DataFrameReader.parquet, []
+
+    def parquet(self, *paths, **options):
+        calls.append(paths)
+        return real(self, *paths, **options)
+
+    monkeypatch.setattr(DataFrameReader, "parquet", parquet)
+    found = files.read_parquet(spark, str(landing / "Order"), schemas.ORDER)
+    assert len(calls) == 4
+    assert sorted(int(r.quantity) for r in found.collect()) == list(range(n))
+    assert found.where("store_type = 'x'").count() == n // 4
+
+
+def test_kinds_of_files(spark, landing):
+    pq.write_table(pa.table({"a": [1], "b": ["x"]}), landing / "Order/1.parquet")
+    pq.write_table(pa.table({"b": ["x"]}), landing / "Order/2.parquet")
+    pq.write_table(pa.table({"b": [1]}), landing / "Order/3.parquet")
+    (landing / "Order/4.parquet").write_text("no Parquet")
+    listed = files.list_files(spark, str(landing / "Order")).select("path")
+    groups = [[p[-9] for p in group] for group in footers.groups_that_agree(listed)]
+    assert groups == [["1", "2"], ["3"], ["4"]]
+    assert footers.groups_that_agree(listed.where("false")) == []
+
+
+@pytest.mark.parametrize(("path", "address"), [
+    ("file:/a b/c%.parquet", "file:///a%20b/c%25.parquet"), ("hdfs://h:8020/a", "hdfs://h:8020/a"),
+    ("s3://bucket/x=1/a", "s3://bucket/x%3D1/a"),
+])
+def test_addresses_of_files(path, address):
+    assert footers._address(path) == address
+
+
 def test_csv_other_suffix_is_skipped_but_compression_is_known(spark, landing):
     with gzip.open(landing / "Customer/a.csv.gz", "wt") as f:
         f.write(CSV)
