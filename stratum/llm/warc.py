@@ -194,16 +194,13 @@ def _write_index(folder: str):
     return write
 
 
-def write_archive(pages: DataFrame, folder: str | None = None, min_bytes: int = 0, file_bytes: int = FILE_BYTES,
-                  part_entries: int = PART_ENTRIES) -> Archive:
-    """Archives of ``pages(page_id, url, html)`` with their index, in a new folder below the shared one.
+def with_originals(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """The pages with payload, digest, and the page that each revisits.
 
-    A missing html is an empty payload, a missing url an empty key. Of the pages with one payload of at least
-    ``min_bytes`` that with the largest page_id is a response and the others are revisits of it; smaller payloads and
-    those of pages without any page_id are all responses. If the row of the largest page_id is repeated, each is a
-    response. An empty table gives an archive without records. Extra columns are not looked at.
+    The originals are one row per payload, grouped without the payloads and stored: Spark broadcasts them if their
+    measured size is small, so that no payload moves. Otherwise both sides of the join end in a shuffle of their own, and
+    AQE splits the copies of a payload that comes very often.
     """
-    folder = folder or work_root(pages.sparkSession)
     payload = F.coalesce("html", F.lit(""))
     captures = pages.select(
         F.col("page_id").cast("long").alias("page_id"), "url", url_key(F.col("url")).alias("url_key"), payload.alias("payload"),
@@ -211,8 +208,21 @@ def write_archive(pages: DataFrame, folder: str | None = None, min_bytes: int =
     latest = pages.where(F.octet_length(payload) >= min_bytes).groupBy(F.sha1(payload.cast("binary")).alias("sha1")).agg(
         F.max(F.col("page_id").cast("long")).alias("original"))
     revisit = F.col("original").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("original"))
-    records = captures.join(latest, "sha1", "left").withColumn("revisit", revisit).withColumn(
+    return captures.join(stored(latest), "sha1", "left").withColumn("revisit", revisit).withColumn(
         "refers_to", F.when(F.col("revisit"), F.col("original"))).drop("original")
+
+
+def write_archive(pages: DataFrame, folder: str | None = None, min_bytes: int = 0, file_bytes: int = FILE_BYTES,
+                  part_entries: int = PART_ENTRIES) -> Archive:
+    """Archives of ``pages(page_id, url, html)`` with their index, in a new folder below the shared one.
+
+    A missing html is an empty payload, a missing url an empty key. Of the pages with one payload of at least
+    ``min_bytes`` that with the largest page_id is a response and the others are revisits of it; smaller payloads and
+    those of pages without any page_id are all responses. If the row of the largest page_id is repeated, each is a
+    response. An empty table gives an archive without records. Extra columns are not looked at.
+    """
+    folder = folder or work_root(pages.sparkSession)
+    records = with_originals(pages, min_bytes)
     entries = stored(records.mapInArrow(_write_records(f"{folder}/records", file_bytes), ENTRY_SQL))
     parts = entries.count() // part_entries + 1
     order = ("url_key", "page_id", "file", "offset")

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratum.llm import queries, warc
+from stratum.llm.tables import stored
 
 PAGES = "page_id long, url string, html string"
 
@@ -106,3 +107,35 @@ def test_empty_table_and_given_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     rows = [tuple(r) for r in pages.select("page_id", "url", "html").collect()]
     assert tuples(queries.op6_warc_index(spark, "/root/testdata/sf0.01")) == plain(rows)
+
+
+def test_copies_of_one_payload_are_split(spark):
+    """A third of all pages are one error page: its copies are written by several tasks."""
+    page = "".join(hashlib.sha512(str(i).encode()).hexdigest() for i in range(30))
+    html = F.when(F.col("id") % 3 == 0, F.lit(page)).otherwise(F.sha2(F.col("id").cast("string"), 512))
+    pages = spark.range(3000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h/"), "id").alias("url"), html.alias("html"))
+    pages = stored(pages.repartition(16))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "5000",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        rows = warc.with_originals(pages)
+        got = rows.collect()
+        assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert len(got) == 3000
+    assert all(r.refers_to == (2997 if r.page_id % 3 == 0 and r.page_id != 2997 else None) for r in got)
+
+
+def test_few_payloads_move_no_page(spark):
+    pages = stored(spark.createDataFrame([(1, "http://a/", "x"), (2, "http://b/", "x")], "page_id long, url string, html string"))
+    plan = warc.with_originals(pages)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
