@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks import fixtures, scenarios
+from checks import fixtures, scenarios, states
 from stratum import schemas
 from stratum.functions import casting, cleaning
 from stratum.operators import upsert as merging
@@ -254,7 +254,16 @@ QUERIES: dict[str, Query] = {
     "ingest_json_row_numbers": lambda s, sf: scenarios.row_numbers(s, raw(s, sf, "product"), runs.PRODUCT),
     "ingest_parquet_row_numbers": lambda s, sf: scenarios.row_numbers(s, raw(s, sf, "orders"), runs.ORDERS),
     "ingest_csv_ragged": lambda s, sf: scenarios.ragged_csv(s, raw(s, sf, "customer")),
+    "ingest_csv_compressed": lambda s, sf: states.compressed_csv(s, raw(s, sf, "customer")),
+    "ingest_csv_quotes": lambda s, sf: states.quoted_csv(s, raw(s, sf, "customer")),
+    "ingest_json_not_utf8": lambda s, sf: states.json_not_utf8(s, raw(s, sf, "product")),
+    "ingest_lineage": lambda s, sf: states.lineage(s, raw(s, sf, "customer")),
+    "ingest_recreated": lambda s, sf: states.recreated(s, raw(s, sf, "product")),
     "cast_int_and_date": cast_int_and_date,
+    "feed_positions": lambda s, sf: states.feed_positions(s, fixtures.derived(s, sf, "raw_order_unique")),
+    "merge_messages": lambda s, sf: states.messages(s, _all_raw(s, sf)),
+    "merge_stamps": lambda s, sf: states.stamps(s, raw(s, sf, "customer")),
+    "merge_replayed": lambda s, sf: states.replayed(s, fixtures.derived(s, sf, "raw_order_unique"), runs.ORDERS),
     "feed_customer": fed(runs.CUSTOMER, "raw_customer"),
     "feed_product": fed(runs.PRODUCT, "raw_product_nulls"),
     "backfill_customer_twice": lambda s, sf: scenarios.backfilled_twice(s, raw(s, sf, "customer"), runs.CUSTOMER),

@@ -243,6 +243,29 @@ _PENDING = "WITH " + ",\n".join(_deliveries(which, raw) for which, raw, *_ in _S
     f"SELECT '{RAW[which]}' AS table_name, count(*) AS pending_rows FROM second_{which}" for which, *_ in _STATS_PARTS
 )
 
+_MESSAGES = _UPSERT_STATS[: _UPSERT_STATS.rindex("\nSELECT '" + _STATS_PARTS[0][0])] + "\n" + "\nUNION ALL ".join(
+    f"SELECT 1 AS delivery, '{which} processed: ' || (SELECT count(*) FROM {old}) || ' inserted, 0 updated' AS message UNION ALL "
+    f"SELECT 2, '{which} processed: ' || (SELECT count(*) FROM {new} s ANTI JOIN {old} t ON s.{KEYS[which]} = t.{KEYS[which]}) "
+    f"|| ' inserted, ' || (SELECT count(*) FROM {old} t SEMI JOIN {new} s ON s.{KEYS[which]} = t.{KEYS[which]}) || ' updated'"
+    for which, _, old, new in _STATS_PARTS
+)
+
+_STAMPS = f"""WITH {_deliveries('customer', 'raw_customer')},
+o AS ({_clean('customer', 'first_customer')}), n AS ({_clean('customer', 'second_customer')})
+SELECT (SELECT count(*) FROM n) AS stamped_again,
+  (SELECT count(*) FROM o ANTI JOIN n ON o.customer_id = n.customer_id) AS as_before"""
+
+_STEPS = {
+    "one, first": "first", "one, looking": "second", "one, failing": "second", "one, again": "second", "two, all": "both",
+    "one, reset": "both",
+}
+_POSITIONS = f"""WITH {_deliveries('orders', 'raw_order_unique')},
+steps(step, gets) AS (VALUES {', '.join(f"('{step}', '{gets}')" for step, gets in _STEPS.items())}),
+parts AS (SELECT 'first' AS gets, * FROM first_orders UNION ALL SELECT 'second', * FROM second_orders
+  UNION ALL SELECT 'both', * FROM first_orders UNION ALL SELECT 'both', * FROM second_orders)
+SELECT step, count(*) AS row_count, CAST(sum(quantity) AS BIGINT) AS quantity, min(transaction_id) AS lowest,
+  max(transaction_id) AS highest FROM steps JOIN parts USING (gets) GROUP BY step"""
+
 _END_TO_END = "WITH " + ",\n".join(
     f"{_deliveries(which, raw)},\nboth_{which} AS (SELECT * FROM first_{which} UNION ALL SELECT * FROM second_{which}),\n"
     f"cleaned_{which} AS ({_clean(which, 'both_' + which)})" for which, raw, *_ in _STATS_PARTS
@@ -301,6 +324,19 @@ FROM raw_customer""",
   if(customer_id % 4 = 1, NULL, registration_date) AS registration_date, if(customer_id % 4 = 1, NULL, age) AS age,
   if(customer_id % 4 = 1, NULL, nullif(gender, '')) AS gender, if(customer_id % 4 = 1, NULL, total_purchases) AS total_purchases
 FROM raw_customer""",
+    "ingest_csv_compressed": """SELECT * REPLACE (nullif(customer_type, '') AS customer_type, nullif(gender, '') AS gender)
+FROM raw_customer""",
+    "ingest_csv_quotes": """SELECT * REPLACE ('"' || name || '"' AS name, nullif(customer_type, '') AS customer_type,
+  nullif(gender, '') AS gender) FROM raw_customer""",
+    "ingest_json_not_utf8": "SELECT * REPLACE (name || chr(65533) AS name) FROM raw_product",
+    "ingest_lineage": f"""WITH {_deliveries('customer', 'raw_customer')}
+SELECT (SELECT count(*) FROM first_customer) + (SELECT count(*) FROM second_customer) AS row_count,
+  CAST(0 AS BIGINT) AS unmatched_files, true AS stamped""",
+    "ingest_recreated": "SELECT * FROM raw_product",
+    "feed_positions": _POSITIONS,
+    "merge_messages": _MESSAGES,
+    "merge_stamps": _STAMPS,
+    "merge_replayed": _two_deliveries("orders", "raw_order_unique", "SELECT * FROM merged"),
     "cast_int_and_date": """SELECT row_id, CASE WHEN row_id % 6 <> 5 THEN CAST(sign(CAST(int_txt AS DECIMAL(18, 2)))
     * floor(abs(CAST(int_txt AS DECIMAL(18, 2))) + 0.5) AS INTEGER) END AS int_txt,
   CASE WHEN row_id % 7 IN (0, 1, 2, 6) THEN DATE '2024-02-29' END AS date_txt FROM raw_spelled""",
