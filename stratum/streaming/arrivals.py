@@ -97,14 +97,16 @@ class Arrivals:
         listed.join(offers.seen(), "path", "left_anti").write.parquet(path)
         arrived = left = spark.read.schema(listed.schema).parquet(path)
         age = F.struct(F.unix_micros("modificationTime").alias("time"), "path")
-        while not left.isEmpty():
+        waiting = arrived.count()
+        while waiting:
             # At most ``files_per_batch`` names pass through the driver.
             batch = left.orderBy(age).limit(files_per_batch) if files_per_batch else left
             epoch = offers.last() + 1
             names = offers.offer(epoch, batch)
-            newest = names.agg(F.max(age).alias("newest")).first().newest
+            held = names.agg(F.count("path").alias("files"), F.max(age).alias("newest")).first()
             deliver(epoch, names.select("path"))
-            left = arrived.where(age > F.struct(F.lit(newest.time).cast("long"), F.lit(newest.path)))
+            waiting -= held.files
+            left = arrived.where(age > F.struct(F.lit(held.newest.time).cast("long"), F.lit(held.newest.path)))
         storage.remove(spark, path)
         return done
 
