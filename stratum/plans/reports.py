@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.plans import marts
@@ -23,6 +23,15 @@ def _money(column: str, money_type: str | None) -> Column:
     return F.sum(value.cast(money_type)).cast("double") if money_type else F.sum(value)
 
 
+def _first_of(counted: str, *within: str) -> Column:
+    """1 on one row of each value of ``counted`` in each group, else 0; their sum is the exact distinct count.
+
+    The rows are sorted, which takes a task far less memory than hashing nearly unique keys.
+    """
+    place = F.row_number().over(Window.partitionBy(*within, counted).orderBy(counted))
+    return F.when(F.col(counted).isNotNull() & (place == 1), 1).otherwise(0).cast("long")
+
+
 def top_products(daily: DataFrame, n: int = TOP_PRODUCTS, money_type: str | None = None) -> DataFrame:
     """Products with the highest revenue."""
     return daily.groupBy("product_name", "product_category").agg(
@@ -97,8 +106,9 @@ def daily_trend_backwards(
 
 
 def top_customers(affinity: DataFrame, n: int = TOP_CUSTOMERS, money_type: str | None = None) -> DataFrame:
-    return affinity.groupBy("customer_id", "customer_type").agg(
-        F.countDistinct("product_id").alias("distinct_products_bought"),
+    marked = affinity.withColumn("new_product", _first_of("product_id", "customer_id", "customer_type"))
+    return marked.groupBy("customer_id", "customer_type").agg(
+        F.sum("new_product").alias("distinct_products_bought"),
         F.sum("purchase_count").alias("total_orders"),
         _money("total_spent", money_type).alias("lifetime_spend"),
         F.avg("avg_purchase_amount").alias("avg_order_value"),

@@ -140,6 +140,43 @@ def test_reports_are_cut_and_sorted(small):
     assert reports.revenue_by_segment(daily).count() == 4
 
 
+@pytest.mark.parametrize("money_type", [None, "decimal(18,2)"])
+def test_distinct_counts_of_reports(spark, small, money_type):
+    """Products of two names and customers of two types have several mart rows a month; some ids are missing."""
+    orders, product, customer = small
+    mart = marts.customer_affinity(customer, orders, product, money_type)
+    missing = F.lit(None).cast("long")
+    mart = mart.unionByName(mart.limit(5).withColumn("product_id", missing)).unionByName(
+        mart.limit(5).withColumns({"customer_id": missing, "avg_purchase_amount": F.lit(None).cast("double")})).localCheckpoint()
+
+    def expected(counted, *keys):
+        groups = {}
+        for r in mart.collect():
+            groups.setdefault(tuple(r[k] for k in keys), []).append(r)
+        for key, group in groups.items():
+            means = [r.avg_purchase_amount for r in group if r.avg_purchase_amount is not None]
+            yield key, (*[len({r[c] for r in group} - {None}) for c in counted],
+                        sum(r.total_spent for r in group), pytest.approx(sum(means) / len(means)) if means else None)
+
+    got = {r[:2]: (r[2], r[4], r[5]) for r in map(tuple, reports.top_customers(mart, 100, money_type).collect())}
+    assert got == dict(expected(["product_id"], "customer_id", "customer_type"))
+    got = {r[:1]: r[1:] for r in map(tuple, reports.monthly_trend(mart, money_type).collect())}
+    assert got == dict(expected(["customer_id", "product_id"], "purchase_month"))
+    assert reports.monthly_trend(mart, money_type).dtypes == [
+        ("purchase_month", "date"), ("active_customers", "bigint"), ("products_purchased", "bigint"),
+        ("monthly_revenue", "double"), ("avg_order_value", "double")]
+
+
+def test_distinct_counts_do_not_hash_or_expand_the_mart(small):
+    """Nearly every mart row has a customer and product of its own: hash tables of these took a task's memory."""
+    orders, product, customer = small
+    affinity = marts.customer_affinity(customer, orders, product)
+    text = plan(reports.top_customers(affinity))
+    assert "count(distinct product_id" not in text and "Window" in text
+    hashed = [line for line in text.splitlines() if "HashAggregate(keys=[customer_id" in line and "customer_type" in line]
+    assert hashed and not any("product_id" in line.split("functions=")[0] for line in hashed)
+
+
 @pytest.mark.parametrize("days", [1, 3, 30, 500])
 def test_daily_trend_equals_a_cut_of_all_days(spark, small, days):
     """With a day missing in some orders: no day sorts first and takes one of the places."""
