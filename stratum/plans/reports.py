@@ -141,9 +141,18 @@ def repeat_buyers(affinity: DataFrame, n: int = REPEAT_BUYERS) -> DataFrame:
 
 
 def monthly_trend(affinity: DataFrame, money_type: str | None = None) -> DataFrame:
-    return affinity.groupBy("purchase_month").agg(
-        F.countDistinct("customer_id").alias("active_customers"),
-        F.countDistinct("product_id").alias("products_purchased"),
-        _money("total_spent", money_type).alias("monthly_revenue"),
-        F.avg("avg_purchase_amount").alias("avg_order_value"),
+    """Customers are counted by marks on rows that the mart's last join has put together by customer, products
+    by one more grouping, so that no row is expanded for the two distinct counts."""
+    marked = affinity.withColumn("new_customer", _first_of("customer_id", "purchase_month"))
+    spent = F.col("total_spent").cast(money_type) if money_type else F.col("total_spent")
+    by_product = marked.groupBy("purchase_month", "product_id").agg(
+        F.sum("new_customer").alias("customers"), F.sum(spent).alias("spent"),
+        F.sum("avg_purchase_amount").alias("means"), F.count("avg_purchase_amount").alias("n_means"),
+    )
+    revenue = F.sum("spent")
+    return by_product.groupBy("purchase_month").agg(
+        F.sum("customers").alias("active_customers"),
+        F.count("product_id").alias("products_purchased"),
+        (revenue.cast("double") if money_type else revenue).alias("monthly_revenue"),
+        F.try_divide(F.sum("means"), F.sum("n_means")).alias("avg_order_value"),
     ).orderBy(F.desc_nulls_first("purchase_month"))

@@ -175,6 +175,7 @@ def test_distinct_counts_do_not_hash_or_expand_the_mart(small):
     assert "count(distinct product_id" not in text and "Window" in text
     hashed = [line for line in text.splitlines() if "HashAggregate(keys=[customer_id" in line and "customer_type" in line]
     assert hashed and not any("product_id" in line.split("functions=")[0] for line in hashed)
+    assert "Expand" not in plan(reports.monthly_trend(affinity))
 
 
 @pytest.mark.parametrize("days", [1, 3, 30, 500])
