@@ -29,6 +29,8 @@ MIN_WORDS = 10
 MAX_REPEATED = 20  # per cent
 #: Common words of each language.
 COMMON = 32
+#: Slots by hash, a power of two, in which common words are looked up before they are compared.
+SLOTS = 512
 #: Words that a language's documents must have together to be a reference.
 MIN_REFERENCE = 1_000
 MAX_LANGUAGES = 1_000
@@ -46,7 +48,7 @@ def _worked_out(rows: DataFrame, **columns: Column) -> DataFrame:
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(f"({WORD})"), 1)
+    return F.regexp_extract_all(text, F.lit(WORD), 0)
 
 
 def _hashes(text: Column) -> Column:
@@ -54,13 +56,10 @@ def _hashes(text: Column) -> Column:
 
 
 def _windows(hashes: Column) -> Column:
-    """The hash of every ``WINDOW`` (five) hashes in a row, made of those of two and four; none for fewer."""
+    """The hash of every ``WINDOW`` hashes in a row; none for fewer."""
     n = F.size(hashes) - WINDOW + 1
-    one = lambda a, b: F.xxhash64(a, b)
-    two = F.zip_with(F.slice(hashes, 1, n + 2), F.slice(hashes, 2, n + 2), one)
-    five = F.transform(F.array(two), lambda t: F.zip_with(
-        F.zip_with(F.slice(t, 1, n), F.slice(t, 3, n), one), F.slice(hashes, 5, n), one))
-    return F.when(n > 0, F.element_at(five, 1)).otherwise(F.array().cast("array<long>"))
+    five = F.transform(F.slice(hashes, 1, n), lambda h, i: F.xxhash64(h, *[F.get(hashes, i + k) for k in range(1, WINDOW)]))
+    return F.when(n > 0, five).otherwise(F.array().cast("array<long>"))
 
 
 def _twice(windows: Column) -> Column:
@@ -157,9 +156,19 @@ def distance(counts: Column, shares: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), F.element_at(shared, 1)))
 
 
-def _word_counts(own: Column, common: Column) -> Column:
-    """How often each common word occurs, and all others together."""
-    hits = F.filter(own, lambda h: F.array_contains(common, h))
+def _slot(word: Column) -> Column:
+    return word.bitwiseAND(F.lit(SLOTS - 1)).cast("int")
+
+
+def _taken(common: Column) -> Column:
+    """For each slot, if a common word falls into it."""
+    taken = F.transform(common, _slot)
+    return F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda i: F.array_contains(taken, i))
+
+
+def _word_counts(own: Column, common: Column, taken: Column) -> Column:
+    """How often each common word occurs, and all others together. Most others are told by their slot, and not compared."""
+    hits = F.filter(own, lambda h: F.get(taken, _slot(h)) & F.array_contains(common, h))
     each = lambda h: F.transform(common, lambda w: (F.size(h) - F.size(F.array_remove(h, w))).cast("long"))
     counts = F.transform(F.array(hits), lambda h: F.concat(each(h), F.array((F.size(own) - F.size(h)).cast("long"))))
     return F.element_at(counts, 1)
@@ -179,6 +188,7 @@ def divergence(docs: DataFrame, reference: DataFrame | None = None, common: int
     columns are not looked at. Words and windows are compared by 64-bit hashes. Over 1,000 languages with enough words are an error.
     """
     known = references(docs, common) if reference is None else reference
+    known = known.withColumn("reference", F.col("reference").withField("taken", _taken(F.col("reference.words"))))
     every = known.agg(F.collect_list("reference").alias("every"), F.count_if(F.col("lang").isNull()).cast("int").alias("wanted"))
     known = known.select(F.col("lang").alias("known"), F.array("reference").alias("own"))
     names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
@@ -191,7 +201,7 @@ def divergence(docs: DataFrame, reference: DataFrame | None = None, common: int
     chars = F.aggregate("classes", F.lit(0).cast("long"), lambda a, n: a + n)
     by_class = F.array_min(F.transform("against", lambda r: distance(F.col("classes"), r["classes"])))
     by_word = F.array_min(F.transform("against", lambda r: F.element_at(F.transform(
-        F.array(_word_counts(F.col("hashes"), r["words"])), lambda c: distance(c, r["shares"])), 1)))
+        F.array(_word_counts(F.col("hashes"), r["words"], r["taken"])), lambda c: distance(c, r["shares"])), 1)))
     rows = _worked_out(rows, class_distance=F.when(chars >= MIN_CHARS, by_class), word_distance=F.when(F.col("n_words") >= MIN_COMMON, by_word))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     far = (F.coalesce("class_distance", F.lit(0.0)) > MAX_CLASS_DISTANCE) | (F.coalesce("word_distance", F.lit(0.0)) > MAX_WORD_DISTANCE)

@@ -128,3 +128,13 @@ def test_no_python_in_the_plan(spark):
     df = divergence.divergence(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_common_words_that_share_a_slot(spark):
+    """Hashes of either sign; common words of one slot, and other words that fall into the slots of common ones."""
+    common = [5, 5 + divergence.SLOTS, -3, 7]
+    own = [5, 5, 5 + divergence.SLOTS, -3, -3 - divergence.SLOTS, 7 + 8 * divergence.SLOTS, 100, -(1 << 63), 5]
+    rows = spark.createDataFrame([(own, common), ([], common), (own, [])], "own array<long>, common array<long>")
+    taken = divergence._taken(F.col("common"))
+    got = rows.select(divergence._word_counts(F.col("own"), F.col("common"), taken).alias("n"), F.size(F.filter(taken, lambda t: t)).alias("slots"))
+    assert [tuple(r) for r in got.collect()] == [([3, 1, 1, 0, 4], 3), ([0, 0, 0, 0, 0], 3), ([len(own)], 0)]
